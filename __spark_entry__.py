@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyglass import fixed_values as fixed
 from tallyglass.fixtures import dirty_transactions
-from tallyglass.functions.columns import field, is_missing
+from tallyglass.functions.columns import is_missing
 from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality
 from tallyglass.plans.report import quality_report, report_details
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, full_run
@@ -113,25 +113,22 @@ def _write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _null_or_nan(tx: DataFrame) -> DataFrame:
-    return tx.select(*[is_missing(f.name, f.dataType).alias(f"{f.name}_missing") for f in tx.schema])
+    return tx.selectExpr(*[f"{is_missing(f.name, f.dataType)} AS {f.name}_missing" for f in tx.schema])
 
 
 def _anomaly_predicates(tx: DataFrame) -> DataFrame:
-    flags = {
-        rule.type: F.coalesce(rule.violated(field(rule.column)), F.lit(False))
-        for rule in profiling.transaction_anomaly_rules()
-    }
-    flagged = tx.select("timestamp", "receiving_address", "amount", *[v.alias(k) for k, v in flags.items()])
-    return flagged.filter(" OR ".join(flags))
+    rules = profiling.transaction_anomaly_rules()
+    flags = [f"coalesce({rule.violated}, false) AS {rule.type}" for rule in rules]
+    flagged = tx.selectExpr("timestamp", "receiving_address", "amount", *flags)
+    return flagged.filter(" OR ".join(rule.type for rule in rules))
 
 
 def _quality_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     results.write_quality_report(_reports(spark, sf_dir, statistics=True), root)
     body = REPORT_DDL.removeprefix("table_name string, ")
-    written = spark.read.option("wholetext", True).text(
-        results.result_path(root, results.REPORT, "json")
-    )
+    path = results.result_path(root, results.REPORT, "json")
+    written = spark.read.text(path, wholetext=True)
     tables = written.select(
         F.explode(F.from_json("value", f"map<string,struct<{_as_struct(body)}>>")).alias(
             "table_name", "r"

@@ -1,4 +1,4 @@
-"""Column references and value predicates."""
+"""Names, literals and value predicates."""
 
 from __future__ import annotations
 
@@ -11,27 +11,39 @@ from pyspark.sql.types import DataType, DoubleType, FloatType, StringType
 NAN_TEXT = r"\A[\x00-\x20]*(?:[+-]?NaN|[nN][aA][nN])[\x00-\x20]*\z"
 
 
+def quoted(name: str) -> str:
+    """Identifier of a top-level column, dots and backticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def field(name: str) -> Column:
-    """Top-level column by its literal name, dots and backticks included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted(name))
+
+
+def text(value: str) -> str:
+    """String literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def record(**fields: str) -> str:
+    """Struct with the given field names and expressions."""
+    return f"named_struct({', '.join(f'{text(k)}, {v}' for k, v in fields.items())})"
 
 
-def is_missing(name: str, dtype: DataType) -> Column:
+def is_missing(name: str, dtype: DataType) -> str:
     """True where the value is null or not-a-number, never null itself.
 
     Text counts as missing when it spells NaN. Its first character rules out
     almost every row, so neither a failing number parse nor a pattern match is
     paid for ordinary text.
     """
-    value = field(name)
+    value = quoted(name)
     if isinstance(dtype, (DoubleType, FloatType)):
-        return value.isNull() | F.isnan(value)
+        return f"({value} IS NULL OR isnan({value}))"
     if isinstance(dtype, StringType):
-        first = F.ascii(value)
-        spells_nan = (
-            F.when(value.isNull(), F.lit(True))
-            .when((first > 32) & ~first.isin(*map(ord, "nN+-")), F.lit(False))
-            .otherwise(value.rlike(NAN_TEXT))
+        return (
+            f"(CASE WHEN {value} IS NULL THEN true "
+            f"WHEN ascii({value}) > 32 AND substr({value}, 1, 1) NOT IN ('n', 'N', '+', '-') "
+            f"THEN false ELSE {value} RLIKE r'{NAN_TEXT}' END)"
         )
-        return spells_nan
-    return value.isNull()
+    return f"({value} IS NULL)"

@@ -2,39 +2,27 @@
 
 Spark's ``round`` and ``bround`` work on the shortest decimal text of a double.
 Percentages and scores are expected to be rounded from the binary value
-instead, half to even, and means by scaling first; both are built here from
-plain column arithmetic.
+instead, half to even, and means by scaling first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def round_scaled(value: Column, digits: int) -> Column:
+def round_scaled(value: str, digits: int) -> str:
     """Scale, round half to even, scale back (the data-frame library rule)."""
-    scale = float(10**digits)
-    return F.rint(value * scale) / scale
+    scale = f"{10**digits}D"
+    return f"rint({value} * {scale}) / {scale}"
 
 
-def round_exact(value: Column, digits: int) -> Column:
+def round_exact(value: str, digits: int) -> str:
     """Correctly rounded from the binary value, half to even.
 
-    For values from 0 to about 1e6 and up to 2 digits. The value is written as
-    an integer over a power of two, so that comparing it with the midpoint
-    between two neighbours is exact in 64-bit integers.
+    ``format_number`` is the one built-in that rounds the binary value.
     """
-    scale = 10**digits
-    below = F.floor(value * scale)
-    unit = F.pow(F.lit(2.0), 53 - F.floor(F.log2(value)))
-    twice_value = (value * unit).cast("bigint") * (2 * scale)
-    midpoint = (below * 2 + 1) * unit.cast("bigint")
-    goes_up = (twice_value > midpoint) | ((twice_value == midpoint) & (below % 2 == 1))
-    rounded = (below + goes_up.cast("bigint")) / F.lit(scale)
-    return F.when(value < 0.25 / scale, F.lit(0.0)).when(value.isNotNull(), rounded)
-
-
-def percentage(part: Column, total: Column, digits: int = 2) -> Column:
-    """Share of the total in percent; 0 for an empty total."""
-    return F.when(total > 0, round_exact(part / total * 100, digits)).otherwise(F.lit(0.0))
+    return f"CAST(replace(format_number({value}, {digits}), ',', '') AS DOUBLE)"
+
+
+def percentage(part: str, total: str) -> str:
+    """Share of the total in percent, 2 digits; 0 for an empty total."""
+    share = round_exact(f"{part} / {total} * 100D", 2)
+    return f"CASE WHEN {total} > 0 THEN {share} ELSE 0D END"

@@ -1,13 +1,13 @@
-"""Epoch seconds as text."""
+"""Time as text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from tallyglass.fixed_values import READABLE_FORMAT
 
+# ISO date and time with microseconds, in the session time zone.
+NOW = "date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")"
+
 
-def readable_timestamp(epoch: Column, fmt: str = READABLE_FORMAT) -> Column:
+def readable_timestamp(epoch: str, fmt: str = READABLE_FORMAT) -> str:
     """Formatted in the session time zone (UTC once ``session.prepare`` ran)."""
-    return F.from_unixtime(epoch, fmt)
+    return f"from_unixtime({epoch}, '{fmt}')"

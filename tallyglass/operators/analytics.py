@@ -55,7 +55,7 @@ def location_risk_rounded(
 ) -> DataFrame:
     """``location_risk`` as the text sinks show it."""
     return location_risk(df, drop_nan=drop_nan).withColumn(
-        "avg_risk_score", round_scaled(F.col("avg_risk_score"), digits)
+        "avg_risk_score", F.expr(round_scaled("avg_risk_score", digits))
     )
 
 

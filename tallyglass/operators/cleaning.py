@@ -8,9 +8,8 @@ sign predicates reach the Parquet scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -19,7 +18,7 @@ from tallyglass.fixed_values import (
     RISK_SENTINEL,
     STANDARD_TEXT_COLUMNS,
 )
-from tallyglass.functions.columns import field
+from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.time import readable_timestamp
 from tallyglass.schema import require_columns
 
@@ -48,7 +47,7 @@ def add_readable_ts(
 ) -> DataFrame:
     """Append the epoch column as text and keep the epoch."""
     require_columns(df, [column])
-    return df.withColumn(output, readable_timestamp(field(column)))
+    return df.withColumn(output, F.expr(readable_timestamp(quoted(column))))
 
 
 def cast_to_string(
@@ -58,14 +57,15 @@ def cast_to_string(
     return df.withColumns({c: field(c).cast("string") for c in columns if c in df.columns})
 
 
-def all_present(columns: Sequence[str]) -> Column:
+def all_present(columns: Sequence[str]) -> str:
     """Every listed column is non-null (not-a-number counts as present)."""
-    return reduce(lambda a, b: a & b, [field(c).isNotNull() for c in columns])
+    return " AND ".join(f"{quoted(c)} IS NOT NULL" for c in columns)
 
 
 def filter_critical_not_null(
     df: DataFrame, columns: Sequence[str] = CRITICAL_COLUMNS
 ) -> DataFrame:
+    """Keep rows in which none of the listed columns is null."""
     require_columns(df, columns)
     return df.filter(all_present(columns))
 
@@ -73,7 +73,7 @@ def filter_critical_not_null(
 def filter_positive_amount(df: DataFrame, column: str = "amount") -> DataFrame:
     """Keep values above zero; not-a-number sorts above all and is kept."""
     require_columns(df, [column])
-    return df.filter(field(column) > 0)
+    return df.filter(f"{quoted(column)} > 0")
 
 
 def clean_transactions(df: DataFrame) -> DataFrame:
@@ -92,11 +92,10 @@ def clean_audit(df: DataFrame) -> DataFrame:
     partial row per task.
     """
     require_columns(df, CRITICAL_COLUMNS)
-    present = all_present(CRITICAL_COLUMNS)
-    positive = field("amount") > 0
-    return df.agg(
-        F.count(F.lit(1)).alias("initial_records"),
-        F.count_if(~present).alias("removed_null_critical"),
-        F.count_if(present & ~positive).alias("removed_non_positive_amount"),
-        F.count_if(present & positive).alias("final_records"),
+    present = f"({all_present(CRITICAL_COLUMNS)})"
+    return df.selectExpr(
+        "count(1) AS initial_records",
+        f"count_if(NOT {present}) AS removed_null_critical",
+        f"count_if({present} AND NOT amount > 0) AS removed_non_positive_amount",
+        f"count_if({present} AND amount > 0) AS final_records",
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from tallyglass.functions.columns import field
+from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import percentage
 from tallyglass.session import shared_folder
 
@@ -55,22 +55,19 @@ def duplicate_profile(
 
 
 def _groups(df: DataFrame) -> DataFrame:
-    columns = [field(c) for c in df.columns]
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies_of_row"))
+    return df.groupBy(*map(quoted, df.columns)).agg(F.expr("count(1) AS copies_of_row"))
 
 
 def _by_rows(df: DataFrame) -> DataFrame:
-    counted = _groups(comparable(df)).agg(
-        F.coalesce(F.sum("copies_of_row"), F.lit(0)).alias("total_records"),
-        F.count(F.lit(1)).alias("unique_records"),
+    counted = _groups(comparable(df)).selectExpr(
+        "coalesce(sum(copies_of_row), 0) AS total_records", "count(1) AS unique_records"
     )
     return _with_share(counted)
 
 
 def _by_hash(df: DataFrame, broadcast_hashes: int) -> DataFrame:
     rows = comparable(df)
-    columns = [field(c) for c in rows.columns]
-    hashed = rows.withColumn("hash_of_row", F.xxhash64(*columns))
+    hashed = rows.withColumn("hash_of_row", F.xxhash64(*map(quoted, rows.columns)))
 
     # Hashes seen more than once, written so that later jobs do not regroup.
     folder = shared_folder(df.sparkSession)
@@ -82,23 +79,19 @@ def _by_hash(df: DataFrame, broadcast_hashes: int) -> DataFrame:
     else:
         suspects = hashed
     # Rows that share a hash without being equal stay separate groups here.
-    surplus = _groups(suspects).agg(
-        F.coalesce(F.sum(F.col("copies_of_row") - 1), F.lit(0)).alias("surplus")
-    )
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    counted = (
-        total.unionByName(surplus, allowMissingColumns=True)
-        .agg(F.max("total").alias("total_records"), F.max("surplus").alias("surplus"))
-        .select("total_records", (F.col("total_records") - F.col("surplus")).alias("unique_records"))
+    surplus = _groups(suspects).selectExpr("coalesce(sum(copies_of_row - 1), 0) AS surplus")
+    total = df.selectExpr("count(1) AS total")
+    counted = total.unionByName(surplus, allowMissingColumns=True).selectExpr(
+        "max(total) AS total_records", "max(total) - max(surplus) AS unique_records"
     )
     return _with_share(counted)
 
 
 def _with_share(counted: DataFrame) -> DataFrame:
-    surplus = F.col("total_records") - F.col("unique_records")
-    return counted.select(
+    surplus = "(total_records - unique_records)"
+    return counted.selectExpr(
         "total_records",
         "unique_records",
-        surplus.alias("duplicate_count"),
-        percentage(surplus, F.col("total_records")).alias("duplicate_percentage"),
+        f"{surplus} AS duplicate_count",
+        f"{percentage(surplus, 'total_records')} AS duplicate_percentage",
     )

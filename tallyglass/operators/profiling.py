@@ -8,12 +8,11 @@ and lay the result out as rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructField
 
 from tallyglass.fixed_values import (
@@ -25,7 +24,7 @@ from tallyglass.fixed_values import (
     REFERENCE_EPOCH,
     SECONDS_PER_YEAR,
 )
-from tallyglass.functions.columns import field, is_missing
+from tallyglass.functions.columns import is_missing, quoted, record, text
 from tallyglass.functions.rounding import percentage
 from tallyglass.schema import ANOMALY
 
@@ -42,11 +41,14 @@ ANOMALY_ROWS = f"array<{ANOMALY}>"
 
 @dataclass(frozen=True)
 class AnomalyRule:
-    """A range check on one column; skipped where the column does not exist."""
+    """A range check on one column; skipped where the column does not exist.
+
+    ``violated`` is the SQL condition of an offending row.
+    """
 
     type: str
     column: str
-    violated: Callable[[Column], Column]
+    violated: str
     description: str
 
 
@@ -55,9 +57,13 @@ def transaction_anomaly_rules(reference_epoch: int = REFERENCE_EPOCH) -> tuple[A
     oldest = reference_epoch - OLD_AFTER_YEARS * SECONDS_PER_YEAR
     newest = reference_epoch + FUTURE_AFTER_YEARS * SECONDS_PER_YEAR
     return (
-        AnomalyRule("negative_values", "amount", lambda c: c < 0, NEGATIVE_VALUES_TEXT),
-        AnomalyRule("old_timestamps", "timestamp", lambda c: c < oldest, OLD_TIMESTAMPS_TEXT),
-        AnomalyRule("future_timestamps", "timestamp", lambda c: c > newest, FUTURE_TIMESTAMPS_TEXT),
+        AnomalyRule("negative_values", "amount", "amount < 0", NEGATIVE_VALUES_TEXT),
+        AnomalyRule(
+            "old_timestamps", "timestamp", f"`timestamp` < {oldest}", OLD_TIMESTAMPS_TEXT
+        ),
+        AnomalyRule(
+            "future_timestamps", "timestamp", f"`timestamp` > {newest}", FUTURE_TIMESTAMPS_TEXT
+        ),
     )
 
 
@@ -98,12 +104,11 @@ def table_metrics(
         parts.append(_metrics_of(df, part, missing, statistics, rules, count_rows=number == 0))
     if len(parts) == 1:
         return parts[0]
-    together = reduce(DataFrame.unionByName, parts)
-    return together.agg(
-        F.max("total_records").alias("total_records"),
-        F.array_sort(F.flatten(F.collect_list("missing"))).alias("missing"),
-        F.array_sort(F.flatten(F.collect_list("statistics"))).alias("statistics"),
-        F.flatten(F.collect_list("anomalies")).alias("anomalies"),
+    return reduce(DataFrame.unionByName, parts).selectExpr(
+        "max(total_records) AS total_records",
+        "array_sort(flatten(collect_list(missing))) AS missing",
+        "array_sort(flatten(collect_list(statistics))) AS statistics",
+        "flatten(collect_list(anomalies)) AS anomalies",
     )
 
 
@@ -115,94 +120,74 @@ def _metrics_of(
     rules: Sequence[AnomalyRule],
     count_rows: bool,
 ) -> DataFrame:
-    aggregates = []
+    aggregates = [f"{'count(1)' if count_rows else 'max(CAST(NULL AS BIGINT))'} AS total_records"]
     missing_rows, statistic_rows, anomaly_rows = [], [], []
-    if count_rows:
-        aggregates.append(F.count(F.lit(1)).alias("rows"))
-    for ordinal, f in fields:
+    for i, f in fields:
+        value, label = quoted(f.name), {"ordinal": str(i), "column": text(f.name)}
         if missing:
-            aggregates.append(F.count_if(is_missing(f.name, f.dataType)).alias(f"missing_{ordinal}"))
-            missing_rows.append(
-                F.struct(
-                    F.lit(ordinal).alias("ordinal"),
-                    F.lit(f.name).alias("column"),
-                    F.col(f"missing_{ordinal}").alias("missing"),
-                )
-            )
+            aggregates.append(f"count_if({is_missing(f.name, f.dataType)}) AS missing_{i}")
+            missing_rows.append(record(**label, missing=f"missing_{i}"))
         if statistics and isinstance(f.dataType, STATISTIC_TYPES):
-            value = field(f.name)
             aggregates += [
-                F.count(value).alias(f"count_{ordinal}"),
-                F.avg(value).alias(f"mean_{ordinal}"),
-                F.stddev_samp(value).alias(f"stddev_{ordinal}"),
-                F.min(value).alias(f"min_{ordinal}"),
-                F.max(value).alias(f"max_{ordinal}"),
+                f"count({value}) AS count_{i}",
+                f"avg({value}) AS mean_{i}",
+                f"stddev_samp({value}) AS stddev_{i}",
+                f"{_as_double(f'min({value})', f)} AS min_{i}",
+                f"{_as_double(f'max({value})', f)} AS max_{i}",
             ]
-            statistic_rows.append(
-                F.struct(
-                    F.lit(ordinal).alias("ordinal"),
-                    F.lit(f.name).alias("column"),
-                    F.col(f"count_{ordinal}").alias("count"),
-                    F.col(f"mean_{ordinal}").alias("mean"),
-                    F.col(f"stddev_{ordinal}").alias("stddev"),
-                    _as_double(f"min_{ordinal}", f).alias("min"),
-                    _as_double(f"max_{ordinal}", f).alias("max"),
-                )
-            )
-    for number, rule in enumerate(rules):
-        violated = F.count_if(rule.violated(field(rule.column)))
-        aggregates.append(violated.alias(f"anomaly_{number}"))
+            measures = ("count", "mean", "stddev", "min", "max")
+            statistic_rows.append(record(**label, **{m: f"{m}_{i}" for m in measures}))
+    for i, rule in enumerate(rules):
+        aggregates.append(f"count_if({rule.violated}) AS anomaly_{i}")
         anomaly_rows.append(
-            F.struct(
-                F.lit(rule.type).alias("type"),
-                F.lit(rule.column).alias("column"),
-                F.col(f"anomaly_{number}").alias("count"),
-                F.lit(rule.description).alias("description"),
+            record(
+                type=text(rule.type),
+                column=text(rule.column),
+                count=f"anomaly_{i}",
+                description=text(rule.description),
             )
         )
-    if not aggregates:
-        aggregates.append(F.count(F.lit(1)).alias("rows"))
-    row = df.agg(*aggregates)
-    return row.select(
-        (F.col("rows") if count_rows else F.lit(None).cast("bigint")).alias("total_records"),
-        F.array(*missing_rows).cast(MISSING_ROWS).alias("missing"),
-        F.array(*statistic_rows).cast(STATISTIC_ROWS).alias("statistics"),
-        F.filter(
-            F.array(*anomaly_rows).cast(ANOMALY_ROWS), lambda a: a["count"] > 0
-        ).alias("anomalies"),
+    anomalies = f"CAST({_array(anomaly_rows)} AS {ANOMALY_ROWS})"
+    return df.selectExpr(*aggregates).selectExpr(
+        "total_records",
+        f"CAST({_array(missing_rows)} AS {MISSING_ROWS}) AS missing",
+        f"CAST({_array(statistic_rows)} AS {STATISTIC_ROWS}) AS statistics",
+        f"filter({anomalies}, a -> a.count > 0) AS anomalies",
     )
 
 
-def _as_double(name: str, f: StructField) -> Column:
-    value = F.col(name)
+def _array(rows: Sequence[str]) -> str:
+    return f"array({', '.join(rows)})"
+
+
+def _as_double(value: str, f: StructField) -> str:
     if isinstance(f.dataType, FloatType):
-        value = value.cast("string")  # 0.1f stays 0.1
-    return value.cast("double")
+        value = f"CAST({value} AS STRING)"  # 0.1f stays 0.1
+    return f"CAST({value} AS DOUBLE)"
 
 
 def basic_metrics(df: DataFrame) -> DataFrame:
     """One row: number of rows and of columns. Reads no column."""
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.lit(len(df.columns)).alias("total_columns"),
+    return df.selectExpr(
+        "count(1) AS total_records", f"{len(df.columns)} AS total_columns"
     )
 
 
 def null_profile(df: DataFrame) -> DataFrame:
     """One row per column: how many values are missing, and which share."""
-    row = table_metrics(df, statistics=False)
-    return row.select("total_records", F.inline("missing")).select(
-        "column",
-        F.col("missing").alias("null_count"),
-        percentage(F.col("missing"), F.col("total_records")).alias("null_percentage"),
+    rows = table_metrics(df, statistics=False).selectExpr("total_records", "inline(missing)")
+    return rows.selectExpr(
+        "`column`",
+        "missing AS null_count",
+        f"{percentage('missing', 'total_records')} AS null_percentage",
     )
 
 
 def columns_with_nulls(df: DataFrame) -> DataFrame:
     """One row: number of columns with at least one missing value."""
-    row = table_metrics(df, statistics=False)
-    touched = F.filter("missing", lambda m: m["missing"] > 0)
-    return row.select(F.size(touched).alias("columns_with_nulls"))
+    return table_metrics(df, statistics=False).selectExpr(
+        "size(filter(missing, m -> m.missing > 0)) AS columns_with_nulls"
+    )
 
 
 def numeric_stats(df: DataFrame) -> DataFrame:
@@ -211,8 +196,7 @@ def numeric_stats(df: DataFrame) -> DataFrame:
     Reads numeric columns only. A table without any gives no row; statistics
     without enough values are null.
     """
-    row = table_metrics(df, missing=False)
-    return row.select(F.inline("statistics")).drop("ordinal")
+    return table_metrics(df, missing=False).selectExpr("inline(statistics)").drop("ordinal")
 
 
 def anomaly_checks(
@@ -221,17 +205,20 @@ def anomaly_checks(
     """One row per violated rule with the number of offending rows."""
     rules = transaction_anomaly_rules() if rules is None else rules
     row = table_metrics(df, missing=False, statistics=False, anomaly_rules=rules)
-    return row.select(F.inline("anomalies"))
+    return row.selectExpr("inline(anomalies)")
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column with its type name. Reads no data."""
-    rows = [(position, name, dtype) for position, (name, dtype) in enumerate(df.dtypes)]
-    return df.sparkSession.createDataFrame(
-        rows, "ordinal int, column string, data_type string"
-    ).select("column", "data_type")
+    return df.sparkSession.range(1).selectExpr(f"inline({type_listing(df)})")
+
+
+def type_listing(df: DataFrame) -> str:
+    """Array of (column, data_type) as an expression."""
+    rows = [record(column=text(name), data_type=text(dtype)) for name, dtype in df.dtypes]
+    return f"CAST({_array(rows)} AS array<struct<column:string,data_type:string>>)"
 
 
 def type_distribution(df: DataFrame) -> DataFrame:
     """Number of columns of every type."""
-    return schema_profile(df).groupBy("data_type").agg(F.count(F.lit(1)).alias("columns"))
+    return schema_profile(df).groupBy("data_type").agg({"*": "count"}).toDF("data_type", "columns")

@@ -9,8 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from tallyglass.fixed_values import (
     ALERT_ANOMALIES_TEXT,
@@ -43,20 +42,13 @@ from tallyglass.fixed_values import (
     SUMMARY_TITLE,
     TASKS,
 )
+from tallyglass.functions.columns import record, text
 from tallyglass.functions.rounding import round_exact
+from tallyglass.functions.time import NOW
 
-
-
-def _null_columns() -> Column:
-    return F.col("null_analysis.columns_with_nulls")
-
-
-def _duplicate_share() -> Column:
-    return F.col("duplicate_analysis.duplicate_percentage")
-
-
-def _anomaly_types() -> Column:
-    return F.size("anomalies")
+NULL_COLUMNS = "null_analysis.columns_with_nulls"
+DUPLICATE_SHARE = "duplicate_analysis.duplicate_percentage"
+ANOMALY_TYPES = "size(anomalies)"
 
 
 @dataclass(frozen=True)
@@ -74,62 +66,64 @@ class Thresholds:
 DEFAULT_THRESHOLDS = Thresholds()
 
 
-def score_expression(null_columns: Column, duplicate_share: Column, anomaly_types: Column) -> Column:
+def score(null_columns: str, duplicate_share: str, anomaly_types: str) -> str:
     """100 minus capped points for null columns, copies and anomaly types."""
     points = (
-        F.lit(100.0)
-        - F.least(F.lit(MAX_NULL_POINTS), null_columns * POINTS_PER_NULL_COLUMN)
-        - F.least(F.lit(float(MAX_DUPLICATE_POINTS)), duplicate_share)
-        - F.least(F.lit(MAX_ANOMALY_POINTS), anomaly_types * POINTS_PER_ANOMALY_TYPE)
+        f"100D - least({MAX_NULL_POINTS}, {null_columns} * {POINTS_PER_NULL_COLUMN})"
+        f" - least({MAX_DUPLICATE_POINTS}D, {duplicate_share})"
+        f" - least({MAX_ANOMALY_POINTS}, {anomaly_types} * {POINTS_PER_ANOMALY_TYPE})"
     )
-    return F.greatest(F.lit(0.0), round_exact(points, 2))
+    return f"greatest(0D, {round_exact(points, 2)})"
 
 
 def quality_score(reports: DataFrame) -> DataFrame:
     """One row per table: the score and the three measures behind it."""
-    return reports.select(
+    return reports.selectExpr(
         "table_name",
-        _null_columns().alias("columns_with_nulls"),
-        _duplicate_share().alias("duplicate_percentage"),
-        _anomaly_types().alias("anomaly_types"),
+        f"{NULL_COLUMNS} AS columns_with_nulls",
+        f"{DUPLICATE_SHARE} AS duplicate_percentage",
+        f"{ANOMALY_TYPES} AS anomaly_types",
         "quality_score",
     )
 
 
 def quality_band(reports: DataFrame) -> DataFrame:
     """perfect at 100, high from 80, medium from 60, low below."""
-    score = F.col("quality_score")
-    band = (
-        F.when(score >= 100, "perfect")
-        .when(score >= BAND_HIGH, "high")
-        .when(score >= BAND_MEDIUM, "medium")
-        .otherwise("low")
+    return reports.selectExpr(
+        "table_name",
+        "quality_score",
+        f"CASE WHEN quality_score >= 100 THEN 'perfect' WHEN quality_score >= {BAND_HIGH} "
+        f"THEN 'high' WHEN quality_score >= {BAND_MEDIUM} THEN 'medium' ELSE 'low' END AS band",
     )
-    return reports.select("table_name", "quality_score", band.alias("band"))
 
 
 def quality_alerts(reports: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
     """One row per alert (table_name, rule, message); none for a good table."""
 
-    def alert(condition: Column, rule: str, text: tuple[str, str], value: Column) -> Column:
-        before, after = text
-        message = F.concat(F.lit(before), value.cast("string"), F.lit(after))
-        return F.when(condition, F.struct(F.lit(rule).alias("rule"), message.alias("message")))
-
-    score = F.col("quality_score")
-    candidates = F.array(
-        alert(score < thresholds.alert_score, "low_score", ALERT_SCORE_TEXT, score),
-        alert(_null_columns() > 0, "null_columns", ALERT_NULLS_TEXT, _null_columns()),
-        alert(
-            _duplicate_share() > thresholds.alert_duplicate_percentage,
-            "duplicates",
-            ALERT_DUPLICATES_TEXT,
-            round_exact(_duplicate_share(), 1),
-        ),
-        alert(_anomaly_types() > 0, "anomalies", ALERT_ANOMALIES_TEXT, _anomaly_types()),
+    def alert(condition: str, rule: str, around: tuple[str, str], value: str) -> str:
+        before, after = around
+        message = f"concat({text(before)}, CAST({value} AS STRING), {text(after)})"
+        return f"CASE WHEN {condition} THEN {record(rule=text(rule), message=message)} END"
+
+    candidates = ", ".join(
+        (
+            alert(
+                f"quality_score < {thresholds.alert_score}D",
+                "low_score",
+                ALERT_SCORE_TEXT,
+                "quality_score",
+            ),
+            alert(f"{NULL_COLUMNS} > 0", "null_columns", ALERT_NULLS_TEXT, NULL_COLUMNS),
+            alert(
+                f"{DUPLICATE_SHARE} > {thresholds.alert_duplicate_percentage}D",
+                "duplicates",
+                ALERT_DUPLICATES_TEXT,
+                round_exact(DUPLICATE_SHARE, 1),
+            ),
+            alert(f"{ANOMALY_TYPES} > 0", "anomalies", ALERT_ANOMALIES_TEXT, ANOMALY_TYPES),
+        )
     )
-    raised = F.filter(candidates, lambda a: a.isNotNull())
-    return reports.select("table_name", F.inline(raised))
+    return reports.selectExpr("table_name", f"inline(array_compact(array({candidates})))")
 
 
 def threshold_rules(reports: DataFrame, thresholds: Thresholds = DEFAULT_THRESHOLDS) -> DataFrame:
@@ -137,41 +131,37 @@ def threshold_rules(reports: DataFrame, thresholds: Thresholds = DEFAULT_THRESHO
     lowest score, highest share of copies, and highest share of missing values
     for every critical column the table has."""
 
-    def rule(name: str, column: Column, value: Column, limit: float, breached: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("rule"),
-            column.cast("string").alias("column"),
-            value.alias("value"),
-            F.lit(limit).alias("limit"),
-            breached.alias("breached"),
+    def rule(name: str, column: str, value: str, limit: float, comparison: str) -> str:
+        return record(
+            rule=text(name),
+            column=column,
+            value=value,
+            limit=f"{limit}D",
+            breached=f"{value} {comparison} {limit}D",
         )
 
-    nothing = F.lit(None)
-    score = F.col("quality_score")
-    whole_table = F.array(
-        rule("min_quality_score", nothing, score, thresholds.gate_score, score < thresholds.gate_score),
-        rule(
-            "max_duplicate_percentage",
-            nothing,
-            _duplicate_share(),
-            thresholds.max_duplicate_percentage,
-            _duplicate_share() > thresholds.max_duplicate_percentage,
-        ),
+    no_column = "CAST(NULL AS STRING)"
+    whole_table = ", ".join(
+        (
+            rule("min_quality_score", no_column, "quality_score", thresholds.gate_score, "<"),
+            rule(
+                "max_duplicate_percentage",
+                no_column,
+                DUPLICATE_SHARE,
+                thresholds.max_duplicate_percentage,
+                ">",
+            ),
+        )
     )
-    critical = F.filter(
-        "null_analysis.null_details", lambda d: d["column"].isin(*thresholds.rule_columns)
+    per_column = rule(
+        "max_null_percentage", "d.column", "d.null_percentage", thresholds.max_null_percentage, ">"
     )
-    per_column = F.transform(
-        critical,
-        lambda d: rule(
-            "max_null_percentage",
-            d["column"],
-            d["null_percentage"],
-            thresholds.max_null_percentage,
-            d["null_percentage"] > thresholds.max_null_percentage,
-        ),
+    critical = ", ".join(text(c) for c in thresholds.rule_columns)
+    details = f"filter(null_analysis.null_details, d -> d.column IN ({critical}))"
+    return reports.selectExpr(
+        "table_name",
+        f"inline(concat(array({whole_table}), transform({details}, d -> {per_column})))",
     )
-    return reports.select("table_name", F.inline(F.concat(whole_table, per_column)))
 
 
 def quality_gate(
@@ -185,40 +175,43 @@ def quality_gate(
     With ``strict`` any action on the result fails when the score is below the
     threshold. A report without the table gives no row and does not fail.
     """
-    score = F.col("quality_score")
-    passed = score >= threshold
+    passed = f"quality_score >= {threshold}D"
     if strict:
-        problem = F.concat(F.lit(f"quality score of {table_name} too low: "), score.cast("string"))
-        passed = F.when(passed, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
-    return reports.filter(F.col("table_name") == table_name).select(
-        "table_name", "quality_score", F.lit(threshold).alias("threshold"), passed.alias("passed")
+        problem = text(f"quality score of {table_name} too low: ")
+        passed = (
+            f"CASE WHEN {passed} THEN true "
+            f"ELSE CAST(raise_error(concat({problem}, quality_score)) AS BOOLEAN) END"
+        )
+    return reports.filter(f"table_name = {text(table_name)}").selectExpr(
+        "table_name", "quality_score", f"{threshold}D AS threshold", f"{passed} AS passed"
     )
 
 
 def quality_summary(reports: DataFrame, table_name: str = CLEANED_TABLE) -> DataFrame:
     """Text summary of one table as rows (line_number, line)."""
 
-    def line(label: str, value: Column | str, after: str = "") -> Column:
-        shown = F.col(value) if isinstance(value, str) else value
-        return F.concat(F.lit(label), shown.cast("string"), F.lit(after))
+    def line(label: str, value: str, after: str = "") -> str:
+        return f"concat({text(label)}, CAST({value} AS STRING), {text(after)})"
 
     before_score, after_score = SUMMARY_SCORE
-    lines = F.array(
-        F.lit(SUMMARY_TITLE),
-        F.lit(SUMMARY_RULER),
-        F.lit(""),
-        line(SUMMARY_TIMESTAMP, "timestamp"),
-        line(SUMMARY_RECORDS, "basic_metrics.total_records"),
-        line(SUMMARY_COLUMNS, "basic_metrics.total_columns"),
-        line(before_score, "quality_score", after_score),
-        F.lit(""),
-        line(SUMMARY_NULL_COLUMNS, _null_columns()),
-        line(SUMMARY_DUPLICATES, "duplicate_analysis.duplicate_count"),
-        line(SUMMARY_ANOMALIES, _anomaly_types()),
+    lines = ", ".join(
+        (
+            text(SUMMARY_TITLE),
+            text(SUMMARY_RULER),
+            "''",
+            line(SUMMARY_TIMESTAMP, "timestamp"),
+            line(SUMMARY_RECORDS, "basic_metrics.total_records"),
+            line(SUMMARY_COLUMNS, "basic_metrics.total_columns"),
+            line(before_score, "quality_score", after_score),
+            "''",
+            line(SUMMARY_NULL_COLUMNS, NULL_COLUMNS),
+            line(SUMMARY_DUPLICATES, "duplicate_analysis.duplicate_count"),
+            line(SUMMARY_ANOMALIES, ANOMALY_TYPES),
+        )
     )
-    chosen = reports.filter(F.col("table_name") == table_name)
-    return chosen.select(F.posexplode(lines).alias("position", "line")).select(
-        (F.col("position") + 1).alias("line_number"), "line"
+    chosen = reports.filter(f"table_name = {text(table_name)}")
+    return chosen.selectExpr(f"posexplode(array({lines})) AS (position, line)").selectExpr(
+        "position + 1 AS line_number", "line"
     )
 
 
@@ -235,22 +228,17 @@ def execution_report(
 
     ``status`` is ``success`` unless the score misses the gate.
     """
-    chosen = F.col("table_name") == table_name
-    summary = reports.agg(
-        F.max(F.when(chosen, F.col("quality_score"))).alias("score"),
-        F.max(F.when(chosen, F.col("basic_metrics.total_records"))).alias("records"),
+    chosen = f"table_name = {text(table_name)}"
+    summary = reports.selectExpr(
+        f"max(quality_score) FILTER (WHERE {chosen}) AS score",
+        f"max(basic_metrics.total_records) FILTER (WHERE {chosen}) AS records",
     )
-    if execution_date is None:
-        when = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    else:
-        when = F.lit(execution_date)
-    return summary.select(
-        when.alias("execution_date"),
-        F.lit(job_id).alias("job_id"),
-        F.when(F.col("score") < gate_score, "failed").otherwise("success").alias("status"),
-        F.array(*map(F.lit, tasks)).alias("tasks_completed"),
-        F.struct(
-            F.coalesce("score", F.lit(0.0)).alias("quality_score"),
-            F.coalesce("records", F.lit(0)).alias("total_records"),
-        ).alias("quality_summary"),
+    done = ", ".join(text(task) for task in tasks)
+    return summary.selectExpr(
+        f"{NOW if execution_date is None else text(execution_date)} AS execution_date",
+        f"{text(job_id)} AS job_id",
+        f"CASE WHEN score < {gate_score}D THEN 'failed' ELSE 'success' END AS status",
+        f"array({done}) AS tasks_completed",
+        record(quality_score="coalesce(score, 0D)", total_records="coalesce(records, 0L)")
+        + " AS quality_summary",
     )

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from tallyglass.functions.columns import record, text
 from tallyglass.functions.rounding import percentage
+from tallyglass.functions.time import NOW
 from tallyglass.operators.duplicates import duplicate_profile
 from tallyglass.operators.profiling import (
     AnomalyRule,
     table_metrics,
     transaction_anomaly_rules,
+    type_listing,
 )
-from tallyglass.operators.quality import score_expression
-from tallyglass.schema import NULL_DETAIL, STATISTIC
-
-REPORT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+from tallyglass.operators.quality import score
 
 
 def quality_report(
@@ -37,133 +37,96 @@ def quality_report(
     rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
     metrics = table_metrics(df, statistics=statistics, anomaly_rules=rules)
     copies = duplicate_profile(df, method=duplicates)
-    both = metrics.select(F.struct("*").alias("m")).unionByName(
-        copies.select(F.struct("*").alias("d")), allowMissingColumns=True
+    row = (
+        metrics.selectExpr("struct(*) AS m")
+        .unionByName(copies.selectExpr("struct(*) AS d"), allowMissingColumns=True)
+        .selectExpr("first(m, true) AS m", "first(d, true) AS d")
     )
-    row = both.agg(
-        F.first("m", ignorenulls=True).alias("m"), F.first("d", ignorenulls=True).alias("d")
+    measured = row.selectExpr(
+        "m",
+        "d",
+        "size(filter(m.missing, x -> x.missing > 0)) AS null_columns",
+        "size(m.anomalies) AS anomaly_types",
     )
-    return _assemble(row, df, table_name, report_time)
-
-
-def _assemble(
-    row: DataFrame, df: DataFrame, table_name: str, report_time: str | None
-) -> DataFrame:
-    total = F.col("m.total_records")
-    null_details = F.transform(
-        "m.missing",
-        lambda x: F.struct(
-            x["column"].alias("column"),
-            x["missing"].alias("null_count"),
-            percentage(x["missing"], total).alias("null_percentage"),
-        ),
-    ).cast(f"array<{NULL_DETAIL}>")
-    null_columns = F.size(F.filter("m.missing", lambda x: x["missing"] > 0))
-    statistics = F.map_from_entries(
-        F.transform(
-            "m.statistics",
-            lambda x: F.struct(
-                x["column"].alias("key"),
-                F.struct(*[x[p].alias(p) for p in ("count", "mean", "stddev", "min", "max")]).alias(
-                    "value"
-                ),
-            ),
-        )
-    ).cast(f"map<string,{STATISTIC}>")
-    if report_time is None:
-        stamp = F.date_format(F.current_timestamp(), REPORT_TIME_FORMAT)
-    else:
-        stamp = F.lit(report_time)
-    return row.select(
-        F.lit(table_name).alias("table_name"),
-        stamp.alias("timestamp"),
-        F.struct(
-            total.alias("total_records"), F.lit(len(df.columns)).alias("total_columns")
-        ).alias("basic_metrics"),
-        F.struct(
-            null_details.alias("null_details"), null_columns.alias("columns_with_nulls")
-        ).alias("null_analysis"),
-        F.col("d").alias("duplicate_analysis"),
-        _types_of(df).alias("data_types_analysis"),
-        F.struct(
-            F.transform("m.statistics", lambda x: x["column"]).alias("numeric_columns"),
-            statistics.alias("statistics"),
-        ).alias("statistical_analysis"),
-        F.col("m.anomalies").alias("anomalies"),
-        score_expression(
-            null_columns, F.col("d.duplicate_percentage"), F.size("m.anomalies")
-        ).alias("quality_score"),
+    null_detail = record(
+        column="x.column",
+        null_count="x.missing",
+        null_percentage=percentage("x.missing", "m.total_records"),
     )
-
-
-def _types_of(df: DataFrame) -> Column:
-    per_type: dict[str, int] = {}
-    for _, dtype in df.dtypes:
-        per_type[dtype] = per_type.get(dtype, 0) + 1
-    listing = F.array(
-        *[
-            F.struct(F.lit(name).alias("column"), F.lit(dtype).alias("data_type"))
-            for name, dtype in df.dtypes
-        ]
-    ).cast("array<struct<column:string,data_type:string>>")
-    pairs = [F.lit(value) for pair in per_type.items() for value in pair]
-    return F.struct(
-        listing.alias("data_types"),
-        F.create_map(*pairs).cast("map<string,int>").alias("type_distribution"),
+    statistic = record(**{m: f"x.{m}" for m in ("count", "mean", "stddev", "min", "max")})
+    type_counts = ", ".join(
+        f"{text(t)}, {n}" for t, n in Counter(t for _, t in df.dtypes).items()
     )
+    sections = {
+        "table_name": text(table_name),
+        "timestamp": NOW if report_time is None else text(report_time),
+        "basic_metrics": record(
+            total_records="m.total_records", total_columns=str(len(df.columns))
+        ),
+        "null_analysis": record(
+            null_details=f"transform(m.missing, x -> {null_detail})",
+            columns_with_nulls="null_columns",
+        ),
+        "duplicate_analysis": "d",
+        "data_types_analysis": record(
+            data_types=type_listing(df),
+            type_distribution=f"CAST(map({type_counts}) AS map<string,int>)",
+        ),
+        "statistical_analysis": record(
+            numeric_columns="transform(m.statistics, x -> x.column)",
+            statistics="map_from_entries(transform(m.statistics, "
+            f"x -> struct(x.column, {statistic})))",
+        ),
+        "anomalies": "m.anomalies",
+        "quality_score": score("null_columns", "d.duplicate_percentage", "anomaly_types"),
+    }
+    return measured.selectExpr(*[f"{value} AS {name}" for name, value in sections.items()])
 
 
 def report_details(reports: DataFrame) -> DataFrame:
     """The measured parts of nested reports as flat rows
     (table_name, section, item, measure, value), from one pass over them."""
 
-    def entry(section: str, item: Column, measure: str, value: Column) -> Column:
-        return F.struct(
-            F.lit(section).alias("section"),
-            item.alias("item"),
-            F.lit(measure).alias("measure"),
-            value.cast("double").alias("value"),
+    def entries(section: str, item: str, measures: dict[str, str]) -> str:
+        rows = ", ".join(
+            record(
+                section=text(section), item=item, measure=text(m), value=f"CAST({v} AS DOUBLE)"
+            )
+            for m, v in measures.items()
         )
+        return f"array({rows})"
 
-    def each(rows: Column | str, make) -> Column:
-        return F.flatten(F.transform(rows, make))
+    def fields_of(prefix: str, *names: str) -> dict[str, str]:
+        return {name: f"{prefix}.{name}" for name in names}
 
-    copies = F.col("duplicate_analysis")
-    parts = [
-        each(
-            "null_analysis.null_details",
-            lambda x: F.array(
-                *[entry("nulls", x["column"], m, x[m]) for m in ("null_count", "null_percentage")]
-            ),
-        ),
-        each(
-            F.map_entries("statistical_analysis.statistics"),
-            lambda x: F.array(
-                *[
-                    entry("statistics", x["key"], m, x["value"][m])
-                    for m in ("count", "mean", "stddev", "min", "max")
-                ]
-            ),
-        ),
-        F.transform("anomalies", lambda x: entry("anomalies", x["type"], "count", x["count"])),
-        F.array(
-            *[
-                entry("duplicates", F.lit("rows"), m, copies[m])
-                for m in (
-                    "total_records",
-                    "unique_records",
-                    "duplicate_count",
-                    "duplicate_percentage",
-                )
-            ],
-            entry("overall", F.lit("table"), "total_columns", F.col("basic_metrics.total_columns")),
-            entry(
-                "overall",
-                F.lit("table"),
-                "columns_with_nulls",
-                F.col("null_analysis.columns_with_nulls"),
-            ),
-            entry("overall", F.lit("table"), "quality_score", F.col("quality_score")),
+    nulls = entries("nulls", "x.column", fields_of("x", "null_count", "null_percentage"))
+    statistics = entries(
+        "statistics", "x.key", fields_of("x.value", "count", "mean", "stddev", "min", "max")
+    )
+    anomalies = entries("anomalies", "x.type", {"count": "x.count"})
+    copies = entries(
+        "duplicates",
+        "'rows'",
+        fields_of(
+            "duplicate_analysis",
+            "total_records",
+            "unique_records",
+            "duplicate_count",
+            "duplicate_percentage",
         ),
-    ]
-    return reports.select("table_name", F.inline(F.concat(*parts)))
+    )
+    overall = entries(
+        "overall",
+        "'table'",
+        {
+            "total_columns": "basic_metrics.total_columns",
+            "columns_with_nulls": "null_analysis.columns_with_nulls",
+            "quality_score": "quality_score",
+        },
+    )
+    return reports.selectExpr(
+        "table_name",
+        f"inline(concat(flatten(transform(null_analysis.null_details, x -> {nulls})), "
+        f"flatten(transform(map_entries(statistical_analysis.statistics), x -> {statistics})), "
+        f"flatten(transform(anomalies, x -> {anomalies})), {copies}, {overall}))",
+    )

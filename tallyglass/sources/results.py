@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyglass.functions.columns import field
+from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import round_scaled
 from tallyglass.fixed_values import CLEANED_TABLE
 from tallyglass.operators.quality import quality_summary
@@ -76,7 +76,7 @@ def write_result(
         write_parquet(df, exact, single_file)
         source = df.sparkSession.read.schema(df.schema).parquet(exact)
     shown = source.withColumns(
-        {c: round_scaled(field(c), digits) for c, digits in (rounded or {}).items()}
+        {c: F.expr(round_scaled(quoted(c), digits)) for c, digits in (rounded or {}).items()}
     )
     for text_format in texts:
         WRITERS[text_format](shown, result_path(root, name, text_format), single_file)
