@@ -7,71 +7,57 @@ so dirt is added by integer arithmetic on the event id. All events take part.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallyglass.schema import TXN_SCHEMA
 
+COLUMNS = {
+    "timestamp": """CASE
+        WHEN event_id % 53 = 0 THEN NULL
+        WHEN event_id % 71 = 0 THEN epoch - 400000000
+        WHEN event_id % 73 = 0 THEN epoch + 100000000
+        ELSE epoch END""",
+    "sending_address": "'s' || user_id",
+    "receiving_address": "CASE WHEN event_id % 59 != 0 THEN 'r' || (event_id * 7) % 97 END",
+    "amount": """extra_amount + CASE
+        WHEN event_id % 23 = 0 THEN -value
+        WHEN event_id % 29 = 0 THEN 0D
+        WHEN event_id % 61 = 0 THEN NULL
+        ELSE value END""",
+    "transaction_type": "CASE WHEN event_type = 'purchase' THEN 'sale' ELSE event_type END",
+    "location_region": "r_name",
+    "ip_prefix": "CAST(172 + event_id % 21 AS DOUBLE)",
+    "login_frequency": "CAST(1 + event_id % 8 AS INT)",
+    "session_duration": "CAST(20 + event_id % 140 AS INT)",
+    "purchase_pattern": "element_at(array('focused', 'random', 'high_value'), CAST(event_id % 3 AS INT) + 1)",
+    "age_group": "IF(event_id % 2 = 0, 'new', 'veteran')",
+    "risk_score": """CASE
+        WHEN event_id % 17 = 0 THEN 'none'
+        WHEN event_id % 101 = 0 THEN 'bad'
+        WHEN event_id % 211 = 0 THEN 'NaN'
+        ELSE (event_id * 13) % 100 || '.25' END""",
+    "anomaly": "IF(event_id % 5 = 0, 'high_risk', 'low_risk')",
+}
+
+# Every 50th event appears twice, and every 70th once more with a larger
+# amount, which makes exact copies and real ties in time.
+COPIES = """array_compact(array(
+    0D, IF(event_id % 50 = 0, 0D, NULL), IF(event_id % 70 = 0, 1D, NULL)))"""
 
-def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scan of ``events``; extra copies come from exploding a short array.
 
-    Every 50th event appears twice, and every 70th once more with a larger
-    amount, which makes exact copies and real ties in time.
-    """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan of ``events``; the copies come from exploding a short array."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+        "event_id",
+        "unix_timestamp(ts) AS epoch",
+        "user_id",
+        "event_type",
+        "value",
+        "CAST(user_id % 25 AS INT) AS n_nationkey",
+        f"explode({COPIES}) AS extra_amount",
+    )
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
-
-    located = (
-        events.select(
-            "event_id", "ts", "user_id", "event_type", "value",
-            (F.col("user_id") % 25).alias("nation_key"),
-        )
-        .join(nation, F.col("nation_key") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-
-    event_id = F.col("event_id")
-
-    def every(n: int):
-        return event_id % n == 0
-
-    epoch = F.unix_timestamp("ts")
-    value = F.col("value")
-    extra = F.col("extra_amount")
-    copies = F.filter(
-        F.array(F.lit(0.0), F.when(every(50), 0.0), F.when(every(70), 1.0)),
-        lambda bump: bump.isNotNull(),
+    located = events.join(nation, "n_nationkey").join(
+        region, nation["n_regionkey"] == region["r_regionkey"]
     )
-    columns = {
-        "timestamp": F.when(every(53), None)
-        .when(every(71), epoch - 400000000)
-        .when(every(73), epoch + 100000000)
-        .otherwise(epoch),
-        "sending_address": F.concat(F.lit("s"), F.col("user_id").cast("string")),
-        "receiving_address": F.when(
-            ~every(59), F.concat(F.lit("r"), ((event_id * 7) % 97).cast("string"))
-        ),
-        "amount": F.when(every(23), -value)
-        .when(every(29), 0.0)
-        .when(~every(61), value)
-        + extra,
-        "transaction_type": F.when(F.col("event_type") == "purchase", "sale").otherwise(
-            F.col("event_type")
-        ),
-        "location_region": F.col("r_name"),
-        "ip_prefix": (172 + event_id % 21).cast("double"),
-        "login_frequency": (1 + event_id % 8).cast("int"),
-        "session_duration": (20 + event_id % 140).cast("int"),
-        "purchase_pattern": F.when(every(3), "focused")
-        .when(event_id % 3 == 1, "random")
-        .otherwise("high_value"),
-        "age_group": F.when(every(2), "new").otherwise("veteran"),
-        "risk_score": F.when(every(17), "none")
-        .when(every(101), "bad")
-        .when(every(211), "NaN")
-        .otherwise(F.concat(((event_id * 13) % 100).cast("string"), F.lit(".25"))),
-        "anomaly": F.when(every(5), "high_risk").otherwise("low_risk"),
-    }
-    exploded = located.withColumn("extra_amount", F.explode(copies))
-    return exploded.select(*[columns[f.name].alias(f.name) for f in TXN_SCHEMA])
+    return located.selectExpr(*[f"{COLUMNS[f.name]} AS {f.name}" for f in TXN_SCHEMA])
