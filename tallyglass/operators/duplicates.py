@@ -12,11 +12,13 @@ from pyspark.sql.types import MapType
 
 from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import percentage
-from tallyglass.session import shared_folder
+from tallyglass.session import shared_folder, sized_shuffles
 
 # 4 million 8-byte hashes stay near 100 MB in every executor.
 BROADCAST_HASHES = 4_000_000
 HASH_ABOVE_ROWS = 50_000_000
+HASH_BYTES = 32  # a hash, its count and the row around them
+COLUMN_BYTES = 32
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
@@ -42,7 +44,8 @@ def duplicate_profile(
               after each task has collapsed its own copies.
     ``hash``  runs jobs; shuffles one 8-byte hash per row, then compares whole
               rows only where a hash occurs more than once. Exact as well, and
-              far less shuffle for a large table with few copies.
+              far less shuffle for a large table with few copies. Scans the
+              table twice, so it should be a columnar file.
     ``auto``  counts the rows (footers only for Parquet) and picks one.
     """
     if method == "auto":
@@ -65,26 +68,47 @@ def _by_rows(df: DataFrame) -> DataFrame:
     return _with_share(counted)
 
 
-def _by_hash(df: DataFrame, broadcast_hashes: int) -> DataFrame:
+def with_hash(df: DataFrame) -> DataFrame:
+    """``df`` and an 8-byte hash of each row; equal rows have equal hashes."""
     rows = comparable(df)
-    hashed = rows.withColumn("hash_of_row", F.xxhash64(*map(quoted, rows.columns)))
-
-    # Hashes seen more than once, written so that later jobs do not regroup.
-    folder = shared_folder(df.sparkSession)
-    _groups(hashed.select("hash_of_row")).filter("copies_of_row > 1").write.parquet(folder)
-    repeated = df.sparkSession.read.parquet(folder)
-
-    if repeated.count() <= broadcast_hashes:
-        suspects = hashed.join(F.broadcast(repeated), "hash_of_row", "left_semi")
-    else:
-        suspects = hashed
-    # Rows that share a hash without being equal stay separate groups here.
-    surplus = _groups(suspects).selectExpr("coalesce(sum(copies_of_row - 1), 0) AS surplus")
-    total = df.selectExpr("count(1) AS total")
-    counted = total.unionByName(surplus, allowMissingColumns=True).selectExpr(
-        "max(total) AS total_records", "max(total) - max(surplus) AS unique_records"
+    return rows.withColumn("hash_of_row", F.xxhash64(*map(quoted, rows.columns)))
+
+
+def repeated_hashes(hashed: DataFrame) -> DataFrame:
+    """Hashes seen more than once and how often; reads rows, shuffles hashes."""
+    return _groups(hashed.select("hash_of_row")).filter("copies_of_row > 1")
+
+
+def rows_with(hashed: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows whose hash is listed. Callers check that the list is small."""
+    return hashed.join(F.broadcast(repeated.select("hash_of_row")), "hash_of_row", "left_semi")
+
+
+def _by_hash(df: DataFrame, broadcast_hashes: int) -> DataFrame:
+    spark = df.sparkSession
+    hashed = with_hash(df)
+    total = df.count()
+
+    # Written, so that the comparison below does not hash and group again.
+    folder = shared_folder(spark)
+    listing = repeated_hashes(hashed)
+    with sized_shuffles(spark, total, HASH_BYTES):
+        listing.write.parquet(folder)
+    repeated = spark.read.schema(listing.schema).parquet(folder)
+    hashes, suspects = repeated.selectExpr("count(1)", "coalesce(sum(copies_of_row), 0)").first()
+
+    surplus = 0
+    if hashes:
+        few = hashes <= broadcast_hashes
+        compared = rows_with(hashed, repeated) if few else hashed
+        with sized_shuffles(spark, suspects if few else total, COLUMN_BYTES * len(df.columns)):
+            # Rows that share a hash without being equal are separate groups.
+            surplus = _groups(compared).selectExpr("sum(copies_of_row - 1)").first()[0]
+    return _with_share(
+        spark.range(1).selectExpr(
+            f"{total}L AS total_records", f"{total - surplus}L AS unique_records"
+        )
     )
-    return _with_share(counted)
 
 
 def _with_share(counted: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ from tallyglass.operators.quality import (
 )
 from tallyglass.plans.report import quality_report
 from tallyglass.schema import TXN_SCHEMA
+from tallyglass.session import sized_shuffles
 from tallyglass.sources.results import (
     FORMATS,
     REPORT,
@@ -44,6 +45,8 @@ from tallyglass.sources.results import (
 )
 from tallyglass.sources.transactions import land, load_transactions
 
+SALE_BYTES = 64  # address, amount and time of a sale in a shuffle
+
 EXPECTED_RESULTS = {
     RISK_RESULT: RISK_RESULT_COLUMNS,
     SALES_RESULT: SALES_RESULT_COLUMNS,
@@ -106,8 +109,10 @@ def full_run(
         SALES_RESULT: top_sale_addresses(cleaned, options.top),
     }
     rounding = {RISK_RESULT: {"avg_risk_score": RISK_DIGITS}}
-    for name, result in analyses.items():
-        write_result(result, root, name, options.formats, rounding.get(name))
+    # The latest sale of every address is the one analysis with a large shuffle.
+    with sized_shuffles(spark, raw.count(), SALE_BYTES):
+        for name, result in analyses.items():
+            write_result(result, root, name, options.formats, rounding.get(name))
     main_format = options.formats[0]
     written = {
         name: read_result(spark, root, name, main_format, result.schema)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,6 +18,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# What one task of a large shuffle should read.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
 _local_root: str | None = None
 
 
@@ -40,3 +46,21 @@ def shared_folder(spark: SparkSession) -> str:
             _local_root = tempfile.mkdtemp(prefix="tallyglass-")
         root = _local_root
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: int, row_bytes: int) -> Iterator[None]:
+    """Run the enclosed jobs with enough shuffle partitions for that many rows.
+
+    Adaptive execution merges partitions that turn out small but cannot split
+    those of an aggregate, so the number has to start out large enough. A
+    larger number set by the user stays.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = math.ceil(rows * row_bytes / SHUFFLE_PARTITION_BYTES)
+    spark.conf.set(key, str(max(int(before), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -35,4 +35,4 @@ def land(df: DataFrame, path: str) -> DataFrame:
     need nothing of the input when an executor is lost.
     """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

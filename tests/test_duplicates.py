@@ -74,3 +74,16 @@ def test_auto_picks_by_row_count(spark, monkeypatch):
 def test_unknown_method(spark):
     with pytest.raises(ValueError, match="sideways"):
         duplicate_profile(spark.range(1), method="sideways")
+
+
+def test_shuffles_grow_with_the_table_and_settings_come_back(spark):
+    from tallyglass.session import SHUFFLE_PARTITION_BYTES, sized_shuffles
+
+    key = "spark.sql.shuffle.partitions"
+    with pytest.raises(KeyError):
+        with sized_shuffles(spark, 1000, SHUFFLE_PARTITION_BYTES):
+            assert spark.conf.get(key) == "1000"
+            raise KeyError
+    assert spark.conf.get(key) == "8"
+    with sized_shuffles(spark, 10, 10):
+        assert spark.conf.get(key) == "8"

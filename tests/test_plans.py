@@ -88,9 +88,13 @@ def test_copies_collapse_before_the_shuffle(table):
     assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")
 
 
-def test_hash_counting_shuffles_no_whole_row_of_the_table(table):
-    plan = plan_of(duplicates.duplicate_profile(table, method="hash"))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+def test_hash_counting_shuffles_hashes_and_broadcasts_the_checked_list(table):
+    hashed = duplicates.with_hash(table)
+    listing = plan_of(duplicates.repeated_hashes(hashed))
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", listing) == ["hash_of_row"]
+    assert re.findall(r"output=\[(.*)\]", listing)[0].count("#") == 2
+    compared = plan_of(duplicates.rows_with(hashed, duplicates.repeated_hashes(hashed)))
+    assert "BroadcastHashJoin" in compared and "LeftSemi" in compared
 
 
 def test_report_is_two_scans(table):
