@@ -655,9 +655,9 @@ def oracle_sql() -> dict[str, str]:
         "threshold_rules": f"{scored} {_rules_sql()}",
         "quality_report_details": _details_sql(),
         "execution_report": (
-            f"{scored} SELECT '{REPORT_TIME}' AS execution_date, '{fixed.JOB_ID}' AS job_id, "
+            f"{scored} SELECT '{REPORT_TIME}' AS execution_date, '{quality.JOB_ID}' AS job_id, "
             "CASE WHEN quality_score < 70 THEN 'failed' ELSE 'success' END AS status, "
-            f"'{','.join(fixed.TASKS)}' AS tasks_completed, quality_score, total_records "
+            f"'{','.join(quality.TASKS)}' AS tasks_completed, quality_score, total_records "
             f"FROM scored WHERE table_name = '{fixed.CLEANED_TABLE}'"
         ),
         "results_present": (

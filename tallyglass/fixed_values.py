@@ -74,12 +74,3 @@ SUMMARY_SCORE = ("Score de qualidade: ", "/100")
 SUMMARY_NULL_COLUMNS = "Colunas com nulos: "
 SUMMARY_DUPLICATES = "Registros duplicados: "
 SUMMARY_ANOMALIES = "Anomalias detectadas: "
-
-# Run report ---------------------------------------------------
-JOB_ID = "credit_data_pipeline"
-TASKS = (
-    "check_input_file",
-    "run_credit_pipeline",
-    "validate_results",
-    "send_quality_alerts",
-)

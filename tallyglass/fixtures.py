@@ -38,6 +38,12 @@ COLUMNS = {
     "anomaly": "IF(event_id % 5 = 0, 'high_risk', 'low_risk')",
 }
 
+SOURCES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
 # Every 50th event appears twice, and every 70th once more with a larger
 # amount, which makes exact copies and real ties in time.
 COPIES = """array_compact(array(
@@ -46,7 +52,11 @@ COPIES = """array_compact(array(
 
 def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan of ``events``; the copies come from exploding a short array."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
+    events, nation, region = (
+        spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+        for name, schema in SOURCES.items()
+    )
+    events = events.selectExpr(
         "event_id",
         "unix_timestamp(ts) AS epoch",
         "user_id",
@@ -55,8 +65,6 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(user_id % 25 AS INT) AS n_nationkey",
         f"explode({COPIES}) AS extra_amount",
     )
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
     located = events.join(nation, "n_nationkey").join(
         region, nation["n_regionkey"] == region["r_regionkey"]
     )

@@ -6,6 +6,8 @@ Spark grouping.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -37,6 +39,7 @@ def duplicate_profile(
     method: str = "rows",
     hash_above_rows: int = HASH_ABOVE_ROWS,
     broadcast_hashes: int = BROADCAST_HASHES,
+    derived: Sequence[str] = (),
 ) -> DataFrame:
     """One row: total, unique, duplicate_count and duplicate_percentage.
 
@@ -47,7 +50,11 @@ def duplicate_profile(
               far less shuffle for a large table with few copies. Scans the
               table twice, so it should be a columnar file.
     ``auto``  counts the rows (footers only for Parquet) and picks one.
+
+    ``derived`` names columns computed from others of the same row: equal rows
+    agree in them anyway, so they need not be hashed, compared or shuffled.
     """
+    df = df.drop(*derived)
     if method == "auto":
         method = "hash" if df.count() > hash_above_rows else "rows"
     if method == "rows":

@@ -22,7 +22,6 @@ from tallyglass.fixed_values import (
     BAND_MEDIUM,
     CLEANED_TABLE,
     GATE_SCORE,
-    JOB_ID,
     MAX_ANOMALY_POINTS,
     MAX_DUPLICATE_PERCENTAGE,
     MAX_DUPLICATE_POINTS,
@@ -40,7 +39,6 @@ from tallyglass.fixed_values import (
     SUMMARY_SCORE,
     SUMMARY_TIMESTAMP,
     SUMMARY_TITLE,
-    TASKS,
 )
 from tallyglass.functions.columns import record, text
 from tallyglass.functions.rounding import round_exact
@@ -50,6 +48,9 @@ NULL_COLUMNS = "null_analysis.columns_with_nulls"
 DUPLICATE_SHARE = "duplicate_analysis.duplicate_percentage"
 ANOMALY_TYPES = "size(anomalies)"
 
+JOB_ID = "tallyglass"
+TASKS = ("load", "profile", "clean", "analyse", "report")
+
 
 @dataclass(frozen=True)
 class Thresholds:

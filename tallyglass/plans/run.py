@@ -130,9 +130,17 @@ def full_run(
     rules = transaction_anomaly_rules(options.reference_epoch)
     raw_report, cleaned_report = (
         quality_report(
-            table, name, options.report_time, rules, duplicates=options.duplicates
+            table,
+            name,
+            options.report_time,
+            rules,
+            duplicates=options.duplicates,
+            derived=derived,
+        )
+        for table, name, derived in (
+            (raw, RAW_TABLE, ()),
+            (cleaned, CLEANED_TABLE, ("timestamp_readable",)),
         )
-        for table, name in ((raw, RAW_TABLE), (cleaned, CLEANED_TABLE))
     )
     reports = land(
         raw_report.unionByName(cleaned_report), f"{root.rstrip('/')}/{REPORT}_parquet"

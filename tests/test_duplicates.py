@@ -87,3 +87,10 @@ def test_shuffles_grow_with_the_table_and_settings_come_back(spark):
     assert spark.conf.get(key) == "8"
     with sized_shuffles(spark, 10, 10):
         assert spark.conf.get(key) == "8"
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_derived_columns_change_nothing(transactions, method):
+    df = transactions({}, {}, {"timestamp": 7}, {"timestamp": None}, {"timestamp": None})
+    readable = df.selectExpr("*", "from_unixtime(`timestamp`) AS r")
+    assert profile(readable, method, derived=["r"]) == profile(readable, method) == (5, 3, 2, 40.0)

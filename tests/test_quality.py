@@ -188,14 +188,9 @@ def test_execution_report(report):
     row = json.loads(quality.execution_report(report(score=95.0), STAMP).toJSON().first())
     assert row == {
         "execution_date": STAMP,
-        "job_id": "credit_data_pipeline",
+        "job_id": "tallyglass",
         "status": "success",
-        "tasks_completed": [
-            "check_input_file",
-            "run_credit_pipeline",
-            "validate_results",
-            "send_quality_alerts",
-        ],
+        "tasks_completed": ["load", "profile", "clean", "analyse", "report"],
         "quality_summary": {"quality_score": 95.0, "total_records": 17},
     }
     assert quality.execution_report(report(score=69.9), STAMP).first().status == "failed"

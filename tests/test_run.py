@@ -4,6 +4,7 @@ import pytest
 from conftest import as_dicts
 from pyspark.errors import AnalysisException, PySparkException
 
+from tallyglass.__main__ import main
 from tallyglass.operators.quality import Thresholds
 from tallyglass.plans.run import RunOptions, full_run
 from tallyglass.sources import results
@@ -91,3 +92,13 @@ def test_strict_gate_stops_the_reader(spark, source, tmp_path):
 def test_missing_input(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         full_run(spark, str(tmp_path / "absent"), str(tmp_path / "out"))
+
+
+def test_command_line(spark, source, transactions, tmp_path, capsys):
+    assert main([source, str(tmp_path / "out"), "--formats", "csv"]) == 0
+    assert "cleaned_data" in capsys.readouterr().out
+    poor = str(tmp_path / "poor")
+    bad = {"sending_address": None, "anomaly": None, "age_group": None, "risk_score": None}
+    results.write_csv(transactions(*[bad] * 4), poor)
+    assert main([poor, str(tmp_path / "out2"), "--duplicates", "hash"]) == 1
+    assert main([poor, str(tmp_path / "out3"), "--no-quality-checks"]) == 0
