@@ -112,7 +112,9 @@ def full_run(
     # The latest sale of every address is the one analysis with a large shuffle.
     with sized_shuffles(spark, raw.count(), SALE_BYTES):
         for name, result in analyses.items():
-            write_result(result, root, name, options.formats, rounding.get(name))
+            write_result(
+                result, root, name, options.formats, rounding.get(name), nan_as_null=True
+            )
     main_format = options.formats[0]
     written = {
         name: read_result(spark, root, name, main_format, result.schema)

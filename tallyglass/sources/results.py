@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import round_scaled
@@ -56,11 +56,13 @@ def write_result(
     formats: Sequence[str] = FORMATS,
     rounded: Mapping[str, int] | None = None,
     single_file: bool = False,
+    nan_as_null: bool = False,
 ) -> None:
     """Write one result in several formats but compute it once.
 
     The first Parquet copy holds the exact values; CSV and JSON are written
-    from it with the columns of ``rounded`` rounded to that many digits.
+    from it with the columns of ``rounded`` rounded to that many digits and,
+    with ``nan_as_null``, without the word NaN, which JSON has no number for.
     """
     unknown = [f for f in formats if f not in WRITERS]
     if unknown:
@@ -78,6 +80,9 @@ def write_result(
     shown = source.withColumns(
         {c: F.expr(round_scaled(quoted(c), digits)) for c, digits in (rounded or {}).items()}
     )
+    if nan_as_null:
+        fractions = [f.name for f in df.schema if isinstance(f.dataType, (DoubleType, FloatType))]
+        shown = shown.withColumns({c: F.nanvl(field(c), F.lit(None)) for c in fractions})
     for text_format in texts:
         WRITERS[text_format](shown, result_path(root, name, text_format), single_file)
 

@@ -15,9 +15,9 @@ from pyspark.sql.types import StructType
 from tallyglass.fixed_values import CLEANED_TABLE, RISK_DIGITS, RISK_RESULT, SALES_RESULT
 from tallyglass.operators.analytics import location_risk, top_sale_addresses
 from tallyglass.operators.cleaning import clean_transactions
+from tallyglass.plans.run import SALE_BYTES
 from tallyglass.schema import TXN_SCHEMA
 from tallyglass.session import sized_shuffles
-from tallyglass.plans.run import SALE_BYTES
 from tallyglass.sources.results import write_result
 
 
@@ -54,7 +54,8 @@ def refresh_results(spark: SparkSession, folder: str, root: str, drop_nan: bool
         root,
         RISK_RESULT,
         rounded={"avg_risk_score": RISK_DIGITS},
+        nan_as_null=True,
     )
     with sized_shuffles(spark, cleaned.count(), SALE_BYTES):
-        write_result(top_sale_addresses(cleaned), root, SALES_RESULT)
+        write_result(top_sale_addresses(cleaned), root, SALES_RESULT, nan_as_null=True)
     return cleaned

@@ -120,6 +120,16 @@ def test_nulls_survive_json(spark, tmp_path):
     assert sorted(lines) == ['{"x":1.5,"y":null}', '{"x":null,"y":"a"}']
 
 
+def test_nan_becomes_null_in_text_only(spark, transactions, tmp_path):
+    df = clean_transactions(transactions({"risk_score": "NaN"}))
+    risk = location_risk(df)
+    results.write_result(risk, str(tmp_path), "r", rounded={"avg_risk_score": 2}, nan_as_null=True)
+    read = lambda f: "".join(open(p).read() for p in parts(tmp_path / f"r.{f}", f))
+    assert read("csv").splitlines() == ["location_region,avg_risk_score", "Asia,"]
+    assert json.loads(read("json")) == {"location_region": "Asia", "avg_risk_score": None}
+    assert results.read_result(spark, str(tmp_path), "r").filter("isnan(avg_risk_score)").count() == 1
+
+
 def test_results_present(spark, sample, tmp_path):
     cleaned = clean_transactions(sample)
     results.write_result(location_risk(cleaned), str(tmp_path), "location_risk_analysis", ["parquet"])
