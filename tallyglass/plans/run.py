@@ -104,26 +104,18 @@ def full_run(
     if options.keep_cleaned:
         cleaned = land(cleaned, f"{root.rstrip('/')}/{CLEANED_TABLE}_parquet")
 
-    analyses = {
-        RISK_RESULT: location_risk(cleaned, drop_nan=options.drop_nan),
-        SALES_RESULT: top_sale_addresses(cleaned, options.top),
-    }
-    rounding = {RISK_RESULT: {"avg_risk_score": RISK_DIGITS}}
-    # The latest sale of every address is the one analysis with a large shuffle.
+    risk = location_risk(cleaned, drop_nan=options.drop_nan)
+    rounded = {"avg_risk_score": RISK_DIGITS}
+    write_result(risk, root, RISK_RESULT, options.formats, rounded, nan_as_null=True)
+    sales = top_sale_addresses(cleaned, options.top)
+    # The latest sale of every address is the analysis whose shuffle can be large.
     with sized_shuffles(spark, raw.count(), SALE_BYTES):
-        for name, result in analyses.items():
-            write_result(
-                result, root, name, options.formats, rounding.get(name), nan_as_null=True
-            )
+        write_result(sales, root, SALES_RESULT, options.formats, nan_as_null=True)
     main_format = options.formats[0]
-    written = {
-        name: read_result(spark, root, name, main_format, result.schema)
-        for name, result in analyses.items()
-    }
     common = {
         "cleaned": cleaned,
-        "location_risk": written[RISK_RESULT],
-        "top_sales": written[SALES_RESULT],
+        "location_risk": read_result(spark, root, RISK_RESULT, main_format, risk.schema),
+        "top_sales": read_result(spark, root, SALES_RESULT, main_format, sales.schema),
         "present": results_present(spark, root, EXPECTED_RESULTS, main_format),
     }
     if not options.quality_checks:

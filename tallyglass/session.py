@@ -18,8 +18,11 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# What one task of a large shuffle should read.
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# What one task of a large shuffle should read. More partitions than the bound
+# would cut the output of each mapping task into blocks too small to fetch well;
+# beyond it the tasks read more and spill.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 20_000
 
 _local_root: str | None = None
 
@@ -58,7 +61,9 @@ def sized_shuffles(spark: SparkSession, rows: int, row_bytes: int) -> Iterator[N
     """
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    needed = math.ceil(rows * row_bytes / SHUFFLE_PARTITION_BYTES)
+    needed = min(
+        math.ceil(rows * row_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS
+    )
     spark.conf.set(key, str(max(int(before), needed)))
     try:
         yield

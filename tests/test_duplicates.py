@@ -77,7 +77,11 @@ def test_unknown_method(spark):
 
 
 def test_shuffles_grow_with_the_table_and_settings_come_back(spark):
-    from tallyglass.session import SHUFFLE_PARTITION_BYTES, sized_shuffles
+    from tallyglass.session import (
+        MOST_SHUFFLE_PARTITIONS,
+        SHUFFLE_PARTITION_BYTES,
+        sized_shuffles,
+    )
 
     key = "spark.sql.shuffle.partitions"
     with pytest.raises(KeyError):
@@ -85,6 +89,8 @@ def test_shuffles_grow_with_the_table_and_settings_come_back(spark):
             assert spark.conf.get(key) == "1000"
             raise KeyError
     assert spark.conf.get(key) == "8"
+    with sized_shuffles(spark, 10**12, 10**6):
+        assert spark.conf.get(key) == str(MOST_SHUFFLE_PARTITIONS)
     with sized_shuffles(spark, 10, 10):
         assert spark.conf.get(key) == "8"
 
