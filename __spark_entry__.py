@@ -13,7 +13,7 @@ from tallyglass.functions.columns import is_missing
 from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality
 from tallyglass.plans.report import quality_report, report_details
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, full_run
-from tallyglass.schema import REPORT_DDL, TXN_SCHEMA
+from tallyglass.schema import TXN_SCHEMA
 from tallyglass.session import prepare, shared_folder
 from tallyglass.sources import results
 from tallyglass.sources.transactions import load_transactions
@@ -138,32 +138,19 @@ def _type_counts_of_records(tx: DataFrame) -> DataFrame:
 def _quality_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     results.write_quality_report(_reports(spark, sf_dir, statistics=True), root)
-    body = REPORT_DDL.removeprefix("table_name string, ")
-    path = results.result_path(root, results.REPORT, "json")
-    written = spark.read.text(path, wholetext=True)
-    tables = written.select(
-        F.explode(F.from_json("value", f"map<string,struct<{_as_struct(body)}>>")).alias(
-            "table_name", "r"
-        )
-    )
-    return tables.select(
+    return results.read_quality_report(spark, root).select(
         "table_name",
-        F.col("r.timestamp").alias("report_time"),
-        F.col("r.basic_metrics.total_records").alias("total_records"),
-        F.col("r.basic_metrics.total_columns").alias("total_columns"),
-        F.col("r.null_analysis.columns_with_nulls").alias("columns_with_nulls"),
-        F.col("r.duplicate_analysis.duplicate_count").alias("duplicate_count"),
-        F.size("r.statistical_analysis.statistics").alias("numeric_columns"),
-        F.size("r.anomalies").alias("anomaly_types"),
-        F.col("r.quality_score").alias("quality_score"),
+        F.col("timestamp").alias("report_time"),
+        "basic_metrics.total_records",
+        "basic_metrics.total_columns",
+        "null_analysis.columns_with_nulls",
+        "duplicate_analysis.duplicate_count",
+        F.size("statistical_analysis.statistics").alias("numeric_columns"),
+        F.size("anomalies").alias("anomaly_types"),
+        "quality_score",
     )
 
 
-def _as_struct(ddl: str) -> str:
-    """Top-level ``name type`` pairs in the nested ``name:type`` form."""
-    return ",".join(part.replace(" ", ":", 1) for part in ddl.split(", "))
-
-
 def _quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_summary(_reports(spark, sf_dir))
 

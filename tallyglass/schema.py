@@ -35,17 +35,22 @@ NULL_DETAIL = "struct<column:string,null_count:bigint,null_percentage:double>"
 STATISTIC = "struct<count:bigint,mean:double,stddev:double,min:double,max:double>"
 ANOMALY = "struct<type:string,column:string,count:bigint,description:string>"
 
-REPORT_DDL = (
-    "table_name string, timestamp string, "
-    "basic_metrics struct<total_records:bigint,total_columns:int>, "
-    f"null_analysis struct<null_details:array<{NULL_DETAIL}>,columns_with_nulls:int>, "
-    "duplicate_analysis struct<total_records:bigint,unique_records:bigint,"
-    "duplicate_count:bigint,duplicate_percentage:double>, "
-    "data_types_analysis struct<data_types:array<struct<column:string,data_type:string>>,"
-    "type_distribution:map<string,int>>, "
-    f"statistical_analysis struct<numeric_columns:array<string>,statistics:map<string,{STATISTIC}>>, "
-    f"anomalies array<{ANOMALY}>, quality_score double"
-)
+# Report of one table; a table of reports has ``table_name`` in front.
+REPORT_FIELDS = {
+    "timestamp": "string",
+    "basic_metrics": "struct<total_records:bigint,total_columns:int>",
+    "null_analysis": f"struct<null_details:array<{NULL_DETAIL}>,columns_with_nulls:int>",
+    "duplicate_analysis": "struct<total_records:bigint,unique_records:bigint,"
+    "duplicate_count:bigint,duplicate_percentage:double>",
+    "data_types_analysis": "struct<data_types:array<struct<column:string,data_type:string>>,"
+    "type_distribution:map<string,int>>",
+    "statistical_analysis": "struct<numeric_columns:array<string>,"
+    f"statistics:map<string,{STATISTIC}>>",
+    "anomalies": f"array<{ANOMALY}>",
+    "quality_score": "double",
+}
+REPORT_STRUCT = f"struct<{','.join(f'{k}:{v}' for k, v in REPORT_FIELDS.items())}>"
+REPORT_DDL = ", ".join(f"{k} {v}" for k, v in {"table_name": "string", **REPORT_FIELDS}.items())
 
 
 def require_columns(df: DataFrame, names) -> None:

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
+from tallyglass.fixed_values import CLEANED_TABLE
 from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import round_scaled
-from tallyglass.fixed_values import CLEANED_TABLE
 from tallyglass.operators.quality import quality_summary
+from tallyglass.schema import REPORT_STRUCT
 from tallyglass.session import shared_folder
 
 FORMATS = ("parquet", "csv", "json")
@@ -153,6 +154,16 @@ def write_quality_report(reports: DataFrame, root: str) -> None:
     document.coalesce(1).write.mode("overwrite").text(result_path(root, REPORT, "json"))
 
 
+def read_quality_report(spark: SparkSession, root: str) -> DataFrame:
+    """Reports written by ``write_quality_report``, one row per table, for
+    alerts and gates that run later. A missing report raises Spark's error."""
+    document = spark.read.text(result_path(root, REPORT, "json"), wholetext=True)
+    tables = F.from_json("value", f"map<string,{REPORT_STRUCT}>")
+    return document.select(F.explode(tables).alias("table_name", "report")).select(
+        "table_name", "report.*"
+    )
+
+
 def write_quality_summary(
     reports: DataFrame, root: str, table_name: str = CLEANED_TABLE
 ) -> None:

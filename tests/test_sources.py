@@ -1,5 +1,6 @@
 import glob
 import json
+import math
 import os
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.errors import AnalysisException
 from tallyglass import session
 from tallyglass.operators.analytics import location_risk, top_sale_addresses
 from tallyglass.operators.cleaning import clean_transactions
+from tallyglass.operators.quality import quality_gate
 from tallyglass.plans.report import quality_report
 from tallyglass.plans.run import EXPECTED_RESULTS
 from tallyglass.sources import results
@@ -159,6 +161,20 @@ def test_report_document_is_keyed_by_table(spark, sample, tmp_path):
     assert written["raw_data"]["statistical_analysis"]["statistics"]["amount"]["count"] == 17
 
 
+def test_written_report_serves_a_later_gate(spark, sample, transactions, tmp_path):
+    nan = transactions({"amount": math.nan})
+    reports = quality_report(sample, "raw_data", "T0").unionByName(
+        quality_report(clean_transactions(nan), "cleaned_data", "T1")
+    )
+    results.write_quality_report(reports, str(tmp_path))
+    back = results.read_quality_report(spark, str(tmp_path))
+    assert back.schema.simpleString() == reports.schema.simpleString()
+    assert sorted(map(str, back.collect())) == sorted(map(str, reports.collect()))
+    assert quality_gate(back).first().passed is True
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        results.read_quality_report(spark, str(tmp_path / "absent"))
+
+
 def test_summary_file_keeps_its_lines_in_order(sample, tmp_path):
     reports = quality_report(clean_transactions(sample), "cleaned_data", "T1")
     results.write_quality_summary(reports, str(tmp_path))
