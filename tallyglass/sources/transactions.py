@@ -16,16 +16,18 @@ def load_transactions(
 ) -> DataFrame:
     """Headered CSV with the declared schema, or any columnar source.
 
-    ``schema=None`` infers CSV types, which costs one more pass over the text
-    and reads values such as ``192.168`` as numbers. A missing path fails here
-    with Spark's own error, on every file system Spark can read.
+    Header names must match the schema; a file with other or reordered columns
+    fails when it is read. ``schema=None`` takes names from the header and infers
+    types, which costs one more pass over the text and reads values such as
+    ``192.168`` as numbers. A missing path fails here with Spark's own error, on
+    every file system Spark can read.
     """
     if source_format != "csv":
         return spark.read.format(source_format).load(path)
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 
 def land(df: DataFrame, path: str) -> DataFrame:

@@ -25,7 +25,8 @@ def transaction_stream(
     spark: SparkSession, folder: str, schema: StructType | str = TXN_SCHEMA
 ) -> DataFrame:
     """Stream over the headered CSV files of a folder."""
-    return spark.readStream.schema(schema).option("header", True).csv(folder)
+    reader = spark.readStream.schema(schema).option("header", True)
+    return reader.option("enforceSchema", False).csv(folder)
 
 
 def add_new_files(spark: SparkSession, folder: str, root: str) -> DataFrame:

@@ -5,7 +5,8 @@ import os
 
 import pytest
 from conftest import as_dicts
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
 from tallyglass import session
 from tallyglass.operators.analytics import location_risk, top_sale_addresses
@@ -43,6 +44,21 @@ def test_prefixes_can_stay_text(spark, tmp_path):
     assert [r.ip_prefix for r in text.collect()] == ["192.0", "10.10"]
 
 
+def test_reordered_columns_are_refused_not_misread(spark, sample, tmp_path):
+    path = str(tmp_path / "in")
+    results.write_csv(sample.select(*reversed(sample.columns)), path)
+    with pytest.raises(PySparkException, match="FAILED_READ_FILE|header"):
+        load_transactions(spark, path).collect()
+    inferred = load_transactions(spark, path, schema=None)
+    assert clean_transactions(inferred).count() == 17
+
+
+def test_malformed_numbers_become_null(spark, sample, tmp_path):
+    path = str(tmp_path / "in")
+    results.write_csv(sample.withColumn("amount", F.lit("12,5")), path)
+    assert load_transactions(spark, path).filter("amount IS NULL").count() == 17
+
+
 def test_parquet_source(spark, sample, tmp_path):
     path = str(tmp_path / "p")
     sample.write.parquet(path)
