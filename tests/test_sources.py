@@ -5,7 +5,7 @@ import os
 
 import pytest
 from conftest import as_dicts
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyglass import session
@@ -47,7 +47,7 @@ def test_prefixes_can_stay_text(spark, tmp_path):
 def test_reordered_columns_are_refused_not_misread(spark, sample, tmp_path):
     path = str(tmp_path / "in")
     results.write_csv(sample.select(*reversed(sample.columns)), path)
-    with pytest.raises(PySparkException, match="FAILED_READ_FILE|header"):
+    with pytest.raises(Exception, match="CSV header does not conform"):
         load_transactions(spark, path).collect()
     inferred = load_transactions(spark, path, schema=None)
     assert clean_transactions(inferred).count() == 17
