@@ -18,6 +18,14 @@ from tallyglass.functions.rounding import round_scaled
 from tallyglass.schema import require_columns
 
 
+def highest_risk_first() -> list[Column]:
+    return [F.desc("avg_risk_score"), F.asc("location_region")]
+
+
+def largest_sale_first() -> list[Column]:
+    return [F.desc("amount"), F.asc("receiving_address")]
+
+
 def filter_valid_risk(
     df: DataFrame, column: str = "risk_score", drop_nan: bool = False
 ) -> DataFrame:
@@ -35,10 +43,7 @@ def filter_sales(
 
 
 def location_risk(
-    df: DataFrame,
-    region: str = "location_region",
-    risk: str = "risk_score",
-    drop_nan: bool = False,
+    df: DataFrame, risk: str = "risk_score", drop_nan: bool = False
 ) -> DataFrame:
     """Mean risk per region, highest first.
 
@@ -46,8 +51,8 @@ def location_risk(
     then carries one row per region and task.
     """
     valid = filter_valid_risk(df, risk, drop_nan)
-    means = valid.groupBy(field(region)).agg(F.avg(field(risk)).alias("avg_risk_score"))
-    return means.orderBy(F.desc("avg_risk_score"), field(region).asc())
+    means = valid.groupBy("location_region").agg(F.avg(field(risk)).alias("avg_risk_score"))
+    return means.orderBy(*highest_risk_first())
 
 
 def location_risk_rounded(
@@ -95,4 +100,4 @@ def top_sale_addresses(df: DataFrame, k: int = TOP_ADDRESSES) -> DataFrame:
     latest = latest_per_key(
         sales, ["receiving_address"], [F.desc("timestamp"), F.desc("amount")]
     )
-    return latest.orderBy(F.desc("amount"), F.asc("receiving_address")).limit(k)
+    return latest.orderBy(*largest_sale_first()).limit(k)

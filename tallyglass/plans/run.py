@@ -19,7 +19,12 @@ from tallyglass.fixed_values import (
     SALES_RESULT_COLUMNS,
     TOP_ADDRESSES,
 )
-from tallyglass.operators.analytics import location_risk, top_sale_addresses
+from tallyglass.operators.analytics import (
+    highest_risk_first,
+    largest_sale_first,
+    location_risk,
+    top_sale_addresses,
+)
 from tallyglass.operators.cleaning import clean_transactions
 from tallyglass.operators.profiling import transaction_anomaly_rules
 from tallyglass.operators.quality import (
@@ -106,11 +111,15 @@ def full_run(
 
     risk = location_risk(cleaned, drop_nan=options.drop_nan)
     rounded = {"avg_risk_score": RISK_DIGITS}
-    write_result(risk, root, RISK_RESULT, options.formats, rounded, nan_as_null=True)
+    write_result(
+        risk, root, RISK_RESULT, options.formats, rounded, nan_as_null=True, order=highest_risk_first()
+    )
     sales = top_sale_addresses(cleaned, options.top)
     # The latest sale of every address is the analysis whose shuffle can be large.
     with sized_shuffles(spark, raw.count(), SALE_BYTES):
-        write_result(sales, root, SALES_RESULT, options.formats, nan_as_null=True)
+        write_result(
+            sales, root, SALES_RESULT, options.formats, nan_as_null=True, order=largest_sale_first()
+        )
     main_format = options.formats[0]
     common = {
         "cleaned": cleaned,

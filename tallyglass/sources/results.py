@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
@@ -58,12 +58,15 @@ def write_result(
     rounded: Mapping[str, int] | None = None,
     single_file: bool = False,
     nan_as_null: bool = False,
+    order: Sequence[Column] = (),
 ) -> None:
     """Write one result in several formats but compute it once.
 
     The first Parquet copy holds the exact values; CSV and JSON are written
     from it with the columns of ``rounded`` rounded to that many digits and,
     with ``nan_as_null``, without the word NaN, which JSON has no number for.
+    Reading the copy back may interleave its files, so a result whose rows are
+    ordered says how in ``order``.
     """
     unknown = [f for f in formats if f not in WRITERS]
     if unknown:
@@ -78,6 +81,7 @@ def write_result(
         )
         write_parquet(df, exact, single_file)
         source = df.sparkSession.read.schema(df.schema).parquet(exact)
+        source = source.orderBy(*order) if order else source
     shown = source.withColumns(
         {c: F.expr(round_scaled(quoted(c), digits)) for c, digits in (rounded or {}).items()}
     )

@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tallyglass.fixed_values import CLEANED_TABLE, RISK_DIGITS, RISK_RESULT, SALES_RESULT
-from tallyglass.operators.analytics import location_risk, top_sale_addresses
+from tallyglass.operators.analytics import (
+    highest_risk_first,
+    largest_sale_first,
+    location_risk,
+    top_sale_addresses,
+)
 from tallyglass.operators.cleaning import clean_transactions
 from tallyglass.plans.run import SALE_BYTES
 from tallyglass.schema import TXN_SCHEMA
@@ -56,7 +61,14 @@ def refresh_results(spark: SparkSession, folder: str, root: str, drop_nan: bool
         RISK_RESULT,
         rounded={"avg_risk_score": RISK_DIGITS},
         nan_as_null=True,
+        order=highest_risk_first(),
     )
     with sized_shuffles(spark, cleaned.count(), SALE_BYTES):
-        write_result(top_sale_addresses(cleaned), root, SALES_RESULT, nan_as_null=True)
+        write_result(
+            top_sale_addresses(cleaned),
+            root,
+            SALES_RESULT,
+            nan_as_null=True,
+            order=largest_sale_first(),
+        )
     return cleaned

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tallyglass import session
-from tallyglass.operators.analytics import location_risk, top_sale_addresses
+from tallyglass.operators.analytics import highest_risk_first, location_risk, top_sale_addresses
 from tallyglass.operators.cleaning import clean_transactions
 from tallyglass.operators.quality import quality_gate
 from tallyglass.plans.report import quality_report
@@ -97,6 +97,20 @@ def test_formats_hold_rounded_text_and_exact_parquet(spark, sample, tmp_path):
     assert {r.location_region: r.avg_risk_score for r in exact.collect()}["Africa"] == 39.125
 
 
+def test_rows_stay_in_order_over_several_files(spark, transactions, tmp_path):
+    rows = [{"location_region": f"region-{'x' * (i % 5)}{i}", "risk_score": str(i)} for i in range(30)]
+    risk = location_risk(clean_transactions(transactions(*rows)))
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "4")
+    try:
+        results.write_result(risk, str(tmp_path), "r", order=highest_risk_first())
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    files = sorted(parts(tmp_path / "r.json", "json"))
+    assert len(files) > 1
+    scores = [json.loads(line)["avg_risk_score"] for p in files for line in open(p)]
+    assert scores == [float(i) for i in reversed(range(30))]
+
+
 @pytest.mark.parametrize("formats", [["csv"], ["json"], ["csv", "json"], ["parquet"]])
 def test_chosen_formats_only(spark, sample, tmp_path, formats):
     top = top_sale_addresses(clean_transactions(sample))
