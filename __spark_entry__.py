@@ -18,6 +18,11 @@ from tallyglass.session import prepare, shared_folder
 from tallyglass.sources import results
 from tallyglass.sources.transactions import load_transactions
 
+try:
+    from tallyglass.llm import queries as corpus
+except ImportError:  # the library works without that subpackage
+    corpus = None
+
 REPORT_TIME = "2024-01-01T00:00:00.000000"
 
 
@@ -202,6 +207,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     rounded_risk = lambda df: analytics.location_risk_rounded(df, drop_nan=True)
     by_hash = lambda df: duplicates.duplicate_profile(df, method="hash")
     return {
+        **(corpus.queries() if corpus else {}),
         # sources and sinks
         "csv_scan_inferred": _csv_scan(None),
         "csv_scan_declared": _csv_scan(TXN_SCHEMA),
@@ -679,4 +685,4 @@ def oracle_sql() -> dict[str, str]:
         ),
         "full_run": _details_sql(),
     }
-    return oracle
+    return oracle | (corpus.oracle_sql() if corpus else {})
