@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm import exact_dedup, simhash
+from tallyglass.llm import decontamination, exact_dedup, simhash, warc
 from tallyglass.llm.common import table
 
 
@@ -25,18 +25,86 @@ FROM texts WINDOW same AS (PARTITION BY norm)
 """
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tests = table(spark, sf_dir, "benchmark")
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), tests)
+    return found.selectExpr(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        "sha2(array_join(items, ','), 256) AS items_sha256",
+        "contaminated",
+    )
+
+
+OP8_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n,
+         array_to_string(list_slice(w, i, i + least(len(w), 13) - 1), ' ') AS words
+  FROM item, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(i) WHERE len(w) > 0
+), lengths AS (SELECT DISTINCT n FROM win
+), place AS (
+  SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS words
+  FROM doc, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)
+), hit AS (SELECT doc_id, i, n, item_id FROM place JOIN win USING (n, words)
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(range(0, n)) AS t(k) GROUP BY doc_id
+), listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.archived_captures(table(spark, sf_dir, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP10_SQL = """
+WITH page AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+            THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first_page FROM page
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_page = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first_page <> page_id THEN first_page END AS refers_to
+FROM first
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op8_decontamination": OP8_SQL, "op10_warc": OP10_SQL}
