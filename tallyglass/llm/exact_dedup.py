@@ -41,39 +41,41 @@ def exact_groups(
     text_sha256. Runs jobs. ``hashed`` makes the group hash of a text."""
     texts = docs.select(field(id_column).alias("doc_id"), normalised(text_column).alias("norm"))
     texts = texts.withColumn("content", hashed(F.col("norm")))
-    slim = landed(
-        texts.select(
-            "doc_id",
-            F.monotonically_increasing_id().alias("row_number"),
-            "content",
-            F.sha2("norm", 256).alias("text_sha256"),
-        )
-    )
-    repeated = landed(slim.groupBy("content").count().filter("count > 1").select("content"))
-    compared = texts.join(repeated, "content", "left_semi").groupBy("content", "norm").agg(F.lit(1))
+    slim = landed(_slim(texts, F.col("content")))
+    repeated = landed(_repeated(slim))
+    suspects = texts.join(repeated.select("content"), "content", "left_semi")
+    compared = suspects.groupBy("content", "norm").agg(F.lit(1))
     shared = landed(compared.groupBy("content").count().filter("count > 1").select("content"))
     if not shared.isEmpty():
         # Texts of shared hashes go by their own bytes; every other row has null there.
         split = texts.join(shared.withColumn("split", F.lit(True)), "content", "left")
-        slim = landed(
-            split.select(
-                "doc_id",
-                F.monotonically_increasing_id().alias("row_number"),
-                F.struct("content", F.when(F.col("split"), F.col("norm"))).alias("content"),
-                F.sha2("norm", 256).alias("text_sha256"),
-            )
-        )
+        own_bytes = F.struct("content", F.when(F.col("split"), F.col("norm")))
+        slim = landed(_slim(split, own_bytes))
+        repeated = landed(_repeated(slim))
+    # Both sides come from files, so a hot group can be cut by the skew join.
+    return slim.join(repeated, "content", "left").select(
+        F.col("doc_id").alias(id_column),
+        F.when(F.col("group_size").isNull(), F.col("doc_id"))
+        .otherwise(F.col("first_row.doc_id"))
+        .alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("bigint")).alias("group_size"),
+        F.coalesce(F.col("row_number") == F.col("first_row.row_number"), F.lit(True)).alias("kept"),
+        "text_sha256",
+    )
+
+
+def _slim(texts: DataFrame, content: F.Column) -> DataFrame:
+    number = F.monotonically_increasing_id().alias("row_number")
+    return texts.select("doc_id", number, content.alias("content"), F.sha2("norm", 256).alias("text_sha256"))
+
+
+def _repeated(slim: DataFrame) -> DataFrame:
+    """Groups of at least two rows with their first row."""
     first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_number"))
     groups = slim.groupBy("content").agg(
         F.min(first).alias("first_row"), F.count(F.lit(1)).alias("group_size")
     )
-    return slim.join(groups, "content").select(
-        F.col("doc_id").alias(id_column),
-        F.col("first_row.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row_number") == F.col("first_row.row_number")).alias("kept"),
-        "text_sha256",
-    )
+    return groups.filter("group_size > 1")
 
 
 def without_copies(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm import decontamination, exact_dedup, simhash, warc
+from tallyglass.llm import decontamination, exact_dedup, language_id, simhash, warc
 from tallyglass.llm.common import table
 
 
@@ -25,6 +25,12 @@ FROM texts WINDOW same AS (PARTITION BY norm)
 """
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.with_language(docs)
+    return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = table(spark, sf_dir, "benchmark")
     found = decontamination.contamination(table(spark, sf_dir, "documents"), tests)
@@ -100,6 +106,7 @@ FROM first
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op4_language_id": op4_language_id,
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
         "op10_warc": op10_warc,
