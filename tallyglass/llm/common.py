@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Where an installed vocabulary file is; the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def landed(df: DataFrame) -> DataFrame:
     """Write to a fresh shared folder and read back: later stages start from the
     files, so a lost executor costs only the stage that was running."""

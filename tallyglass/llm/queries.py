@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm import decontamination, exact_dedup, language_id, simhash, warc
-from tallyglass.llm.common import table
+from tallyglass.llm import bpe, decontamination, exact_dedup, language_id, simhash, warc
+from tallyglass.llm.common import table, tokenizer_path
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,19 @@ FROM texts WINDOW same AS (PARTITION BY norm)
 """
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = tokenizer_path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, vocabulary, bpe.build_lexicon(docs, vocabulary))
+    decoded = bpe.decode(encoded.select("doc_id", "n_tokens", "ids"), vocabulary)
+    return decoded.selectExpr(
+        "doc_id",
+        "n_tokens",
+        "sha2(array_join(ids, ','), 256) AS ids_sha256",
+        "sha2(decoded, 256) AS decoded_sha256",
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language_id.with_language(docs)
@@ -106,6 +119,7 @@ FROM first
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_bpe": op2_bpe,
         "op4_language_id": op4_language_id,
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
