@@ -9,9 +9,9 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-# White space of any kind, in any of the definitions that tokenizers use.
-SPACE = "\t-\r\x1c- \x85\xa0  -     　"
-# Fixed values end here.
+# White space in any of the definitions that tokenizers use, and the character
+# that some of them write for a space. Fixed value.
+SPACE = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581"
 _SAFE_SPACE = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 _STARTS_OR_ENDS_IN_SPACE = re.compile(f"[{SPACE}]|.*[{SPACE}]\\Z", re.DOTALL)
 LONG_PIECE = 256

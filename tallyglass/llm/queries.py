@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.llm import bpe, decontamination, exact_dedup, language_id, simhash, warc
+from tallyglass.llm import (
+    bpe,
+    decontamination,
+    exact_dedup,
+    language_id,
+    simhash,
+    token_counts,
+    token_output,
+    warc,
+)
 from tallyglass.llm.common import table, tokenizer_path
+from tallyglass.session import shared_folder
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,12 +48,26 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    docs = table(spark, sf_dir, "documents")
+    token_output.write_tokens(docs, folder, tokenizer_path("word_bpe_49k.json"), vocabulary=49_408)
+    written = token_output.read_tokens(spark, folder)
+    return written.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = language_id.with_language(docs)
     return found.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, tokenizer_path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = table(spark, sf_dir, "benchmark")
     found = decontamination.contamination(table(spark, sf_dir, "documents"), tests)
@@ -120,7 +144,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_bpe": op2_bpe,
+        "op3_token_output": op3_token_output,
         "op4_language_id": op4_language_id,
+        "op5_token_counts": op5_token_counts,
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
         "op10_warc": op10_warc,
