@@ -11,6 +11,7 @@ from tallyglass.llm import (
     bpe,
     decontamination,
     exact_dedup,
+    html_text,
     language_id,
     simhash,
     token_counts,
@@ -68,6 +69,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = table(spark, sf_dir, "benchmark")
     found = decontamination.contamination(table(spark, sf_dir, "documents"), tests)
@@ -147,6 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_output": op3_token_output,
         "op4_language_id": op4_language_id,
         "op5_token_counts": op5_token_counts,
+        "op7_html_text": op7_html_text,
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
         "op10_warc": op10_warc,
