@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field, quoted
-from tallyglass.llm.common import by_bytes
+from tallyglass.llm.common import by_bytes, without
 from tallyglass.llm.pieces import PieceCache
 
 LEXICON_WORDS = 50_000
@@ -407,8 +407,9 @@ def _encoder(vocabulary_path: str, lexicon: str | None) -> Encoder:
 def encode(
     docs: DataFrame, vocabulary_path: str, lexicon: str | None = None, text_column: str = "text"
 ) -> DataFrame:
-    """``docs`` and the columns n_tokens and ids. The vocabulary file is read at
+    """``docs`` and the columns n_tokens and ids, which replace any of that name. The vocabulary file is read at
     that path by every executor; ``lexicon`` is a name from ``build_lexicon``."""
+    docs = without(docs, "n_tokens", "ids")
     columns = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -430,6 +431,7 @@ def encode(
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids") -> DataFrame:
     """``encoded`` and the column decoded: the text of the ids. Null ids give null."""
+    encoded = without(encoded, "decoded")
     columns = encoded.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ BATCH_BYTES = 8 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tokenizer_path(name: str) -> str:
@@ -25,6 +25,26 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Settings of the library, and Arrow batches of fewer rows, since one row is a
+    whole text."""
+    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return spark
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` less the columns that an operator is about to add."""
+    return df.drop(*names)
+
+
 def landed(df: DataFrame) -> DataFrame:
     """Write to a fresh shared folder and read back: later stages start from the
     files, so a lost executor costs only the stage that was running."""

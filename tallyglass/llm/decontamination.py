@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field
-from tallyglass.llm.common import landed
+from tallyglass.llm.common import landed, unused
 
 WINDOW = 13
 SEGMENT_WORDS = 2_000_000
@@ -355,5 +355,6 @@ def without_contaminated(
     """The rows of ``docs`` that are not contaminated. Documents that share an
     id go if one of them is. Runs jobs."""
     found = contamination(docs, tests, id_column, text_column)
-    bad = landed(found.filter("contaminated").select(field(id_column).alias("bad id")).distinct())
-    return docs.join(bad, field(id_column).eqNullSafe(F.col("`bad id`")), "left_anti")
+    bad_id = unused(docs, "bad_id")
+    bad = landed(found.filter("contaminated").select(field(id_column).alias(bad_id)).distinct())
+    return docs.join(bad, field(id_column).eqNullSafe(F.col(bad_id)), "left_anti")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field
-from tallyglass.llm.common import landed
+from tallyglass.llm.common import landed, unused
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 
@@ -84,14 +84,15 @@ def without_copies(
     """The rows of ``docs`` that stay, whole, one per group. Runs jobs."""
     rows = landed(exact_groups(docs, id_column, text_column))
     again = rows.groupBy(field(id_column), "text_sha256").count().filter("count > 1")
+    digest, kept_id, kept_text = (unused(docs, n) for n in ("digest_of_row", "kept_id", "kept_text"))
     wanted = rows.filter("kept").select(
-        field(id_column).alias("kept_id"), F.col("text_sha256").alias("kept_text")
+        field(id_column).alias(kept_id), F.col("text_sha256").alias(kept_text)
     )
-    staying = docs.withColumn("digest of row", F.sha2(normalised(text_column), 256)).join(
+    staying = docs.withColumn(digest, F.sha2(normalised(text_column), 256)).join(
         wanted,
-        field(id_column).eqNullSafe(F.col("kept_id")) & (F.col("`digest of row`") == F.col("kept_text")),
+        field(id_column).eqNullSafe(F.col(kept_id)) & (F.col(digest) == F.col(kept_text)),
         "left_semi",
     )
     if not again.isEmpty():  # whole rows repeat, so the join keeps each of them
-        staying = staying.dropDuplicates([id_column, "digest of row"])
-    return staying.drop("digest of row")
+        staying = staying.dropDuplicates([id_column, digest])
+    return staying.drop(digest)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field
-from tallyglass.llm.common import by_bytes
+from tallyglass.llm.common import by_bytes, without
 
 UNDETERMINED = "und"
 WINDOW = 256
@@ -43,6 +43,7 @@ WINDOWS_PER_DOC = 3
 EPOCHS = 8
 MINI_BATCH = 64
 WINDOWS_AT_ONCE = 32
+LEAST_SCORE = 0.3
 
 
 def _byte_classes() -> np.ndarray:
@@ -207,6 +208,7 @@ def training_sample(
     Every language is thinned by a hash of the id to about twice the documents
     wanted before the first of them are ranked, so that the shuffle stays as small
     as the sample however many documents there are."""
+    docs = docs.select(*{id_column, text_column, label_column})
     usable = docs.filter(
         field(label_column).isNotNull() & (F.octet_length(field(text_column)) > 0) & ~held_out(id_column)
     ).withColumn("label", field(label_column).cast("string"))
@@ -259,7 +261,8 @@ def predict(texts: list[str | None], net: Network, tables: list) -> tuple[list[s
 
 
 def identify(docs: DataFrame, net: Network, text_column: str = "text") -> DataFrame:
-    """``docs`` and the columns lang_pred and score."""
+    """``docs`` and the columns lang_pred and score, which replace any of that name."""
+    docs = without(docs, "lang_pred", "score")
     columns = docs.columns
     sent = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -284,6 +287,20 @@ def with_language(
     return identify(docs, train(windows, labels), text_column)
 
 
+def identified(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "lang",
+    least_score: float = LEAST_SCORE,
+) -> DataFrame:
+    """The rows of ``docs`` that have a language: not ``und``, and a score that is
+    not close to guessing. Runs jobs."""
+    found = with_language(docs, id_column, text_column, label_column)
+    kept = found.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= least_score))
+    return kept.select(*map(field, docs.columns))
+
+
 def crc_of_id(doc_id: int) -> int:
     """What ``held_out`` computes, for tests."""
     return zlib.crc32(str(doc_id).encode())

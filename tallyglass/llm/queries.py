@@ -12,6 +12,7 @@ from tallyglass.llm import (
     decontamination,
     exact_dedup,
     html_text,
+    license_scan,
     language_id,
     simhash,
     token_counts,
@@ -69,6 +70,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -152,6 +157,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_output": op3_token_output,
         "op4_language_id": op4_language_id,
         "op5_token_counts": op5_token_counts,
+        "op6_license_scan": op6_license_scan,
         "op7_html_text": op7_html_text,
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field
-from tallyglass.llm.common import by_bytes, landed
+from tallyglass.llm.common import by_bytes, landed, unused
 from tallyglass.llm.components import component_of_nodes
 
 SHINGLE_WORDS = 4
@@ -178,5 +178,6 @@ def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: s
     share that id are one document delivered more than once and all stay."""
     groups = near_groups(docs, id_column, text_column)
     first = groups.filter(field(id_column).eqNullSafe(F.col("component_id")))
-    chosen = landed(first.select(F.col("component_id").alias("chosen id")).distinct())
-    return docs.join(chosen, field(id_column).eqNullSafe(F.col("`chosen id`")), "left_semi")
+    chosen_id = unused(docs, "chosen_id")
+    chosen = landed(first.select(F.col("component_id").alias(chosen_id)).distinct())
+    return docs.join(chosen, field(id_column).eqNullSafe(F.col(chosen_id)), "left_semi")

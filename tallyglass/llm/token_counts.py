@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import quoted
-from tallyglass.llm.common import by_bytes
+from tallyglass.llm.common import by_bytes, without
 from tallyglass.llm.pieces import PieceCache
 
 MOST_TOKENS = 4096
@@ -66,8 +66,9 @@ def _tokenizers(path: str) -> Callable[[Sequence[str]], list[int]]:
 def count_tokens(
     docs: DataFrame, vocabulary_path: str, text_column: str = "text", most_tokens: int = MOST_TOKENS
 ) -> DataFrame:
-    """``docs`` and the columns n_bytes, n_tokens and over_limit. Every executor
-    reads the vocabulary file at that path."""
+    """``docs`` and the columns n_bytes, n_tokens and over_limit, which replace any
+    of that name. Every executor reads the vocabulary file at that path."""
+    docs = without(docs, "n_bytes", "n_tokens", "over_limit")
     columns = docs.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
