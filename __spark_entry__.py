@@ -19,9 +19,10 @@ from tallyglass.sources import results
 from tallyglass.sources.transactions import load_transactions
 
 try:
+    import corpus_pipeline
     from tallyglass.llm import queries as corpus
 except ImportError:  # the library works without that subpackage
-    corpus = None
+    corpus = corpus_pipeline = None
 
 REPORT_TIME = "2024-01-01T00:00:00.000000"
 
@@ -207,7 +208,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     rounded_risk = lambda df: analytics.location_risk_rounded(df, drop_nan=True)
     by_hash = lambda df: duplicates.duplicate_profile(df, method="hash")
     return {
-        **(corpus.queries() if corpus else {}),
+        **(corpus.queries() | {"pipeline": corpus_pipeline.run} if corpus else {}),
         # sources and sinks
         "csv_scan_inferred": _csv_scan(None),
         "csv_scan_declared": _csv_scan(TXN_SCHEMA),
