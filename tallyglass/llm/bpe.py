@@ -19,14 +19,15 @@ result and an empty lexicon.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import json
 import os
 import re
 import tempfile
+import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -382,13 +383,16 @@ def build_lexicon(
     tokens = {w.encode() for row in most for w in split(" " + row.word)}
     listed = sorted(tokens)
     ids = Vocabulary(vocabulary_path).merge_together(listed)
-    folder = tempfile.mkdtemp(prefix="lexicon-")
-    path = os.path.join(folder, "lexicon")
+    # Spark refuses two files of one name.
+    path = os.path.join(_driver_folder(), f"lexicon-{uuid.uuid4().hex}")
     compile_lexicon(listed, [np.frombuffer(x, np.int32).tolist() for x in ids], path)
-    with open(path, "rb") as f:
-        named = f"{path}-{hashlib.sha256(f.read()).hexdigest()[:16]}"
-    os.rename(path, named)
-    return _ships(docs.sparkSession, named)
+    return _ships(docs.sparkSession, path)
+
+
+@cache
+def _driver_folder() -> str:
+    """Where the driver keeps files that Spark ships from it."""
+    return tempfile.mkdtemp(prefix="lexicon-")
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -453,4 +457,4 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids") ->
                 texts.append(flat[place].tobytes().decode("utf-8", "replace"))
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*columns, "decoded"])
 
-    return encoded.mapInArrow(work, encoded.selectExpr(*map(quoted, columns), "'' AS decoded").schema)
+    return encoded.mapInArrow(work, encoded.selectExpr(*map(quoted, columns), "CAST(NULL AS STRING) AS decoded").schema)
