@@ -28,6 +28,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyglass.functions.columns import field, quoted
-from tallyglass.llm.common import by_bytes, without
+from tallyglass.llm.common import by_bytes, landed, without
 from tallyglass.llm.pieces import PieceCache
 
 LEXICON_WORDS = 50_000
@@ -302,10 +303,11 @@ class Encoder:
         self._special = re.compile(f"({'|'.join(escaped)})") if vocabulary.special else None
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        numbers: dict[str, int] = {}
-        words = [[numbers.setdefault(w, len(numbers)) for w in self._words(p)] for p in pieces]
-        of_word = self._encode_words([w.encode() for w in numbers])
-        return [of_word[w[0]] if len(w) == 1 else b"".join([of_word[i] for i in w]) for w in words]
+        # A piece of letters only is one word.
+        words = [[p] if p[1:].isalpha() and p[0] == " " else self._words(p) for p in pieces]
+        distinct = list(dict.fromkeys(chain.from_iterable(words)))
+        ids_of = dict(zip(distinct, self._encode_words([w.encode() for w in distinct])))
+        return [ids_of[w[0]] if len(w) == 1 else b"".join([ids_of[x] for x in w]) for w in words]
 
     def _encode_words(self, words: list[bytes]) -> list[bytes]:
         if self._lexicon is None:
@@ -376,9 +378,22 @@ def _counted(counts: Counter) -> pa.RecordBatch:
 def build_lexicon(
     docs: DataFrame, vocabulary_path: str, text_column: str = "text", words: int = LEXICON_WORDS
 ) -> str:
-    """Compile the ``words`` most frequent words and ship the file; returns its
-    name. The driver sees those words only. Runs a job."""
-    most = word_counts(docs, text_column).orderBy(F.desc("count"), "word").limit(words).collect()
+    """Compile the most frequent words, ``words`` at most, and ship the file;
+    returns its name. Runs jobs.
+
+    A first look at how many words have which magnitude of count gives the least
+    count that few enough words reach, so the driver receives those words only
+    and no task sends words that others outdo."""
+    counted = landed(word_counts(docs, text_column).filter("count > 1"))
+    magnitude = F.floor(F.log2("count") * 16).alias("magnitude")
+    sizes = counted.groupBy(magnitude).agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("magnitude"))
+    room, least = words, None
+    for row in sizes.collect():  # 16 magnitudes for every doubling of the count
+        room -= row.words
+        if room < 0:
+            break
+        least = row.magnitude
+    most = [] if least is None else counted.filter(magnitude >= least).collect()
     split = regex.compile(WORD).findall
     tokens = {w.encode() for row in most for w in split(" " + row.word)}
     listed = sorted(tokens)

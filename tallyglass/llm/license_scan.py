@@ -40,6 +40,8 @@ from tallyglass.llm.license_texts import TEMPLATES
 
 RUN_WORDS = 5
 WINNOW = 3
+# Of shorter templates every run is kept: a few changed words must not hide them.
+WINNOW_FROM = 20
 BAND = 16
 COVERAGE = 0.8
 MOST_TEMPLATE_BYTES = 16 * 1024 * 1024
@@ -86,15 +88,15 @@ class Index:
                 continue
             size = min(RUN_WORDS, len(words))
             runs = [_hash(words[i : i + size]) for i in range(len(words) - size + 1)]
-            for place in winnowed(runs):
+            for place in winnowed(runs, WINNOW if len(words) >= WINNOW_FROM else 1):
                 self.postings.setdefault(runs[place], []).append((len(self.names), place))
             self.lengths.add(size)
             self.names.append(name)
             self.words.append(np.array(words))
 
-    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Template, least and greatest offset."""
-        hits: dict[int, list[int]] = {}
+    def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """Template, and the offset and place of each of its hits, in order."""
+        hits: dict[int, list[tuple[int, int]]] = {}
         known = numbers >= 0
         for size in self.lengths:
             if len(numbers) < size:
@@ -102,28 +104,33 @@ class Index:
             run = np.convolve(known, np.ones(size, dtype=np.int64), "valid") == size
             for place in np.nonzero(run)[0].tolist():
                 for template, at in self.postings.get(_hash(numbers[place : place + size].tolist()), ()):
-                    hits.setdefault(template, []).append(place - at)
+                    hits.setdefault(template, []).append((place - at, place))
         for template, offsets in hits.items():
             offsets.sort()
-            low = offsets[0]
-            for before, after in zip(offsets, [*offsets[1:], None]):
-                if after is None or after - low > BAND:
-                    yield template, low, before
-                    low = after
+            start = 0
+            for i in range(1, len(offsets) + 1):
+                if i == len(offsets) or offsets[i][0] - offsets[start][0] > BAND:
+                    yield template, offsets[start:i]
+                    start = i
 
     def scan(self, text: bytes) -> list[tuple]:
         words = words_of(text)
         numbers = np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         found: list[tuple] = []
-        for template, low, high in self.candidates(numbers):
-            pattern = self.words[template]
-            start = max(0, low - BAND)
-            stop = min(len(numbers), high + len(pattern) + BAND)
-            best = align(pattern, numbers[start:stop], low - start, high - start)
-            share = best.matched / len(pattern)
-            if share >= COVERAGE:
-                row = (self.names[template], len(pattern), best.matched, share)
-                found.append((*row, start + best.first, start + best.after))
+        for template, hits in self.candidates(numbers):
+            pattern, left = self.words[template], numbers.copy()
+            while hits:
+                low, high = hits[0][0], hits[-1][0]
+                start = max(0, low - BAND)
+                stop = min(len(numbers), high + len(pattern) + BAND)
+                best = align(pattern, left[start:stop], low - start, high - start)
+                share = best.matched / len(pattern)
+                if share < COVERAGE:
+                    break
+                first, after = start + best.first, start + best.after
+                found.append((self.names[template], len(pattern), best.matched, share, first, after))
+                left[first:after] = -2  # another copy may be close by
+                hits = [h for h in hits if not first <= h[1] < after]
         return _best_of_overlapping(found)
 
 

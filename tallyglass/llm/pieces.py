@@ -10,21 +10,31 @@ import re
 from collections.abc import Callable, Sequence
 
 # White space in any of the definitions that tokenizers use, and the character
-# that some of them write for a space. Fixed value.
-SPACE = "\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581"
-_SAFE_SPACE = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
-_STARTS_OR_ENDS_IN_SPACE = re.compile(f"[{SPACE}]|.*[{SPACE}]\\Z", re.DOTALL)
+# that some of them write for a space. Fixed values.
+_RARE_SPACE = "\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581"
+_SPACE = f" \n{_RARE_SPACE}"
+_SAFE_SPACE = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
+_OTHER_SPACE = re.compile(f"[{_RARE_SPACE}]")
 LONG_PIECE = 256
 
 
-def loose(piece: str) -> bool:
-    """The space beside this piece does not stand between two other characters."""
-    return not piece or _STARTS_OR_ENDS_IN_SPACE.match(piece) is not None
+def has_loose_space(text: str) -> bool:
+    """Some space may not stand between two other characters. Texts that have only
+    spaces and line feeds are looked at closely, others are not."""
+    return (
+        not text
+        or text[0] == " "
+        or text[-1] == " "
+        or "  " in text
+        or " \n" in text
+        or "\n " in text
+        or _OTHER_SPACE.search(text) is not None
+    )
 
 
 class PieceCache:
     """``encode`` turns a list of pieces into as many values. ``joined`` gives,
-    for every text, the values of its pieces, in order.
+    for every text, what ``join`` makes of the values of its pieces, in order.
 
     With ``tight``, only a space between two characters that are no white space
     separates pieces, and the first piece of a text, which no space precedes,
@@ -43,17 +53,13 @@ class PieceCache:
         self._values: dict[str, object] = {}
 
     def joined(self, texts: Sequence[str], join: Callable) -> list:
-        """``join`` combines an iterator of values."""
         values = self._values
         if len(values) > self._limit:
             values.clear()
         cut, missing, heads = [], set(), {}
         for text in texts:
-            parts = text.split(" ")
+            parts = _SAFE_SPACE.split(text) if self._tight and has_loose_space(text) else text.split(" ")
             new = set(parts).difference(values)
-            if self._tight and new and any(map(loose, new)):
-                parts = _SAFE_SPACE.split(text)
-                new = set(parts).difference(values)
             if self._tight and self._first is not self._encode:
                 heads[parts[0]] = None
                 head, parts = parts[0], parts[1:]
@@ -70,13 +76,7 @@ class PieceCache:
             heads = dict(zip(names, self._first(names)))
         found = []
         for head, parts in cut:
-            rest = map(values.__getitem__, parts)
-            found.append(join(rest) if head is None else join(_with(heads[head], rest)))
+            found.append(join([*([] if head is None else [heads[head]]), *map(values.__getitem__, parts)]))
         for piece in long:  # too large to keep
             del values[piece]
         return found
-
-
-def _with(first, rest):
-    yield first
-    yield from rest

@@ -8,10 +8,11 @@ empty in every block and learns from a step before the next one:
   before this place, each with a confidence from 0 to 7;
 * mixing: how often either prediction held at such a pair of confidences gives
   the probabilities of "order 2 is right", "order 1 is right" and "neither";
-* order 0: how often each id occurred, for the ids that neither predicted.
+* order 0: how often each id occurred, for the ids that neither predicted; ids
+  that have not occurred yet share one interval and are coded evenly after it.
 
-Both tables of counts are turned into coding intervals at steps 1, 2, 4 and then
-every ``REBUILD`` steps, in encoder and decoder alike. The coder is the
+Both tables of counts are turned into coding intervals after steps 1, 2, 4, and so
+on, and then every ``REBUILD`` steps, in encoder and decoder alike. The coder is the
 carry-less one with 64-bit state and 16-bit output. Arithmetic is on whole lanes
 in numpy, so it is the same everywhere.
 """
@@ -23,12 +24,12 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TGT1"
+MAGIC = b"TGT2"
 STEPS = 256
-REBUILD = 8
+REBUILD = 32
 PAIR_SLOTS = 1 << 17
 MIX_BITS = 15
-COUNT_STEP = 32
+LEAST_COUNT_BITS = 18
 TOP = np.uint64(1 << 48)
 BOTTOM = np.uint64(1 << 32)
 LOW_MASK = np.uint64((1 << 32) - 1)
@@ -47,7 +48,10 @@ class _Model:
         self.before_last = np.full(lanes, vocabulary, dtype=np.uint32)
         self.last = np.full(lanes, vocabulary, dtype=np.uint32)
         self.mix = np.tile(np.array([1.0, 1.0, 2.0]), (128, 1))
-        self.counts = np.ones(vocabulary, dtype=np.int64)
+        # The last place counts ids that occurred for the first time.
+        self.counts = np.zeros(vocabulary + 1, dtype=np.int64)
+        self.counts[-1] = 1
+        self.count_bits = np.uint64(max(LEAST_COUNT_BITS, vocabulary.bit_length() + 2))
         self._ids: list[np.ndarray] = []
         self._outcomes: list[np.ndarray] = []
         self._rebuild()
@@ -55,22 +59,37 @@ class _Model:
     def _rebuild(self) -> None:
         if self._ids:
             n = len(self.counts)
-            self.counts += COUNT_STEP * np.bincount(np.concatenate(self._ids), minlength=n)
+            occurred = np.bincount(np.concatenate(self._ids), minlength=n)
+            occurred[-1] = np.count_nonzero((self.counts == 0) & (occurred > 0))
+            self.counts += occurred
             seen = np.bincount(np.concatenate(self._outcomes), minlength=self.mix.size)
             self.mix += seen.reshape(self.mix.shape)
             self._ids, self._outcomes = [], []
-        self.starts = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.uint64)
+        known = np.nonzero(self.counts)[0]
+        total, counted = 1 << int(self.count_bits), self.counts[known]
+        shares = 1 + counted * (total - len(known)) // counted.sum()
+        shares[-1] += total - shares.sum()
+        self.id_sizes = np.zeros(len(self.counts), dtype=np.uint64)
+        self.id_starts = np.zeros(len(self.counts), dtype=np.uint64)
+        self.id_sizes[known], self.id_starts[known] = shares, np.cumsum(shares) - shares
+        self.known, self.shares, self._id_at = known, shares, None
         whole = (1 << MIX_BITS) - 3
         sizes = 1 + np.floor(self.mix / self.mix.sum(axis=1, keepdims=True) * whole).astype(np.int64)
         sizes[:, 2] += (1 << MIX_BITS) - sizes.sum(axis=1)
         self.mix_sizes = sizes.astype(np.uint64).ravel()
         self.mix_starts = (np.cumsum(sizes, axis=1) - sizes).astype(np.uint64).ravel()
 
+    def id_at(self) -> np.ndarray:
+        """The id, or the mark of a new one, at every place of the interval."""
+        if self._id_at is None:
+            self._id_at = np.repeat(self.known, self.shares)
+        return self._id_at
+
     def predict(self, lanes: int) -> None:
         """Look both predictions up for the first ``lanes`` lanes."""
         last = self.last[:lanes]
         mixed = self.before_last[:lanes] * np.uint32(0x9E3779B1) ^ last * np.uint32(0x85EBCA6B)
-        self.slot = (mixed >> np.uint32(15)) & np.uint32(PAIR_SLOTS - 1)
+        self.slot = ((mixed >> np.uint32(15)) & np.uint32(PAIR_SLOTS - 1)).astype(np.int64)
         self.pair, self.one = self.after_pair[self.slot], self.after_one[last]
         self.by_pair, self.by_one = self.pair >> 3, self.one >> 3
         situation = ((self.pair & 7) << 3 | (self.one & 7)) << 1 | (self.by_pair == self.by_one)
@@ -78,14 +97,15 @@ class _Model:
 
     def learn(self, ids: np.ndarray, outcome: np.ndarray, step: int) -> None:
         lanes = len(ids)
-        last = self.last[:lanes]
+        last = self.last[:lanes].astype(np.int64)
         self.after_pair[self.slot] = _revised(self.pair, self.by_pair, ids)
         self.after_one[last] = _revised(self.one, self.by_one, ids)
         self.before_last[:lanes] = last
         self.last[:lanes] = ids
         self._ids.append(ids)
         self._outcomes.append(self.row + outcome)
-        if step in (0, 1, 3) or step % REBUILD == REBUILD - 1:
+        done = step + 1
+        if done % REBUILD == 0 or done < REBUILD and done & (done - 1) == 0:
             self._rebuild()
 
 
@@ -120,11 +140,12 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
     table[:n] = ids
     table = np.ascontiguousarray(table.reshape(lanes, STEPS).T)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, np.iinfo(np.uint64).max, np.uint64)
+    lane_kind = np.uint16 if lanes <= 1 << 16 else np.uint32
     out_lanes: list[np.ndarray] = []
     out_words: list[np.ndarray] = []
 
     def emit(which: np.ndarray, words: np.ndarray) -> None:
-        out_lanes.append(which.astype(np.uint32))
+        out_lanes.append(which.astype(lane_kind))
         out_words.append(words.astype(np.uint16))
 
     for step in range(min(STEPS, n)):
@@ -140,11 +161,19 @@ def encode_ids(ids: np.ndarray, vocabulary: int) -> bytes:
         _settle(a, w, emit)
         rest = np.nonzero(outcome == 2)[0]
         if len(rest):
-            values = now[rest]
-            b, v = a[rest], w[rest] // model.starts[-1]
-            b += v * model.starts[values]
-            v *= model.starts[values + 1] - model.starts[values]
+            values = now[rest].astype(np.int64)
+            new = np.nonzero(model.id_sizes[values] == 0)[0]
+            marked = values.copy()
+            marked[new] = vocabulary
+            b, v = a[rest], w[rest] >> model.count_bits
+            b += v * model.id_starts[marked]
+            v *= model.id_sizes[marked]
             _settle(b, v, lambda which, words: emit(rest[which], words))
+            if len(new):
+                c, u = b[new], v[new] // np.uint64(vocabulary)
+                c += u * values[new].astype(np.uint64)
+                _settle(c, u, lambda which, words: emit(rest[new[which]], words))
+                b[new], v[new] = c, u
             a[rest], w[rest] = b, v
         model.learn(now, outcome, step)
     for shift in (48, 32, 16, 0):
@@ -196,12 +225,18 @@ def decode_ids(block: bytes) -> np.ndarray:
         now = np.where(outcome == 0, model.by_pair, model.by_one).astype(np.uint32)
         rest = np.nonzero(outcome == 2)[0]
         if len(rest):
-            b, v = a[rest], w[rest] // model.starts[-1]
-            target = np.minimum((code[rest] - b) // v, model.starts[-1] - np.uint64(1))
-            values = np.searchsorted(model.starts, target, side="right") - 1
-            b += v * model.starts[values]
-            v *= model.starts[values + 1] - model.starts[values]
+            b, v = a[rest], w[rest] >> model.count_bits
+            values = model.id_at()[((code[rest] - b) // v).astype(np.int64)]
+            b += v * model.id_starts[values]
+            v *= model.id_sizes[values]
             _settle(b, v, lambda which, words_: take(rest[which], words_))
+            new = np.nonzero(values == vocabulary)[0]
+            if len(new):
+                c, u = b[new], v[new] // np.uint64(vocabulary)
+                values[new] = (code[rest[new]] - c) // u
+                c += u * values[new].astype(np.uint64)
+                _settle(c, u, lambda which, words_: take(rest[new[which]], words_))
+                b[new], v[new] = c, u
             a[rest], w[rest] = b, v
             now[rest] = values
         table[step, :active] = now

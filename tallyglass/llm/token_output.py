@@ -19,6 +19,7 @@ id and text are read.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,10 @@ from tallyglass.llm.range_coder import decode_ids, encode_ids
 
 BLOCK_IDS = 1 << 20
 END_ID = 2
+WORD_END = "</w>"
+WORDS_A_LINE = 256
+# Letters that stay one letter each whatever the tokenizer normalises.
+_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 PREFIX = struct.Struct("<III")  # documents, bytes of their table, its crc32
 
 BLOCKS = "file int, block int, ids_before bigint, n_docs int, n_ids bigint, payload binary"
@@ -55,9 +60,26 @@ def _pieces(path: str) -> PieceCache:
         tokenizer.no_truncation()
         tokenizer.no_padding()
 
+        ends_word = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+        ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
+
         def encode(pieces: list[str]) -> list[bytes]:
-            found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+            """Pieces of plain letters are one word each. Many go to the library
+            as one text and are told apart by the token that ends a word."""
+            plain = list(map(_PLAIN.fullmatch, pieces))
+            words = [p for p, m in zip(pieces, plain) if m]
+            others = [p for p, m in zip(pieces, plain) if not m]
+            lines = [" ".join(words[i : i + WORDS_A_LINE]) for i in range(0, len(words), WORDS_A_LINE)]
+            of_word: list[bytes] = []
+            for line in tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+                ids = np.array(line.ids, dtype="<u4")
+                ends, flat = (4 * np.nonzero(ends_word[ids])[0] + 4).tolist(), ids.tobytes()
+                of_word += [flat[a:b] for a, b in zip([0, *ends], ends)]
+            if len(of_word) != len(words):
+                raise ValueError(f"{path}: words do not end where expected")
+            of_other = tokenizer.encode_batch_fast(others, add_special_tokens=False)
+            word, other = iter(of_word), iter(of_other)
+            return [next(word) if m else np.array(next(other).ids, dtype="<u4").tobytes() for m in plain]
 
         _tokenizers[path] = PieceCache(encode, tight=False)
     return _tokenizers[path]
