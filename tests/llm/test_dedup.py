@@ -1,0 +1,157 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tables import DOCS, HARD_TEXTS, documents, oracle, rows_of
+
+from tallyglass.llm import components, exact_dedup, queries, simhash
+
+
+def expected_groups(rows):
+    """{row position: (keep_id, size)} by plain grouping."""
+    groups = {}
+    for i, (doc_id, text) in enumerate(rows):
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", text or ""), []).append(doc_id)
+    key = lambda d: (d is None, d or 0)
+    return {text: (min(ids, key=key), len(ids)) for text, ids in groups.items()}
+
+
+def check_groups(found, rows):
+    expected = expected_groups(rows)
+    assert len(found) == len(rows)
+    by_digest = {hashlib.sha256(t.encode()).hexdigest(): v for t, v in expected.items()}
+    for row in found:
+        assert (row.keep_id, row.group_size) == by_digest[row.text_sha256]
+    for digest in by_digest:
+        kept = [r for r in found if r.text_sha256 == digest and r.kept]
+        assert len(kept) == 1 and kept[0].doc_id == kept[0].keep_id
+
+
+@pytest.mark.parametrize("hashed", [exact_dedup.content_hash, lambda norm: F.length(norm), lambda norm: F.lit(1)])
+def test_hard_rows_whatever_the_hash(spark, hashed):
+    ids = [5, 4, None, 7, 9, 8, 8, 0, None, 1, 2, 3, 11]
+    rows = list(zip(ids, HARD_TEXTS)) + [(8, "The same text"), (3, "xx"), (4, "yy")]
+    docs = documents(spark, [t for _, t in rows], [i for i, _ in rows])
+    check_groups(exact_dedup.exact_groups(docs, hashed=hashed).collect(), rows)
+
+
+def test_documents_that_stay(spark):
+    docs = documents(spark, ["a b", "a  b", "c", "c", None, ""], [3, 2, 2, 2, None, None])
+    docs = docs.withColumn("digest_of_row", F.lit(1)).withColumn("kept_id", F.lit(2))
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.filter("doc_id IS NOT NULL").collect()) == [(2, "a  b"), (2, "c")]
+    assert kept.filter("doc_id IS NULL").count() == 1
+
+
+def test_no_documents(spark):
+    empty = spark.createDataFrame([], DOCS)
+    assert exact_dedup.exact_groups(empty).count() == 0
+    assert simhash.near_groups(empty).count() == 0
+    assert simhash.one_of_each_group(empty).count() == 0
+
+
+def test_exact_query_agrees_with_sql(spark, sf_dir):
+    columns, expected = oracle(sf_dir, queries.OP1_SQL)
+    assert rows_of(queries.op1_exact_dedup(spark, sf_dir), columns) == expected
+
+
+# ------------------------------------------------------------------- simhash
+
+
+def plain_fingerprint(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", bytes(text.encode()).lower())
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="aB é\t\n,日", max_size=80))
+def test_fingerprint(text):
+    assert simhash.fingerprint(text.encode()) == plain_fingerprint(text)
+
+
+def plain_components(prints):
+    """Smallest index of every print's component."""
+    values, parent = np.array(prints, dtype=np.uint64), list(range(len(prints)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(values)):
+        for j in np.nonzero(np.bitwise_count(values ^ values[i]) <= 4)[0].tolist():
+            a, b = sorted((top(i), top(j)))
+            parent[b] = a
+    return [top(i) for i in range(len(prints))]
+
+
+def clustered(n, seed):
+    random = np.random.default_rng(seed)
+    centres = random.integers(0, 1 << 63, 6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    flips = [sum(1 << int(b) for b in random.choice(64, random.integers(0, 5), replace=False)) for _ in range(n)]
+    return [int(centres[i % 6]) ^ f for i, f in enumerate(flips)] + [0, 1 << 63, (1 << 64) - 1]
+
+
+@pytest.mark.parametrize("dense", [10_000, 1, 0])
+def test_links_give_all_components(spark, dense):
+    prints = sorted(set(clustered(150, seed=dense)))
+    signed = np.array(prints, dtype=np.uint64).view(np.int64).tolist()
+    fps = spark.createDataFrame([(v,) for v in signed], "fp bigint")
+    parts = {r.node: r.component for r in components.component_of_nodes(simhash.links(fps, dense)).collect()}
+    found = [parts.get(v, v) for v in signed]
+    expected = plain_components(prints)
+    assert len(set(zip(found, expected))) == len(set(found)) == len(set(expected))
+
+
+def test_chain_filter_keeps_every_near_pair(spark):
+    """No pair within reach is lost by keys and chains, whichever bits differ."""
+    random = np.random.default_rng(1)
+    pairs = []
+    for _ in range(400):
+        a = int(random.integers(0, 1 << 63))
+        b = a ^ sum(1 << int(x) for x in random.choice(64, 4, replace=False))
+        pairs.append(tuple(np.array([a, b], dtype=np.uint64).view(np.int64).tolist()))
+    found = simhash.links(spark.createDataFrame([(v,) for p in pairs for v in p], "fp bigint"))
+    linked = {frozenset(tuple(r)) for r in found.collect()}
+    assert {frozenset(p) for p in pairs} <= linked
+
+
+def test_near_groups_of_hard_rows(spark):
+    ids = [5, 4, None, 7, 9, 8, 8, 0, None, 1, 2, 3, 11]
+    found = simhash.near_groups(documents(spark, HARD_TEXTS, ids)).collect()
+    assert len(found) == len(ids)
+    blank = {r.component_id for r in found if r.fp == 0}
+    assert blank == {4}  # null, empty and white space are linked like any other print
+    assert {r.component_id for r in found if r.doc_id in (8, 9)} == {8}
+
+
+def test_near_query_against_all_pairs(spark, sf_dir):
+    rows = queries.op9_simhash(spark, sf_dir).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows.sort(key=lambda r: r.doc_id)
+    prints = [plain_fingerprint(texts[r.doc_id]) for r in rows]
+    assert [r.fingerprint for r in rows] == [f"{p:016x}" for p in prints]
+    tops = plain_components(prints)
+    assert [r.component_id for r in rows] == [rows[t].doc_id for t in tops]
+
+
+def test_one_of_each_group_keeps_columns(spark):
+    docs = documents(spark, ["a b c d e f"] * 3 + ["other words entirely here now"], [3, 1, 2, 9])
+    docs = docs.withColumn("chosen_id", F.lit(7))
+    kept = simhash.one_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 9]
+
+
+def test_components_of_a_long_path(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")
+    found = {r.node: r.component for r in components.component_of_nodes(path).collect()}
+    assert found == {i: 0 for i in range(1, 61)}
