@@ -57,26 +57,28 @@ class PieceCache:
         if len(values) > self._limit:
             values.clear()
         cut, missing, heads = [], set(), {}
+        known = values.get
         for text in texts:
             parts = _SAFE_SPACE.split(text) if self._tight and has_loose_space(text) else text.split(" ")
-            new = set(parts).difference(values)
-            if self._tight and self._first is not self._encode:
-                heads[parts[0]] = None
+            head = None
+            if self._first is not self._encode:
                 head, parts = parts[0], parts[1:]
-                cut.append((head, parts))
-                new = new if head not in new or head in parts else new - {head}
-            else:
-                cut.append((None, parts))
-            missing |= new
+                heads[head] = None
+            found = list(map(known, parts))
+            if None in found:
+                missing.update([p for p, v in zip(parts, found) if v is None])
+                found = None
+            cut.append((head, parts, found))
         order = list(missing)
         long = [p for p in order if len(p) > LONG_PIECE]
         values.update(zip(order, self._encode(order)))
         if self._first is not self._encode:
             names = list(heads)
             heads = dict(zip(names, self._first(names)))
-        found = []
-        for head, parts in cut:
-            found.append(join([*([] if head is None else [heads[head]]), *map(values.__getitem__, parts)]))
+        made = []
+        for head, parts, found in cut:
+            found = list(map(known, parts)) if found is None else found
+            made.append(join(found if head is None else [heads[head], *found]))
         for piece in long:  # too large to keep
             del values[piece]
-        return found
+        return made

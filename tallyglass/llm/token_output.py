@@ -38,9 +38,9 @@ from tallyglass.llm.range_coder import decode_ids, encode_ids
 BLOCK_IDS = 1 << 20
 END_ID = 2
 WORD_END = "</w>"
-WORDS_A_LINE = 256
-# Letters that stay one letter each whatever the tokenizer normalises.
-_PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+PIECES_A_LINE = 256
+# Letters that stay one letter each whatever the tokenizer normalises, then a sign.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]+)?")
 PREFIX = struct.Struct("<III")  # documents, bytes of their table, its crc32
 
 BLOCKS = "file int, block int, ids_before bigint, n_docs int, n_ids bigint, payload binary"
@@ -64,22 +64,26 @@ def _pieces(path: str) -> PieceCache:
         ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
 
         def encode(pieces: list[str]) -> list[bytes]:
-            """Pieces of plain letters are one word each. Many go to the library
-            as one text and are told apart by the token that ends a word."""
+            """Plain letters are one word, a sign after them is another. Many such
+            pieces go to the library as one text and are told apart by the
+            tokens that end a word."""
             plain = list(map(_PLAIN.fullmatch, pieces))
-            words = [p for p, m in zip(pieces, plain) if m]
-            others = [p for p, m in zip(pieces, plain) if not m]
-            lines = [" ".join(words[i : i + WORDS_A_LINE]) for i in range(0, len(words), WORDS_A_LINE)]
-            of_word: list[bytes] = []
-            for line in tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            found = dict.fromkeys(pieces, b"")
+            known = [m for m in plain if m]
+            parts = [known[i : i + PIECES_A_LINE] for i in range(0, len(known), PIECES_A_LINE)]
+            lines = [" ".join([m[0] for m in part]) for part in parts]
+            for part, line in zip(parts, tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
                 ids = np.array(line.ids, dtype="<u4")
-                ends, flat = (4 * np.nonzero(ends_word[ids])[0] + 4).tolist(), ids.tobytes()
-                of_word += [flat[a:b] for a, b in zip([0, *ends], ends)]
-            if len(of_word) != len(words):
-                raise ValueError(f"{path}: words do not end where expected")
-            of_other = tokenizer.encode_batch_fast(others, add_special_tokens=False)
-            word, other = iter(of_word), iter(of_other)
-            return [next(word) if m else np.array(next(other).ids, dtype="<u4").tobytes() for m in plain]
+                ends = 4 * np.nonzero(ends_word[ids])[0] + 4
+                words = np.cumsum([m.lastindex for m in part])
+                if words[-1] != len(ends):
+                    raise ValueError(f"{path}: words do not end where expected")
+                cuts, flat = ends[words - 1].tolist(), ids.tobytes()
+                found.update(zip([m[0] for m in part], [flat[a:b] for a, b in zip([0, *cuts], cuts)]))
+            others = [p for p, m in zip(pieces, plain) if not m]
+            for piece, one in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+                found[piece] = np.array(one.ids, dtype="<u4").tobytes()
+            return [found[p] for p in pieces]
 
         _tokenizers[path] = PieceCache(encode, tight=False)
     return _tokenizers[path]
