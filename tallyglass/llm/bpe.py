@@ -27,7 +27,7 @@ import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from functools import cache
+from functools import cache, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -397,7 +397,7 @@ def build_lexicon(
     split = regex.compile(WORD).findall
     tokens = {w.encode() for row in most for w in split(" " + row.word)}
     listed = sorted(tokens)
-    ids = Vocabulary(vocabulary_path).merge_together(listed)
+    ids = vocabulary(vocabulary_path).merge_together(listed)
     # Spark refuses two files of one name.
     path = os.path.join(_driver_folder(), f"lexicon-{uuid.uuid4().hex}")
     compile_lexicon(listed, [np.frombuffer(x, np.int32).tolist() for x in ids], path)
@@ -410,6 +410,11 @@ def _driver_folder() -> str:
     return tempfile.mkdtemp(prefix="lexicon-")
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
 _encoders: dict[tuple, Encoder] = {}
 
 
@@ -419,7 +424,7 @@ def _encoder(vocabulary_path: str, lexicon: str | None) -> Encoder:
     if key not in _encoders:
         _encoders.clear()
         mapped = Lexicon(SparkFiles.get(lexicon)) if lexicon else None
-        _encoders[key] = Encoder(Vocabulary(vocabulary_path), mapped)
+        _encoders[key] = Encoder(vocabulary(vocabulary_path), mapped)
     return _encoders[key]
 
 
@@ -454,7 +459,7 @@ def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids") ->
     columns = encoded.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Vocabulary(vocabulary_path).bytes_of
+        pieces = vocabulary(vocabulary_path).bytes_of
         flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         sizes = np.array([len(p) for p in pieces], dtype=np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyglass.session import prepare, shared_folder
 
-# Text that one step of a Python worker handles at once.
-BATCH_BYTES = 8 * 1024 * 1024
+# Text that one step of a Python worker handles at once; the lists it makes of that
+# take some thirty times as much.
+BATCH_BYTES = 2 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -46,7 +46,7 @@ class PieceCache:
         encode: Callable[[list[str]], Sequence],
         encode_first: Callable[[list[str]], Sequence] | None = None,
         tight: bool = True,
-        limit: int = 400_000,
+        limit: int = 250_000,
     ):
         self._encode, self._first = encode, encode_first or encode
         self._tight, self._limit = tight, limit

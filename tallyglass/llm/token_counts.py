@@ -26,7 +26,7 @@ from tallyglass.llm.common import by_bytes, without
 from tallyglass.llm.pieces import PieceCache
 
 MOST_TOKENS = 4096
-BATCH_BYTES = 4 * 1024 * 1024
+BATCH_BYTES = 2 * 1024 * 1024
 
 _counters: dict[str, Callable[[Sequence[str]], list[int]]] = {}
 
