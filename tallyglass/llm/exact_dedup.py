@@ -4,8 +4,10 @@ Texts are equal when identical after every run of ASCII white space became one
 space; a null text counts as empty. One scan lands a slim table of ids and
 hashes. Groups come from that table alone: partial aggregation leaves one row
 per hash and task, so a group that holds a third of all rows is harmless.
-Bytes are compared by grouping the texts of repeated hashes by (hash, text),
-again collapsed per task; a hash that two texts share is then split by text.
+Bytes are compared by grouping all texts by (hash, text), again collapsed per
+task; a hash that two texts share is then split by text. That shuffles every
+different text once whatever the number of copies: looking up first which hashes
+repeat would need the list of these in every task, and no bound holds for it.
 
 Cases: nulls in any other column are ignored; a null id sorts after every other
 and is ``keep_id`` only of a group without any id. Rows that repeat id and text
@@ -43,9 +45,8 @@ def exact_groups(
     texts = texts.withColumn("content", hashed(F.col("norm")))
     slim = landed(_slim(texts, F.col("content")))
     repeated = landed(_repeated(slim))
-    suspects = texts.join(repeated.select("content"), "content", "left_semi")
-    compared = suspects.groupBy("content", "norm").agg(F.lit(1))
-    shared = landed(compared.groupBy("content").count().filter("count > 1").select("content"))
+    different = texts.select("content", "norm").distinct()
+    shared = landed(different.groupBy("content").count().filter("count > 1").select("content"))
     if not shared.isEmpty():
         # Texts of shared hashes go by their own bytes; every other row has null there.
         split = texts.join(shared.withColumn("split", F.lit(True)), "content", "left")
