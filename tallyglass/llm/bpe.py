@@ -428,53 +428,93 @@ def _encoder(vocabulary_path: str, lexicon: str | None) -> Encoder:
     return _encoders[key]
 
 
+def _encoded(texts: list[str | None], encoder: Encoder) -> tuple[pa.Array, pa.Array]:
+    """Counts and lists of ids."""
+    found = encoder.encode([t or "" for t in texts])
+    counts = np.array([len(x) // 4 for x in found], dtype=np.int64)
+    values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+class _Decoder:
+    """Bytes of many tokens by one look-up."""
+
+    def __init__(self, pieces: Sequence[bytes]):
+        self.flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        self.sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+
+    def texts(self, rows: pa.ListArray) -> pa.Array:
+        texts: list[str | None] = []
+        for row in rows:
+            if not row.is_valid:
+                texts.append(None)
+                continue
+            ids = row.values.to_numpy(zero_copy_only=False)
+            lengths = self.sizes[ids]
+            ends = np.cumsum(lengths)
+            total = int(ends[-1]) if len(ids) else 0
+            place = np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)
+            texts.append(self.flat[place].tobytes().decode("utf-8", "replace"))
+        return pa.array(texts, pa.string())
+
+
+@lru_cache(maxsize=2)
+def _decoder(vocabulary_path: str) -> _Decoder:
+    return _Decoder(vocabulary(vocabulary_path).bytes_of)
+
+
+def _added(df: DataFrame, **columns: str):
+    """``df`` less columns of these names, and its schema with them."""
+    df = without(df, *columns)
+    kept = [quoted(c) for c in df.columns]
+    return df, df.selectExpr(*kept, *[f"CAST(NULL AS {kind}) AS {name}" for name, kind in columns.items()]).schema
+
+
 def encode(
     docs: DataFrame, vocabulary_path: str, lexicon: str | None = None, text_column: str = "text"
 ) -> DataFrame:
-    """``docs`` and the columns n_tokens and ids, which replace any of that name. The vocabulary file is read at
-    that path by every executor; ``lexicon`` is a name from ``build_lexicon``."""
-    docs = without(docs, "n_tokens", "ids")
-    columns = docs.columns
+    """``docs`` and the columns n_tokens and ids, which replace any of that name. The
+    vocabulary file is read at that path by every executor; ``lexicon`` is a name
+    from ``build_lexicon``."""
+    docs, schema = _added(docs, n_tokens="bigint", ids="array<int>")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary_path, lexicon)
         for batch in batches:
             for part in by_bytes(batch, text_column):
-                found = encoder.encode([t or "" for t in part.column(text_column).to_pylist()])
-                counts = np.array([len(x) // 4 for x in found], dtype=np.int64)
-                values = pa.array(np.frombuffer(b"".join(found), dtype=np.int32))
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield pa.record_batch(
-                    [*part.columns, pa.array(counts), ids], [*columns, "n_tokens", "ids"]
-                )
+                added = _encoded(part.column(text_column).to_pylist(), encoder)
+                yield pa.record_batch([*part.columns, *added], schema.names)
 
-    added = "CAST(0 AS BIGINT) AS n_tokens", "CAST(array() AS array<int>) AS ids"
-    return docs.mapInArrow(work, docs.selectExpr(*map(quoted, columns), *added).schema)
+    return docs.mapInArrow(work, schema)
 
 
 def decode(encoded: DataFrame, vocabulary_path: str, ids_column: str = "ids") -> DataFrame:
     """``encoded`` and the column decoded: the text of the ids. Null ids give null."""
-    encoded = without(encoded, "decoded")
-    columns = encoded.columns
+    encoded, schema = _added(encoded, decoded="string")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = _decoder(vocabulary_path).texts(batch.column(ids_column))
+            yield pa.record_batch([*batch.columns, texts], schema.names)
+
+    return encoded.mapInArrow(work, schema)
+
+
+def round_trip(
+    docs: DataFrame, vocabulary_path: str, lexicon: str | None = None, text_column: str = "text"
+) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that ids go to the JVM once and a task
+    has one Python worker."""
+    docs, schema = _added(docs, n_tokens="bigint", ids="array<int>", decoded="string")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = vocabulary(vocabulary_path).bytes_of
-        flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
-        sizes = np.array([len(p) for p in pieces], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        encoder, decoder = _encoder(vocabulary_path, lexicon), _decoder(vocabulary_path)
         for batch in batches:
-            texts: list[str | None] = []
-            for row in batch.column(ids_column):
-                if not row.is_valid:
-                    texts.append(None)
-                    continue
-                ids = row.values.to_numpy(zero_copy_only=False)
-                lengths = sizes[ids]
-                ends = np.cumsum(lengths)
-                total = int(ends[-1]) if len(ids) else 0
-                place = np.repeat(starts[ids] - (ends - lengths), lengths) + np.arange(total)
-                texts.append(flat[place].tobytes().decode("utf-8", "replace"))
-            yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*columns, "decoded"])
-
-    return encoded.mapInArrow(work, encoded.selectExpr(*map(quoted, columns), "CAST(NULL AS STRING) AS decoded").schema)
+            for part in by_bytes(batch, text_column):
+                counts, ids = _encoded(part.column(text_column).to_pylist(), encoder)
+                added = counts, ids, decoder.texts(ids)
+                yield pa.record_batch([*part.columns, *added], schema.names)
+
+    return docs.mapInArrow(work, schema)

@@ -39,7 +39,7 @@ from tallyglass.functions.columns import field
 from tallyglass.llm.common import landed, unused
 
 WINDOW = 13
-SEGMENT_WORDS = 2_000_000
+SEGMENT_WORDS = 1_000_000
 BLOCK_BYTES = 16 * 1024 * 1024
 ROWS_OUT = 10_000
 

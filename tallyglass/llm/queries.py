@@ -40,9 +40,8 @@ FROM texts WINDOW same AS (PARTITION BY norm)
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = tokenizer_path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, vocabulary, bpe.build_lexicon(docs, vocabulary))
-    decoded = bpe.decode(encoded.select("doc_id", "n_tokens", "ids"), vocabulary)
-    return decoded.selectExpr(
+    tokens = bpe.round_trip(docs, vocabulary, bpe.build_lexicon(docs, vocabulary))
+    return tokens.selectExpr(
         "doc_id",
         "n_tokens",
         "sha2(array_join(ids, ','), 256) AS ids_sha256",

@@ -85,7 +85,9 @@ def test_merging_does_not_depend_on_the_lexicon(tmp_path):
 def test_encode_and_decode_tables(spark):
     docs = documents(spark, [*HARD_TEXTS, *ODD]).withColumn("ids", F.lit("x")).withColumn("decoded", F.lit("y"))
     lexicon = bpe.build_lexicon(docs, BYTE_BPE, words=50)
+    both = bpe.round_trip(docs, BYTE_BPE, lexicon)
     rows = bpe.decode(bpe.encode(docs, BYTE_BPE, lexicon), BYTE_BPE).collect()
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows))
     assert len(rows) == len(HARD_TEXTS) + len(ODD)
     for row in rows:
         expected = by_library(row.text or "")
