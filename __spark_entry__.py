@@ -14,7 +14,7 @@ from tallyglass.operators import analytics, cleaning, duplicates, profiling, qua
 from tallyglass.plans.report import quality_report, report_details
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, full_run
 from tallyglass.schema import TXN_SCHEMA
-from tallyglass.session import prepare, shared_folder
+from tallyglass.session import input_bytes, prepare, shared_folder
 from tallyglass.sources import results
 from tallyglass.sources.transactions import load_transactions
 
@@ -25,18 +25,23 @@ except ImportError:  # the library works without that subpackage
     corpus = corpus_pipeline = None
 
 REPORT_TIME = "2024-01-01T00:00:00.000000"
+CAST_COLUMNS = ("timestamp", "login_frequency", "session_duration", "age_group", "risk_score")
+BAD_AMOUNT = "login_frequency = 8 AND session_duration % 7 = 0"
+BAD_TIME = "login_frequency = 3 AND session_duration % 9 = 0"
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = "/root/testdata/sf0.001") -> DataFrame:
     """Flagship query: mean risk per region of the cleaned transactions."""
-    return queries()["location_risk_rounded"](spark, "/root/testdata/sf0.001")
+    return queries()["location_risk_rounded"](spark, sf_dir)
 
 
 # --------------------------------------------------------------------- inputs
 
 
 def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_transactions(prepare(spark), sf_dir)
+    tx = dirty_transactions(prepare(spark), sf_dir)
+    prepare(spark, input_bytes(tx))
+    return tx
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,7 +49,9 @@ def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    prepare(spark, input_bytes(df))
+    return df
 
 
 def _reports(spark: SparkSession, sf_dir: str, statistics: bool = False) -> DataFrame:
@@ -57,6 +64,10 @@ def _reports(spark: SparkSession, sf_dir: str, statistics: bool = False) -> Data
     return raw_report.unionByName(cleaned_report)
 
 
+def _six_digits(risk: DataFrame) -> DataFrame:
+    return risk.withColumn("avg_risk_score", F.round("avg_risk_score", 6))
+
+
 def _stable(stats: DataFrame) -> DataFrame:
     """Means and deviations depend on the order of addition in the last digits."""
     return stats.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
@@ -118,27 +129,35 @@ def _write_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _null_or_nan(tx: DataFrame) -> DataFrame:
-    return tx.selectExpr(*[f"{is_missing(f.name, f.dataType)} AS {f.name}_missing" for f in tx.schema])
+def _dirty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The records as CSV with cells that are no number."""
+    path = shared_folder(spark)
+    dirty = _tx(spark, sf_dir).withColumns(
+        {
+            "amount": F.expr(f"IF({BAD_AMOUNT}, 'abc', CAST(amount AS STRING))"),
+            "timestamp": F.expr(f"IF({BAD_TIME}, 'not_a_time', CAST(`timestamp` AS STRING))"),
+        }
+    )
+    results.write_csv(dirty, path)
+    return path
 
 
-def _anomaly_predicates(tx: DataFrame) -> DataFrame:
-    rules = profiling.transaction_anomaly_rules()
-    flags = [f"coalesce({rule.violated}, false) AS {rule.type}" for rule in rules]
-    flagged = tx.selectExpr("timestamp", "receiving_address", "amount", *flags)
-    return flagged.filter(" OR ".join(rule.type for rule in rules))
+def _dirty_csv_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean_transactions(load_transactions(spark, _dirty_csv(spark, sf_dir), schema=None))
 
 
-def _types_of_records(tx: DataFrame) -> DataFrame:
-    """The type listing next to the size of the table it describes."""
-    return profiling.basic_metrics(tx).selectExpr(
-        f"inline({profiling.type_listing(tx)})", "total_records"
-    )
+def _dirty_csv_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = load_transactions(spark, _dirty_csv(spark, sf_dir), keep_malformed=True)
+    return cleaning.clean_audit(declared)
 
 
-def _type_counts_of_records(tx: DataFrame) -> DataFrame:
-    types = _types_of_records(tx).groupBy("data_type")
-    return types.agg(F.expr("count(1) AS columns"), F.expr("max(total_records) AS total_records"))
+def _csv_roundtrip_of(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df, root = _table(spark, sf_dir, name), shared_folder(spark)
+        results.write_result(df, root, name, formats=["csv"])
+        return results.read_result(spark, root, name, "csv", df.schema)
+
+    return query
 
 
 def _quality_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,15 +205,35 @@ def _results_present(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture to CSV, the whole run over it, then what the run measured."""
+    """Fixture to CSV, the whole run over it, then everything the run returned as
+    rows (section, table_name, item, measure, value)."""
     root = shared_folder(spark)
     source = f"{root}/input"
     results.write_csv(_tx(spark, sf_dir), source)
-    options = RunOptions(report_time=REPORT_TIME, drop_nan=True)
-    run = full_run(spark, source, f"{root}/results", options)
-    return report_details(run.reports).select(
-        "table_name", "section", "item", "measure", F.round("value", 4).alias("value")
-    )
+    run = full_run(spark, source, f"{root}/results", RunOptions(report_time=REPORT_TIME))
+    audit = ("initial_records", "removed_malformed", "removed_null_critical", "removed_non_positive_amount", "final_records")
+    parts = [
+        (report_details(run.reports), "section", "table_name", "item", {"": ("measure", "value")}),
+        (run.audit, "'audit'", "'raw_data'", "'table'", {m: (f"'{m}'", m) for m in audit}),
+        (run.location_risk, "'location_risk'", "'cleaned_data'", "location_region", {"": ("'avg_risk_score'", "avg_risk_score")}),
+        (run.top_sales, "'top_sales'", "'cleaned_data'", "receiving_address", {m: (f"'{m}'", m) for m in ("amount", "`timestamp`")}),
+        (run.present, "'present'", "result", "'rows'", {"": ("IF(present AND columns_ok, 'whole', 'broken')", "rows")}),
+        (run.gate, "'gate'", "table_name", "'table'", {"": ("IF(passed, 'passed', 'failed')", "quality_score")}),
+        (run.alerts, "'alerts'", "table_name", "rule", {"": ("message", "1")}),
+        (run.rules, "'rules'", "table_name", "coalesce(`column`, 'table')", {"": ("rule", "CAST(breached AS INT)")}),
+    ]
+    rows = None
+    for df, section, table, item, measures in parts:
+        for measure, value in measures.values():
+            part = df.selectExpr(
+                f"{section} AS section",
+                f"{table} AS table_name",
+                f"{item} AS item",
+                f"{measure} AS measure".replace("`", ""),
+                f"round(CAST({value} AS DOUBLE), 4) AS value",
+            )
+            rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def _report_details(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,15 +252,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_scan_inferred": _csv_scan(None),
         "csv_scan_declared": _csv_scan(TXN_SCHEMA),
         "basic_metrics": _on_tx(profiling.basic_metrics),
-        "schema_profile": _on_tx(_types_of_records),
+        "schema_profile": _on_tx(profiling.schema_profile),
         "parquet_roundtrip": _roundtrip("parquet"),
         "csv_roundtrip": _roundtrip("csv"),
+        "csv_roundtrip_documents": _csv_roundtrip_of("documents"),
+        "csv_roundtrip_pages": _csv_roundtrip_of("pages"),
+        "csv_roundtrip_conversations": _csv_roundtrip_of("conversations"),
+        "dirty_csv_cleaned": _dirty_csv_cleaned,
+        "dirty_csv_audit": _dirty_csv_audit,
         "json_roundtrip": _roundtrip("json"),
         "write_results": _write_results,
         "quality_report_json": _quality_report_json,
         "quality_summary": _quality_summary,
         # projections and filters
-        "cast_to_string": _on_tx(cleaning.cast_to_string),
+        "cast_to_string": _on_tx(lambda df: cleaning.cast_to_string(df, CAST_COLUMNS)),
         "sentinel_to_null": _on_tx(cleaning.sentinel_to_null),
         "risk_to_double": _on_tx(cleaning.risk_to_double),
         "add_readable_ts": _on_tx(cleaning.add_readable_ts),
@@ -230,15 +274,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "filter_positive_amount": _on_tx(cleaning.filter_positive_amount),
         "filter_sales": _on_tx(analytics.filter_sales),
         "filter_valid_risk": _on_cleaned(analytics.filter_valid_risk),
-        "null_or_nan": _on_tx(_null_or_nan),
-        "anomaly_predicates": _on_tx(_anomaly_predicates),
+        "null_or_nan": _on_tx(profiling.missing_flags),
+        "anomaly_predicates": _on_tx(
+            lambda df: profiling.anomalous_rows(df, ("timestamp", "receiving_address", "amount"))
+        ),
         "clean_transactions": _on_tx(cleaning.clean_transactions),
         # aggregations, window, top-k, distinct
         "clean_audit": _on_tx(cleaning.clean_audit),
-        "location_risk": _on_cleaned(
-            lambda df: analytics.location_risk(df, drop_nan=True).withColumn(
-                "avg_risk_score", F.round("avg_risk_score", 6)
-            )
+        "location_risk": _on_cleaned(lambda df: _six_digits(analytics.location_risk(df))),
+        "location_risk_drop_nan": _on_cleaned(
+            lambda df: _six_digits(analytics.location_risk(df, drop_nan=True))
         ),
         "location_risk_rounded": _on_cleaned(rounded_risk),
         "latest_sale_per_address": _on_cleaned(analytics.latest_sale_per_address),
@@ -250,7 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_profile": _on_tx(duplicates.duplicate_profile),
         "duplicate_profile_hash": _on_tx(by_hash),
         "numeric_stats": _on_tx(lambda df: _stable(profiling.numeric_stats(df))),
-        "type_distribution": _on_tx(_type_counts_of_records),
+        "type_distribution": _on_tx(profiling.type_distribution),
         "anomaly_checks": _on_tx(profiling.anomaly_checks),
         # the same profile over other tables
         "null_profile_documents": _on_table("documents", profiling.null_profile),
@@ -311,7 +356,7 @@ located AS (
     CASE event_id % 3 WHEN 0 THEN 'focused' WHEN 1 THEN 'random' ELSE 'high_value' END AS purchase_pattern,
     CASE WHEN event_id % 2 = 0 THEN 'new' ELSE 'veteran' END AS age_group,
     CASE WHEN event_id % 17 = 0 THEN 'none' WHEN event_id % 101 = 0 THEN 'bad'
-         WHEN event_id % 211 = 0 THEN 'NaN' ELSE ((event_id * 13) % 100) || '.25' END AS risk_score,
+         WHEN event_id % 211 = 0 AND r_name = 'ASIA' THEN 'NaN' ELSE ((event_id * 13) % 100) || '.25' END AS risk_score,
     CASE WHEN event_id % 5 = 0 THEN 'high_risk' ELSE 'low_risk' END AS anomaly
   FROM located
 ), tx AS (
@@ -480,13 +525,62 @@ _RISK = (
     "SELECT location_region, avg(risk_score) AS avg_risk_score FROM clean "
     "WHERE risk_score IS NOT NULL AND NOT isnan(risk_score) GROUP BY location_region"
 )
+_RISK_NAN = (
+    "SELECT location_region, avg(risk_score) AS avg_risk_score FROM clean "
+    "WHERE risk_score IS NOT NULL GROUP BY location_region"
+)
+_BAD = f"coalesce({BAD_AMOUNT}, false) OR coalesce({BAD_TIME}, false)"
+_DIRTY = f"""
+dirty AS (
+  SELECT * REPLACE (CASE WHEN {BAD_AMOUNT} THEN NULL ELSE amount END AS amount,
+                    CASE WHEN {BAD_TIME} THEN NULL ELSE "timestamp" END AS "timestamp")
+  FROM tx
+)"""
 _LATEST = (
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY receiving_address "
-    'ORDER BY "timestamp" DESC, amount DESC, sending_address) AS rn '
+    'ORDER BY "timestamp" DESC, amount DESC, sending_address, ip_prefix, login_frequency, session_duration, '
+    "purchase_pattern, age_group, risk_score, anomaly, timestamp_readable) AS rn "
     "FROM clean WHERE transaction_type = 'sale') WHERE rn = 1"
 )
 
 
+def _full_run_sql(present: str) -> str:
+    def rows(section, table, item, measure, value, source):
+        return (
+            f"SELECT '{section}' AS section, {table} AS table_name, {item} AS item, {measure} AS measure, "
+            f"round(CAST({value} AS DOUBLE), 4) AS value FROM {source}"
+        )
+
+    details = _details_sql().removeprefix(_scored())
+    clean, sales = f"'{fixed.CLEANED_TABLE}'", f"({_LATEST} ORDER BY amount DESC, receiving_address LIMIT 3)"
+    dropped = {
+        "initial_records": "true",
+        "removed_malformed": "false",
+        "removed_null_critical": f"NOT ({present})",
+        "removed_non_positive_amount": f"({present}) AND NOT amount > 0",
+        "final_records": f"({present}) AND amount > 0",
+    }
+    parts = [f"SELECT section, table_name, item, measure, value FROM ({details})"]
+    parts += [
+        rows("audit", f"'{fixed.RAW_TABLE}'", "'table'", f"'{m}'", f"count(*) FILTER (WHERE {c})", "tx")
+        for m, c in dropped.items()
+    ]
+    parts.append(rows("location_risk", clean, "location_region", "'avg_risk_score'", "avg_risk_score", f"({_RISK_NAN})"))
+    parts += [rows("top_sales", clean, "receiving_address", f"'{m}'", f'"{m}"', sales) for m in ("amount", "timestamp")]
+    parts += [
+        rows("present", f"'{name}'", "'rows'", "'whole'", n, f"({source})")
+        for name, n, source in (
+            (fixed.RISK_RESULT, "count(*)", _RISK_NAN),
+            (fixed.SALES_RESULT, "least(3, count(*))", _LATEST),
+        )
+    ]
+    passed = "CASE WHEN quality_score >= 70 THEN 'passed' ELSE 'failed' END"
+    parts.append(rows("gate", "table_name", "'table'", passed, "quality_score", f"(SELECT * FROM scored WHERE table_name = {clean})"))
+    parts.append(rows("alerts", "table_name", "rule", "message", "1", f"({_alerts_sql()})"))
+    parts.append(rows("rules", "table_name", "coalesce(\"column\", 'table')", "rule", "CAST(breached AS INTEGER)", f"({_rules_sql()})"))
+    return f"{_scored()} {' UNION ALL '.join(parts)}"
+
+
 def _alerts_sql() -> str:
     def branch(rule, text, value, condition):
         before, after = text
@@ -558,6 +652,7 @@ def oracle_sql() -> dict[str, str]:
     types_sql = ", ".join(f"('{c}', '{t}')" for c, t in _TYPES.items())
     csv_rows = f'{tx} SELECT * REPLACE (CAST("timestamp" AS INTEGER) AS "timestamp") FROM tx'
     flags = ", ".join(f"{_missing_sql(c, t)} AS {c}_missing" for c, t in _TYPES.items())
+    dirty_clean = _with(_TX, _DIRTY, _CLEAN.replace("FROM tx", "FROM dirty"))
     present = ' AND '.join(f'"{c}" IS NOT NULL' for c in fixed.CRITICAL_COLUMNS)
     oracle = {
         "csv_scan_inferred": csv_rows,
@@ -583,7 +678,11 @@ def oracle_sql() -> dict[str, str]:
             "anomaly_types, quality_score FROM scored"
         ),
         "quality_summary": f"{scored} {_summary_sql()}",
-        "cast_to_string": f"{tx} SELECT * FROM tx",
+        "cast_to_string": (
+            f"{tx} SELECT * REPLACE ("
+            + ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in CAST_COLUMNS)
+            + ") FROM tx"
+        ),
         "sentinel_to_null": f"{tx} SELECT * REPLACE (NULLIF(risk_score, 'none') AS risk_score) FROM tx",
         "risk_to_double": (
             f"{tx} SELECT * REPLACE (TRY_CAST(NULLIF(risk_score, 'none') AS DOUBLE) AS risk_score) FROM tx"
@@ -610,14 +709,30 @@ def oracle_sql() -> dict[str, str]:
         "clean_transactions": f"{clean} SELECT * FROM clean",
         "clean_audit": (
             f"{tx} SELECT count(*) AS initial_records, "
-            f"count(*) FILTER (WHERE NOT ({present})) AS removed_null_critical, "
+            f"CAST(0 AS BIGINT) AS removed_malformed, count(*) FILTER (WHERE NOT ({present})) AS removed_null_critical, "
             f"count(*) FILTER (WHERE {present} AND amount <= 0) AS removed_non_positive_amount, "
             f"count(*) FILTER (WHERE {present} AND amount > 0) AS final_records FROM tx"
         ),
         "location_risk": (
+            f"{clean} SELECT location_region, round(avg_risk_score, 6) AS avg_risk_score FROM ({_RISK_NAN})"
+        ),
+        "location_risk_drop_nan": (
             f"{clean} SELECT location_region, round(avg_risk_score, 6) AS avg_risk_score "
             f"FROM ({_RISK}) ORDER BY avg_risk_score DESC, location_region"
         ),
+        "csv_roundtrip_documents": "SELECT * FROM documents",
+        "csv_roundtrip_pages": "SELECT * FROM pages",
+        "csv_roundtrip_conversations": "SELECT * FROM conversations",
+        "dirty_csv_cleaned": (
+            f'{dirty_clean} SELECT * REPLACE (CAST("timestamp" AS BIGINT) AS "timestamp") FROM clean'
+        ),
+        "dirty_csv_audit": (
+            f"{_with(_TX, _DIRTY)} SELECT count(*) AS initial_records, "
+            f"count(*) FILTER (WHERE NOT ({present}) AND ({_BAD})) AS removed_malformed, "
+            f"count(*) FILTER (WHERE NOT ({present}) AND NOT ({_BAD})) AS removed_null_critical, "
+            f"count(*) FILTER (WHERE ({present}) AND NOT amount > 0) AS removed_non_positive_amount, "
+            f"count(*) FILTER (WHERE ({present}) AND amount > 0) AS final_records FROM dirty"
+        ),
         "location_risk_rounded": (
             f"{clean} {risk_rounded} ORDER BY avg_risk_score DESC, location_region"
         ),
@@ -684,6 +799,6 @@ def oracle_sql() -> dict[str, str]:
             f"count(*) AS \"rows\", true AS columns_ok FROM ({_RISK}) UNION ALL "
             f"SELECT '{fixed.SALES_RESULT}', true, least(3, count(*)), true FROM ({_LATEST})"
         ),
-        "full_run": _details_sql(),
+        "full_run": _full_run_sql(present),
     }
     return oracle | (corpus.oracle_sql() if corpus else {})

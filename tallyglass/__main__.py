@@ -24,11 +24,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--keep-cleaned", action="store_true")
     parser.add_argument("--drop-nan", action="store_true")
     parser.add_argument("--duplicates", choices=("auto", "rows", "hash"), default="auto")
+    parser.add_argument("--cleanup", action="store_true", help="remove the landed input in the end")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> int:
-    """Run and show the outcome; 1 when the cleaned table misses the gate."""
+    """Run and show the outcome; 1 when a result or the report is missing or the
+    cleaned table misses the gate."""
     args = arguments(argv)
     spark = prepare(SparkSession.builder.appName("tallyglass").getOrCreate())
     options = RunOptions(
@@ -39,14 +41,16 @@ def main(argv: list[str] | None = None) -> int:
         keep_cleaned=args.keep_cleaned,
         drop_nan=args.drop_nan,
         duplicates=args.duplicates,
+        cleanup=args.cleanup,
     )
     run = full_run(spark, args.input, args.output, options)
     run.present.show(truncate=False)
+    run.audit.show(truncate=False)
     if run.gate is None:
-        return 0
+        return 0 if run.results_complete else 1
     run.alerts.show(truncate=False)
     run.gate.show(truncate=False)
-    return 0 if run.gate.filter("NOT passed").isEmpty() else 1
+    return 0 if run.results_complete and not run.gate.filter("passed").isEmpty() else 1
 
 
 if __name__ == "__main__":

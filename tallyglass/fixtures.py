@@ -33,7 +33,7 @@ COLUMNS = {
     "risk_score": """CASE
         WHEN event_id % 17 = 0 THEN 'none'
         WHEN event_id % 101 = 0 THEN 'bad'
-        WHEN event_id % 211 = 0 THEN 'NaN'
+        WHEN event_id % 211 = 0 AND r_name = 'ASIA' THEN 'NaN'
         ELSE (event_id * 13) % 100 || '.25' END""",
     "anomaly": "IF(event_id % 5 = 0, 'high_risk', 'low_risk')",
 }

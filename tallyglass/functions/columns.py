@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, FloatType, StringType
 
@@ -25,6 +25,14 @@ def text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def record(**fields: str) -> str:
     """Struct with the given field names and expressions."""
     return f"named_struct({', '.join(f'{text(k)}, {v}' for k, v in fields.items())})"

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tallyglass.fixed_values import (
     RISK_DIGITS,
@@ -13,7 +14,7 @@ from tallyglass.fixed_values import (
     SALES_RESULT_COLUMNS,
     TOP_ADDRESSES,
 )
-from tallyglass.functions.columns import field
+from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import round_scaled
 from tallyglass.schema import require_columns
 
@@ -80,15 +81,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 def latest_sale_per_address(df: DataFrame) -> DataFrame:
     """Most recent sale of every receiving address.
 
-    Ties in time go to the larger amount, then to the smaller sender.
+    Ties in time go to the larger amount, then to the smaller sender, then to
+    the smaller value of every other column in order, so that the row does not
+    depend on the order of the input.
     """
+    decided = ("timestamp", "amount", "sending_address", "receiving_address")
+    others = [
+        F.asc(quoted(f.name))
+        for f in df.schema
+        if f.name not in decided and not _unordered(f.dataType)
+    ]
     return latest_per_key(
         filter_sales(df),
         ["receiving_address"],
-        [F.desc("timestamp"), F.desc("amount"), F.asc("sending_address")],
+        [F.desc("timestamp"), F.desc("amount"), F.asc("sending_address"), *others],
     )
 
 
+def _unordered(dtype: DataType) -> bool:
+    if isinstance(dtype, ArrayType):
+        return _unordered(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return any(_unordered(f.dataType) for f in dtype)
+    return isinstance(dtype, (MapType, VariantType))
+
+
 def top_sale_addresses(df: DataFrame, k: int = TOP_ADDRESSES) -> DataFrame:
     """The ``k`` addresses with the largest amount in their latest sale.
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DataType, NumericType, StringType
 
 from tallyglass.fixed_values import (
     CRITICAL_COLUMNS,
@@ -20,7 +20,24 @@ from tallyglass.fixed_values import (
 )
 from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.time import readable_timestamp
-from tallyglass.schema import require_columns
+from tallyglass.schema import MALFORMED, require_columns
+
+
+# What the checks compare; an inferred table may hold these as text.
+NUMBERS = {"amount": "double", "timestamp": "bigint"}
+
+
+def number(name: str, dtype: DataType) -> str:
+    """Expression of a number that may be stored as text; malformed text is null."""
+    if isinstance(dtype, StringType):
+        return f"try_cast({quoted(name)} AS {NUMBERS.get(name, 'double')})"
+    return quoted(name)
+
+
+def numbers_typed(df: DataFrame) -> DataFrame:
+    """Amounts and times that are text become numbers, malformed ones null."""
+    texts = [c for c in NUMBERS if c in df.columns and isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: F.expr(number(c, df.schema[c].dataType)) for c in texts})
 
 
 def sentinel_to_null(
@@ -47,7 +64,10 @@ def add_readable_ts(
 ) -> DataFrame:
     """Append the epoch column as text and keep the epoch."""
     require_columns(df, [column])
-    return df.withColumn(output, F.expr(readable_timestamp(quoted(column))))
+    epoch = quoted(column)
+    if isinstance(df.schema[column].dataType, StringType):
+        epoch = f"try_cast({epoch} AS bigint)"
+    return df.withColumn(output, F.expr(readable_timestamp(epoch)))
 
 
 def cast_to_string(
@@ -73,14 +93,15 @@ def filter_critical_not_null(
 def filter_positive_amount(df: DataFrame, column: str = "amount") -> DataFrame:
     """Keep values above zero; not-a-number sorts above all and is kept."""
     require_columns(df, [column])
-    return df.filter(f"{quoted(column)} > 0")
+    return df.filter(f"{number(column, df.schema[column].dataType)} > 0")
 
 
 def clean_transactions(df: DataFrame) -> DataFrame:
-    """Typed risk score, readable time, rows without critical nulls or
-    non-positive amounts, text columns as strings. Adds one column."""
+    """Typed amount, time and risk score, readable time, rows without critical
+    nulls or non-positive amounts, text columns as strings. Adds one column and
+    drops that of malformed records."""
     require_columns(df, (*CRITICAL_COLUMNS, "risk_score"))
-    typed = add_readable_ts(risk_to_double(df))
+    typed = add_readable_ts(risk_to_double(numbers_typed(df.drop(MALFORMED))))
     valid = filter_positive_amount(filter_critical_not_null(typed))
     return cast_to_string(valid)
 
@@ -88,14 +109,26 @@ def clean_transactions(df: DataFrame) -> DataFrame:
 def clean_audit(df: DataFrame) -> DataFrame:
     """One row: how many rows the cleaning receives, drops per rule and keeps.
 
-    One aggregate over the critical columns only; no shuffle beyond one
-    partial row per task.
+    ``removed_malformed`` counts rows with a malformed cell that lack a critical
+    value; these are not among ``removed_null_critical``. It is 0 for a table that
+    was read without the column of malformed records. One aggregate over the
+    critical columns only; no shuffle beyond one partial row per task.
     """
     require_columns(df, CRITICAL_COLUMNS)
+    unparsed = [
+        f"({quoted(c)} IS NOT NULL AND {number(c, df.schema[c].dataType)} IS NULL)"
+        for c in NUMBERS
+        if isinstance(df.schema[c].dataType, StringType)
+    ]
+    if MALFORMED in df.columns:
+        unparsed.append(f"{quoted(MALFORMED)} IS NOT NULL")
+    malformed = f"({' OR '.join(unparsed or ['false'])})"
     present = f"({all_present(CRITICAL_COLUMNS)})"
-    return df.selectExpr(
+    audited = numbers_typed(df.withColumn("malformed", F.expr(malformed)))
+    return audited.selectExpr(
         "count(1) AS initial_records",
-        f"count_if(NOT {present}) AS removed_null_critical",
+        f"count_if(NOT {present} AND malformed) AS removed_malformed",
+        f"count_if(NOT {present} AND NOT malformed) AS removed_null_critical",
         f"count_if({present} AND NOT amount > 0) AS removed_non_positive_amount",
         f"count_if({present} AND amount > 0) AS final_records",
     )

@@ -1,7 +1,7 @@
 """Exact counting and removal of identical rows.
 
 Nulls equal nulls, not-a-number equals itself and -0.0 equals 0.0, as in any
-Spark grouping.
+Spark grouping. Maps are equal when their entries are, in any order.
 """
 
 from __future__ import annotations
@@ -10,107 +10,162 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
-
-from tallyglass.functions.columns import field, quoted
+from pyspark.sql.types import (
+    ArrayType,
+    AtomicType,
+    DataType,
+    MapType,
+    NullType,
+    StringType,
+    StructType,
+)
+
+from tallyglass.functions.columns import quoted, unused
 from tallyglass.functions.rounding import percentage
-from tallyglass.session import shared_folder, sized_shuffles
+from tallyglass.session import remove_folder, shared_folder
 
-# 4 million 8-byte hashes stay near 100 MB in every executor.
-BROADCAST_HASHES = 4_000_000
-HASH_ABOVE_ROWS = 50_000_000
-HASH_BYTES = 32  # a hash, its count and the row around them
-COLUMN_BYTES = 32
+BINARY_COLLATION = "UTF8_BINARY"
 
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Every different row once. Copies collapse per task before the shuffle."""
-    return df.distinct()
+    maps = [f.name for f in df.schema if _has_map(f.dataType)]
+    if not maps:
+        return df.distinct()
+    keys = {m: unused(df, f"{m} as entries") for m in maps}
+    compared = df.withColumns({k: _without_maps(m, df) for m, k in keys.items()})
+    return compared.dropDuplicates([keys.get(c, c) for c in df.columns]).drop(*keys.values())
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Top-level maps as sorted entries, because maps cannot be compared."""
-    maps = [f.name for f in df.schema if isinstance(f.dataType, MapType)]
-    return df.withColumns({m: F.array_sort(F.map_entries(field(m))) for m in maps})
+    """Maps as sorted entries, because maps cannot be compared."""
+    maps = [f.name for f in df.schema if _has_map(f.dataType)]
+    return df.withColumns({m: _without_maps(m, df) for m in maps})
+
+
+def _has_map(dtype: DataType) -> bool:
+    if isinstance(dtype, ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, StructType):
+        return any(_has_map(f.dataType) for f in dtype)
+    return isinstance(dtype, MapType)
+
+
+def _without_maps(name: str, df: DataFrame) -> F.Column:
+    return F.expr(_entries(quoted(name), df.schema[name].dataType, 0))
+
+
+def _entries(value: str, dtype: DataType, depth: int) -> str:
+    if not _has_map(dtype):
+        return value
+    each = f"x{depth}"
+    if isinstance(dtype, ArrayType):
+        return f"transform({value}, {each} -> {_entries(each, dtype.elementType, depth + 1)})"
+    if isinstance(dtype, StructType):
+        parts = [
+            f"'{i}', {_entries(f'{value}.{quoted(f.name)}', f.dataType, depth + 1)}"
+            for i, f in enumerate(dtype)
+        ]
+        return f"IF({value} IS NULL, NULL, named_struct({', '.join(parts)}))"
+    key = _entries(f"{each}.key", dtype.keyType, depth + 1)
+    inner = _entries(f"{each}.value", dtype.valueType, depth + 1)
+    return f"array_sort(transform(map_entries({value}), {each} -> named_struct('key', {key}, 'value', {inner})))"
+
+
+def hashes_as_it_groups(dtype: DataType) -> bool:
+    """Values that a grouping holds equal have equal hashes. Not so for text whose
+    collation holds different bytes equal."""
+    if isinstance(dtype, ArrayType):
+        return hashes_as_it_groups(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return hashes_as_it_groups(dtype.keyType) and hashes_as_it_groups(dtype.valueType)
+    if isinstance(dtype, StructType):
+        return all(hashes_as_it_groups(f.dataType) for f in dtype)
+    if isinstance(dtype, StringType):
+        return dtype.collation == BINARY_COLLATION
+    return isinstance(dtype, (AtomicType, NullType))
 
 
 def duplicate_profile(
     df: DataFrame,
-    method: str = "rows",
-    hash_above_rows: int = HASH_ABOVE_ROWS,
-    broadcast_hashes: int = BROADCAST_HASHES,
+    method: str = "auto",
     derived: Sequence[str] = (),
+    total: int | None = None,
 ) -> DataFrame:
     """One row: total, unique, duplicate_count and duplicate_percentage.
 
     ``rows``  lazy; groups by every column, so whole rows are shuffled once
               after each task has collapsed its own copies.
     ``hash``  runs jobs; shuffles one 8-byte hash per row, then compares whole
-              rows only where a hash occurs more than once. Exact as well, and
-              far less shuffle for a large table with few copies. Scans the
-              table twice, so it should be a columnar file.
-    ``auto``  counts the rows (footers only for Parquet) and picks one.
-
-    ``derived`` names columns computed from others of the same row: equal rows
-    agree in them anyway, so they need not be hashed, compared or shuffled.
+              rows only where a hash occurs more than once. Far less shuffle
+              for a table with few copies. Scans the table twice, so it should
+              be a columnar file. Refused for columns that do not hash as they group.
+    ``auto``  by the schema alone: ``hash`` wherever every column hashes as it
+              groups, else ``rows``.
+
+    Both are exact. ``derived`` names columns computed from others of the same
+    row: equal rows agree in them anyway, so they need not be hashed, compared or
+    shuffled. ``total`` is the number of rows where the caller knows it.
     """
     df = df.drop(*derived)
+    hashable = all(hashes_as_it_groups(f.dataType) for f in df.schema)
     if method == "auto":
-        method = "hash" if df.count() > hash_above_rows else "rows"
+        method = "hash" if hashable else "rows"
     if method == "rows":
         return _by_rows(df)
     if method == "hash":
-        return _by_hash(df, broadcast_hashes)
+        if not hashable:
+            raise ValueError("some column holds values equal that have different hashes; use method='rows'")
+        return _by_hash(df, total)
     raise ValueError(f"unknown method: {method}")
 
 
-def _groups(df: DataFrame) -> DataFrame:
-    return df.groupBy(*map(quoted, df.columns)).agg(F.expr("count(1) AS copies_of_row"))
+def _counted(df: DataFrame) -> tuple[DataFrame, str]:
+    copies = unused(df, "copies_of_row")
+    return df.groupBy(*map(quoted, df.columns)).agg(F.count(F.lit(1)).alias(copies)), copies
 
 
 def _by_rows(df: DataFrame) -> DataFrame:
-    counted = _groups(comparable(df)).selectExpr(
-        "coalesce(sum(copies_of_row), 0) AS total_records", "count(1) AS unique_records"
+    groups, copies = _counted(comparable(df))
+    counted = groups.selectExpr(
+        f"coalesce(sum({quoted(copies)}), 0) AS total_records", "count(1) AS unique_records"
     )
     return _with_share(counted)
 
 
-def with_hash(df: DataFrame) -> DataFrame:
-    """``df`` and an 8-byte hash of each row; equal rows have equal hashes."""
+def with_hash(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with maps as entries, and an 8-byte hash of each row; equal rows have
+    equal hashes."""
     rows = comparable(df)
-    return rows.withColumn("hash_of_row", F.xxhash64(*map(quoted, rows.columns)))
-
+    return rows.withColumn(name, F.xxhash64(*map(quoted, rows.columns)))
 
-def repeated_hashes(hashed: DataFrame) -> DataFrame:
-    """Hashes seen more than once and how often; reads rows, shuffles hashes."""
-    return _groups(hashed.select("hash_of_row")).filter("copies_of_row > 1")
 
+def rows_with(hashed: DataFrame, repeated: DataFrame, name: str) -> DataFrame:
+    """Rows whose hash is listed. The list may be as long as the table, so both
+    sides are sorted by hash; a hot hash is split by the skew join."""
+    return hashed.join(repeated.select(name).hint("merge"), name, "left_semi")
 
-def rows_with(hashed: DataFrame, repeated: DataFrame) -> DataFrame:
-    """Rows whose hash is listed. Callers check that the list is small."""
-    return hashed.join(F.broadcast(repeated.select("hash_of_row")), "hash_of_row", "left_semi")
 
-
-def _by_hash(df: DataFrame, broadcast_hashes: int) -> DataFrame:
+def _by_hash(df: DataFrame, total: int | None) -> DataFrame:
     spark = df.sparkSession
-    hashed = with_hash(df)
-    total = df.count()
+    # First, because a cluster without a shared folder is refused here.
+    folder = shared_folder(spark)
+    name = unused(df, "hash_of_row")
+    hashed = with_hash(df, name)
+    total = df.count() if total is None else total
 
     # Written, so that the comparison below does not hash and group again.
-    folder = shared_folder(spark)
-    listing = repeated_hashes(hashed)
-    with sized_shuffles(spark, total, HASH_BYTES):
-        listing.write.parquet(folder)
+    groups, copies = _counted(hashed.select(name))
+    listing = groups.filter(f"{quoted(copies)} > 1").select(name)
+    listing.write.parquet(folder)
     repeated = spark.read.schema(listing.schema).parquet(folder)
-    hashes, suspects = repeated.selectExpr("count(1)", "coalesce(sum(copies_of_row), 0)").first()
 
     surplus = 0
-    if hashes:
-        few = hashes <= broadcast_hashes
-        compared = rows_with(hashed, repeated) if few else hashed
-        with sized_shuffles(spark, suspects if few else total, COLUMN_BYTES * len(df.columns)):
-            # Rows that share a hash without being equal are separate groups.
-            surplus = _groups(compared).selectExpr("sum(copies_of_row - 1)").first()[0]
+    if not repeated.isEmpty():
+        # Rows that share a hash without being equal are separate groups.
+        compared, copies = _counted(rows_with(hashed, repeated, name))
+        surplus = compared.selectExpr(f"coalesce(sum({quoted(copies)} - 1), 0)").first()[0]
+    remove_folder(spark, folder)
     return _with_share(
         spark.range(1).selectExpr(
             f"{total}L AS total_records", f"{total - surplus}L AS unique_records"

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructField
 
 from tallyglass.fixed_values import (
@@ -26,6 +27,7 @@ from tallyglass.fixed_values import (
 )
 from tallyglass.functions.columns import is_missing, quoted, record, text
 from tallyglass.functions.rounding import percentage
+from tallyglass.operators.cleaning import number
 from tallyglass.schema import ANOMALY
 
 STATISTIC_TYPES = (DoubleType, FloatType, IntegerType, LongType)
@@ -43,7 +45,7 @@ ANOMALY_ROWS = f"array<{ANOMALY}>"
 class AnomalyRule:
     """A range check on one column; skipped where the column does not exist.
 
-    ``violated`` is the SQL condition of an offending row.
+    ``violated`` is the SQL condition of an offending row, ``{value}`` the value.
     """
 
     type: str
@@ -57,12 +59,12 @@ def transaction_anomaly_rules(reference_epoch: int = REFERENCE_EPOCH) -> tuple[A
     oldest = reference_epoch - OLD_AFTER_YEARS * SECONDS_PER_YEAR
     newest = reference_epoch + FUTURE_AFTER_YEARS * SECONDS_PER_YEAR
     return (
-        AnomalyRule("negative_values", "amount", "amount < 0", NEGATIVE_VALUES_TEXT),
+        AnomalyRule("negative_values", "amount", "{value} < 0", NEGATIVE_VALUES_TEXT),
         AnomalyRule(
-            "old_timestamps", "timestamp", f"`timestamp` < {oldest}", OLD_TIMESTAMPS_TEXT
+            "old_timestamps", "timestamp", f"{{value}} < {oldest}", OLD_TIMESTAMPS_TEXT
         ),
         AnomalyRule(
-            "future_timestamps", "timestamp", f"`timestamp` > {newest}", FUTURE_TIMESTAMPS_TEXT
+            "future_timestamps", "timestamp", f"{{value}} > {newest}", FUTURE_TIMESTAMPS_TEXT
         ),
     )
 
@@ -71,6 +73,28 @@ def applicable_rules(df: DataFrame, rules: Sequence[AnomalyRule]) -> list[Anomal
     return [rule for rule in rules if rule.column in df.columns]
 
 
+def violation(df: DataFrame, rule: AnomalyRule) -> str:
+    """The rule's condition on a column that may hold its numbers as text."""
+    return rule.violated.format(value=number(rule.column, df.schema[rule.column].dataType))
+
+
+def missing_flags(df: DataFrame) -> DataFrame:
+    """Per row and column whether the value is missing (``<column>_missing``)."""
+    return df.selectExpr(
+        *[f"{is_missing(f.name, f.dataType)} AS {quoted(f.name + '_missing')}" for f in df.schema]
+    )
+
+
+def anomalous_rows(
+    df: DataFrame, columns: Sequence[str], rules: Sequence[AnomalyRule] | None = None
+) -> DataFrame:
+    """Rows that violate a rule: the given columns and one flag per rule."""
+    rules = applicable_rules(df, transaction_anomaly_rules() if rules is None else rules)
+    flags = [f"coalesce({violation(df, rule)}, false) AS {quoted(rule.type)}" for rule in rules]
+    found = df.selectExpr(*map(quoted, columns), *flags)
+    return found.filter(" OR ".join([quoted(rule.type) for rule in rules] or ["false"]))
+
+
 def statistic_columns(df: DataFrame) -> list[str]:
     """Columns that get statistics: double, float, int and long only."""
     return [f.name for f in df.schema if isinstance(f.dataType, STATISTIC_TYPES)]
@@ -138,7 +162,7 @@ def _metrics_of(
             measures = ("count", "mean", "stddev", "min", "max")
             statistic_rows.append(record(**label, **{m: f"{m}_{i}" for m in measures}))
     for i, rule in enumerate(rules):
-        aggregates.append(f"count_if({rule.violated}) AS anomaly_{i}")
+        aggregates.append(f"count_if({violation(df, rule)}) AS anomaly_{i}")
         anomaly_rows.append(
             record(
                 type=text(rule.type),
@@ -209,8 +233,9 @@ def anomaly_checks(
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """One row per column with its type name. Reads no data."""
-    return df.sparkSession.range(1).selectExpr(f"inline({type_listing(df)})")
+    """One row per column with its type name and the number of records that
+    have it. Reads no column."""
+    return basic_metrics(df).selectExpr(f"inline({type_listing(df)})", "total_records")
 
 
 def type_listing(df: DataFrame) -> str:
@@ -220,5 +245,6 @@ def type_listing(df: DataFrame) -> str:
 
 
 def type_distribution(df: DataFrame) -> DataFrame:
-    """Number of columns of every type."""
-    return schema_profile(df).groupBy("data_type").agg({"*": "count"}).toDF("data_type", "columns")
+    """Number of columns of every type, over that many records."""
+    types = schema_profile(df).groupBy("data_type")
+    return types.agg(F.count(F.lit(1)).alias("columns"), F.max("total_records").alias("total_records"))

@@ -49,7 +49,8 @@ DUPLICATE_SHARE = "duplicate_analysis.duplicate_percentage"
 ANOMALY_TYPES = "size(anomalies)"
 
 JOB_ID = "tallyglass"
-TASKS = ("load", "profile", "clean", "analyse", "report")
+ANALYSIS = "analyse"
+TASKS = ("load", "profile", "clean", ANALYSIS, "report")
 
 
 @dataclass(frozen=True)
@@ -223,12 +224,15 @@ def execution_report(
     gate_score: float = GATE_SCORE,
     job_id: str = JOB_ID,
     tasks: Sequence[str] = TASKS,
+    results_complete: bool = True,
 ) -> DataFrame:
     """One row about the run: date, job, status, tasks and the cleaned
     table's score and size (0 where the report lacks that table).
 
-    ``status`` is ``success`` unless the score misses the gate.
+    ``status`` is ``success`` unless the score misses the gate, the report lacks
+    the table, or a result is missing; then the analysis is no completed task.
     """
+    tasks = [t for t in tasks if results_complete or t != ANALYSIS]
     chosen = f"table_name = {text(table_name)}"
     summary = reports.selectExpr(
         f"max(quality_score) FILTER (WHERE {chosen}) AS score",
@@ -238,7 +242,7 @@ def execution_report(
     return summary.selectExpr(
         f"{NOW if execution_date is None else text(execution_date)} AS execution_date",
         f"{text(job_id)} AS job_id",
-        f"CASE WHEN score < {gate_score}D THEN 'failed' ELSE 'success' END AS status",
+        f"IF(score >= {gate_score}D AND {str(results_complete).lower()}, 'success', 'failed') AS status",
         f"array({done}) AS tasks_completed",
         record(quality_score="coalesce(score, 0D)", total_records="coalesce(records, 0L)")
         + " AS quality_summary",

@@ -26,19 +26,21 @@ def quality_report(
     report_time: str | None = None,
     anomaly_rules: Sequence[AnomalyRule] | None = None,
     statistics: bool = True,
-    duplicates: str = "rows",
+    duplicates: str = "auto",
     derived: Sequence[str] = (),
+    total: int | None = None,
 ) -> DataFrame:
     """All checks of one table as one nested row.
 
     Two scans: one aggregate for everything that needs no shuffle of rows, one
     grouping for identical rows. Reports of several tables go together with
     ``unionByName``. ``report_time`` is the current time unless given;
-    ``duplicates`` and ``derived`` go to ``duplicate_profile``.
+    ``duplicates``, ``derived`` and ``total`` go to ``duplicate_profile``, which runs
+    jobs unless ``duplicates`` is "rows".
     """
     rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
     metrics = table_metrics(df, statistics=statistics, anomaly_rules=rules)
-    copies = duplicate_profile(df, method=duplicates, derived=derived)
+    copies = duplicate_profile(df, method=duplicates, derived=derived, total=total)
     row = (
         metrics.selectExpr("struct(*) AS m")
         .unionByName(copies.selectExpr("struct(*) AS d"), allowMissingColumns=True)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyglass.fixed_values import (
@@ -25,7 +27,7 @@ from tallyglass.operators.analytics import (
     location_risk,
     top_sale_addresses,
 )
-from tallyglass.operators.cleaning import clean_transactions
+from tallyglass.operators.cleaning import clean_audit, clean_transactions
 from tallyglass.operators.profiling import transaction_anomaly_rules
 from tallyglass.operators.quality import (
     Thresholds,
@@ -35,12 +37,12 @@ from tallyglass.operators.quality import (
     threshold_rules,
 )
 from tallyglass.plans.report import quality_report
-from tallyglass.schema import TXN_SCHEMA
-from tallyglass.session import sized_shuffles
+from tallyglass.schema import MALFORMED, TXN_SCHEMA
+from tallyglass.session import input_bytes, own_session, remove_folder, shared_folder
 from tallyglass.sources.results import (
     FORMATS,
     REPORT,
-    read_result,
+    check_formats,
     result_path,
     results_present,
     write_json,
@@ -50,7 +52,9 @@ from tallyglass.sources.results import (
 )
 from tallyglass.sources.transactions import land, load_transactions
 
-SALE_BYTES = 64  # address, amount and time of a sale in a shuffle
+AUDIT = "clean_audit"
+PRESENT = "results_present"
+RUNS = "execution_reports"
 
 EXPECTED_RESULTS = {
     RISK_RESULT: RISK_RESULT_COLUMNS,
@@ -74,6 +78,7 @@ class RunOptions:
     duplicates: str = "auto"
     thresholds: Thresholds = Thresholds()
     strict_gate: bool = False
+    cleanup: bool = False
 
 
 @dataclass(frozen=True)
@@ -84,6 +89,8 @@ class RunResult:
     location_risk: DataFrame
     top_sales: DataFrame
     present: DataFrame
+    audit: DataFrame
+    results_complete: bool
     reports: DataFrame | None = None
     alerts: DataFrame | None = None
     rules: DataFrame | None = None
@@ -95,42 +102,77 @@ def full_run(
 ) -> RunResult:
     """Run everything and write it below ``root``. Runs jobs.
 
-    A CSV input is landed as Parquet once; all later scans are columnar and
-    read only the columns they need. Cleaning is row-wise and recomputed by
-    each reader, which costs less than a second copy of the table; with
-    ``keep_cleaned`` that copy is written and read instead. Results and
-    reports are written once and everything derived from them starts from the
-    written tables.
+    The run has a session of its own, with shuffles sized by the input. A CSV
+    input is landed as Parquet once; all later scans are columnar and read only
+    the columns they need. Cleaning is row-wise and recomputed by each reader,
+    which costs less than a second copy of the table; with ``keep_cleaned`` that
+    copy is written and read instead. Results and reports are written once and
+    everything derived from them starts from the written tables. Results are
+    returned unrounded whatever the formats. With ``cleanup`` the landed input is
+    removed in the end, and the cleaned table is read from the input again.
     """
-    raw = load_transactions(spark, path, options.schema, options.source_format)
-    if options.source_format == "csv":
-        raw = land(raw, f"{root.rstrip('/')}/{RAW_TABLE}_parquet")
+    check_formats(options.formats)
+    base = root.rstrip("/")
+    columnar = options.source_format != "csv"
+    declared = not columnar and options.schema is not None
+    load = lambda s: load_transactions(s, path, options.schema, options.source_format, declared)
+    spark = own_session(spark, input_bytes(load(spark)))
+    if options.quality_checks and options.duplicates != "rows":
+        shared_folder(spark)  # refused now rather than after the work
+    landed = f"{base}/{RAW_TABLE}_parquet"
+    received = load(spark) if columnar else land(load(spark), landed)
+    raw = received.drop(MALFORMED)
     cleaned = clean_transactions(raw)
     if options.keep_cleaned:
-        cleaned = land(cleaned, f"{root.rstrip('/')}/{CLEANED_TABLE}_parquet")
+        cleaned = land(cleaned, f"{base}/{CLEANED_TABLE}_parquet")
+    audit = land(clean_audit(received), f"{base}/{AUDIT}_parquet")
 
     risk = location_risk(cleaned, drop_nan=options.drop_nan)
     rounded = {"avg_risk_score": RISK_DIGITS}
-    write_result(
-        risk, root, RISK_RESULT, options.formats, rounded, nan_as_null=True, order=highest_risk_first()
-    )
     sales = top_sale_addresses(cleaned, options.top)
-    # The latest sale of every address is the analysis whose shuffle can be large.
-    with sized_shuffles(spark, raw.count(), SALE_BYTES):
+    exact = {}
+    for name, result, digits, order in (
+        (RISK_RESULT, risk, rounded, highest_risk_first()),
+        (SALES_RESULT, sales, None, largest_sale_first()),
+    ):
+        folder = result_path(root, name, "parquet") if "parquet" in options.formats else f"{base}/exact/{name}"
         write_result(
-            sales, root, SALES_RESULT, options.formats, nan_as_null=True, order=largest_sale_first()
+            result, root, name, options.formats, digits, nan_as_null=True, order=order, exact_path=folder
         )
-    main_format = options.formats[0]
+        exact[name] = spark.read.schema(result.schema).parquet(folder)
+    present = land(
+        results_present(spark, root, EXPECTED_RESULTS, options.formats[0]), f"{base}/{PRESENT}_parquet"
+    )
+    complete = present.filter("NOT (present AND columns_ok)").isEmpty()
+    kept = cleaned
+    if options.cleanup and not columnar and not options.keep_cleaned:
+        kept = clean_transactions(load(spark).drop(MALFORMED))
     common = {
-        "cleaned": cleaned,
-        "location_risk": read_result(spark, root, RISK_RESULT, main_format, risk.schema),
-        "top_sales": read_result(spark, root, SALES_RESULT, main_format, sales.schema),
-        "present": results_present(spark, root, EXPECTED_RESULTS, main_format),
+        "cleaned": kept,
+        "location_risk": exact[RISK_RESULT],
+        "top_sales": exact[SALES_RESULT],
+        "present": present,
+        "audit": audit,
+        "results_complete": complete,
     }
-    if not options.quality_checks:
-        return RunResult(**common)
-
+    checked = _checks(spark, root, raw, cleaned, audit, options, complete) if options.quality_checks else {}
+    if options.cleanup and not columnar:
+        remove_folder(spark, landed)
+    return RunResult(**common, **checked)
+
+
+def _checks(
+    spark: SparkSession,
+    root: str,
+    raw: DataFrame,
+    cleaned: DataFrame,
+    audit: DataFrame,
+    options: RunOptions,
+    complete: bool,
+) -> dict[str, DataFrame]:
+    """Reports on both tables, and what follows from them."""
     rules = transaction_anomaly_rules(options.reference_epoch)
+    counts = audit.first()
     raw_report, cleaned_report = (
         quality_report(
             table,
@@ -139,32 +181,41 @@ def full_run(
             rules,
             duplicates=options.duplicates,
             derived=derived,
+            total=total,
         )
-        for table, name, derived in (
-            (raw, RAW_TABLE, ()),
-            (cleaned, CLEANED_TABLE, ("timestamp_readable",)),
+        for table, name, derived, total in (
+            (raw, RAW_TABLE, (), counts.initial_records),
+            (cleaned, CLEANED_TABLE, ("timestamp_readable",), counts.final_records),
         )
     )
-    reports = land(
-        raw_report.unionByName(cleaned_report), f"{root.rstrip('/')}/{REPORT}_parquet"
-    )
+    base = root.rstrip("/")
+    reports = land(raw_report.unionByName(cleaned_report), f"{base}/{REPORT}_parquet")
     write_quality_report(reports, root)
     write_quality_summary(reports, root)
-    write_json(
+    run_report = land(
         execution_report(
-            reports, options.report_time, gate_score=options.thresholds.gate_score
+            reports,
+            options.report_time,
+            gate_score=options.thresholds.gate_score,
+            results_complete=complete,
         ),
-        result_path(root, "execution_report", "json"),
-        single_file=True,
+        f"{base}/{RUNS}/{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}_parquet",
     )
-    return RunResult(
-        **common,
-        reports=reports,
-        alerts=quality_alerts(reports, options.thresholds),
-        rules=threshold_rules(reports, options.thresholds),
-        gate=quality_gate(
+    write_json(run_report, result_path(root, "execution_report", "json"), single_file=True)
+    return {
+        "reports": reports,
+        "alerts": quality_alerts(reports, options.thresholds),
+        "rules": threshold_rules(reports, options.thresholds),
+        "gate": quality_gate(
             reports,
             threshold=options.thresholds.gate_score,
             strict=options.strict_gate,
         ),
-    )
+    }
+
+
+def run_history(spark: SparkSession, root: str) -> DataFrame:
+    """The report of every run below ``root``; the column ``run`` orders them."""
+    reports = spark.read.parquet(f"{root.rstrip('/')}/{RUNS}/*_parquet")
+    run = F.regexp_extract(F.input_file_name(), r"([0-9T]+)_parquet", 1)
+    return reports.withColumn("run", run)

@@ -12,6 +12,10 @@ from pyspark.sql.types import (
     StructType,
 )
 
+# Column that a declared CSV read can add: the whole text of a record with a cell
+# that does not parse.
+MALFORMED = "malformed_record"
+
 # ``timestamp`` is a long because an int of epoch seconds ends in 2038.
 TXN_SCHEMA = StructType(
     [

@@ -5,10 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     # from_unixtime and unix_timestamp follow the session zone.
@@ -18,22 +16,49 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-# What one task of a large shuffle should read. More partitions than the bound
-# would cut the output of each mapping task into blocks too small to fetch well;
-# beyond it the tasks read more and spill.
+# What one task of a large shuffle should read.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 20_000
 
 _local_root: str | None = None
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings the operators rely on to an open session."""
+def prepare(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the run-time settings the operators rely on to an open session.
+
+    With the size of the largest input, shuffles start with as many partitions as
+    that needs. Adaptive execution merges those that turn out small but cannot
+    split those of an aggregate, so the number has to be large enough from the start.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        partitions = shuffle_partitions(spark, input_bytes)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
     return spark
 
 
+def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
+    """Never fewer than the session's own setting."""
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(own, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of all that ``df`` reads, from file listings; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def own_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A prepared session for one run: same cluster and settings, but what the run
+    sets neither stays behind nor meets another run."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return prepare(session, input_bytes)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh path below ``spark.checkpoint.dir``.
 
@@ -51,21 +76,8 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-@contextmanager
-def sized_shuffles(spark: SparkSession, rows: int, row_bytes: int) -> Iterator[None]:
-    """Run the enclosed jobs with enough shuffle partitions for that many rows.
-
-    Adaptive execution merges partitions that turn out small but cannot split
-    those of an aggregate, so the number has to start out large enough. A
-    larger number set by the user stays.
-    """
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    needed = min(
-        math.ceil(rows * row_bytes / SHUFFLE_PARTITION_BYTES), MOST_SHUFFLE_PARTITIONS
-    )
-    spark.conf.set(key, str(max(int(before), needed)))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

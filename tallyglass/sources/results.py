@@ -18,7 +18,7 @@ from tallyglass.functions.columns import field, quoted
 from tallyglass.functions.rounding import round_scaled
 from tallyglass.operators.quality import quality_summary
 from tallyglass.schema import REPORT_STRUCT
-from tallyglass.session import shared_folder
+from tallyglass.session import remove_folder, shared_folder
 
 FORMATS = ("parquet", "csv", "json")
 REPORT = "quality_report"
@@ -35,10 +35,24 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").parquet(path)
 
 
+# Quotes are doubled inside quotes, spaces stay, and an empty text is told from a
+# missing value by its quotes.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+CSV_WRITTEN = CSV_OPTIONS | {"nullValue": "", "emptyValue": '""'}
+# The reader gives a missing cell this text, which no cell has, before it makes it null.
+CSV_READ = CSV_OPTIONS | {"nullValue": "\x00missing\x00", "emptyValue": ""}
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Replace a headered CSV table."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_WRITTEN).csv(path)
 
 
 def write_json(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -59,6 +73,7 @@ def write_result(
     single_file: bool = False,
     nan_as_null: bool = False,
     order: Sequence[Column] = (),
+    exact_path: str | None = None,
 ) -> None:
     """Write one result in several formats but compute it once.
 
@@ -66,19 +81,17 @@ def write_result(
     from it with the columns of ``rounded`` rounded to that many digits and,
     with ``nan_as_null``, without the word NaN, which JSON has no number for.
     Reading the copy back may interleave its files, so a result whose rows are
-    ordered says how in ``order``.
+    ordered says how in ``order``. Where Parquet is not asked for, the copy goes to
+    ``exact_path`` and stays, or is removed in the end.
     """
-    unknown = [f for f in formats if f not in WRITERS]
-    if unknown:
-        raise ValueError(f"unknown format(s): {', '.join(unknown)}")
+    check_formats(formats)
     texts = [f for f in formats if f != "parquet"]
-    source = df
-    if "parquet" in formats or len(texts) > 1:
-        exact = (
-            result_path(root, name, "parquet")
-            if "parquet" in formats
-            else shared_folder(df.sparkSession)
-        )
+    source, exact, passing = df, exact_path, None
+    if "parquet" in formats:
+        exact = result_path(root, name, "parquet")
+    elif exact is None and len(texts) > 1:
+        exact = passing = shared_folder(df.sparkSession)
+    if exact:
         write_parquet(df, exact, single_file)
         source = df.sparkSession.read.schema(df.schema).parquet(exact)
         source = source.orderBy(*order) if order else source
@@ -90,6 +103,14 @@ def write_result(
         shown = shown.withColumns({c: F.nanvl(field(c), F.lit(None)) for c in fractions})
     for text_format in texts:
         WRITERS[text_format](shown, result_path(root, name, text_format), single_file)
+    if passing:
+        remove_folder(df.sparkSession, passing)
+
+
+def check_formats(formats: Sequence[str]) -> None:
+    unknown = [f for f in formats if f not in WRITERS]
+    if unknown or not formats:
+        raise ValueError(f"unknown format(s): {', '.join(unknown) or 'none given'}")
 
 
 def read_result(
@@ -98,11 +119,16 @@ def read_result(
     name: str,
     result_format: str = "parquet",
     schema: StructType | str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read back what ``write_result`` wrote."""
+    """Read back what ``write_result`` wrote.
+
+    ``multi_line`` keeps line breaks inside CSV text together; each file is then
+    read by one task, so a large table without such text should turn it off.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     if result_format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_READ, multiLine=multi_line)
         if schema is None:
             reader = reader.option("inferSchema", True)
     return reader.format(result_format).load(result_path(root, name, result_format))

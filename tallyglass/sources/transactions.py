@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tallyglass.schema import TXN_SCHEMA
+from tallyglass.schema import MALFORMED, TXN_SCHEMA
 
 
 def load_transactions(
@@ -13,13 +13,15 @@ def load_transactions(
     path: str,
     schema: StructType | str | None = TXN_SCHEMA,
     source_format: str = "csv",
+    keep_malformed: bool = False,
 ) -> DataFrame:
     """Headered CSV with the declared schema, or any columnar source.
 
     Header names must match the schema; a file with other or reordered columns
     fails when it is read. ``schema=None`` takes names from the header and infers
     types, which costs one more pass over the text and reads values such as
-    ``192.168`` as numbers. A missing path fails here with Spark's own error, on
+    ``192.168`` as numbers. Cells that do not parse as declared are null;
+    ``keep_malformed`` adds a column with the text of their records. A missing path fails here with Spark's own error, on
     every file system Spark can read.
     """
     if source_format != "csv":
@@ -27,7 +29,12 @@ def load_transactions(
     reader = spark.read.option("header", True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.option("enforceSchema", False).schema(schema).csv(path)
+    reader = reader.option("enforceSchema", False)
+    if keep_malformed:
+        declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = StructType([*declared, StructField(MALFORMED, StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
+    return reader.schema(schema).csv(path)
 
 
 def land(df: DataFrame, path: str) -> DataFrame:

@@ -20,9 +20,8 @@ from tallyglass.operators.analytics import (
     top_sale_addresses,
 )
 from tallyglass.operators.cleaning import clean_transactions
-from tallyglass.plans.run import SALE_BYTES
 from tallyglass.schema import TXN_SCHEMA
-from tallyglass.session import sized_shuffles
+from tallyglass.session import input_bytes, own_session
 from tallyglass.sources.results import write_result
 
 
@@ -37,7 +36,7 @@ def transaction_stream(
 def add_new_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
     """Clean the files that are new since the last start. Runs jobs.
 
-    Returns the whole cleaned table. Progress is kept below ``root``, which
+    Returns the whole cleaned table, in a session whose shuffles are sized by it. Progress is kept below ``root``, which
     must be a folder that every executor can reach.
     """
     base = root.rstrip("/")
@@ -49,7 +48,9 @@ def add_new_files(spark: SparkSession, folder: str, root: str) -> DataFrame:
         .start(f"{base}/{CLEANED_TABLE}_parquet")
     )
     query.awaitTermination()
-    return spark.read.schema(cleaned.schema).parquet(f"{base}/{CLEANED_TABLE}_parquet")
+    path = f"{base}/{CLEANED_TABLE}_parquet"
+    session = own_session(spark, input_bytes(spark.read.schema(cleaned.schema).parquet(path)))
+    return session.read.schema(cleaned.schema).parquet(path)
 
 
 def refresh_results(spark: SparkSession, folder: str, root: str, drop_nan: bool = False) -> DataFrame:
@@ -63,12 +64,11 @@ def refresh_results(spark: SparkSession, folder: str, root: str, drop_nan: bool
         nan_as_null=True,
         order=highest_risk_first(),
     )
-    with sized_shuffles(spark, cleaned.count(), SALE_BYTES):
-        write_result(
-            top_sale_addresses(cleaned),
-            root,
-            SALES_RESULT,
-            nan_as_null=True,
-            order=largest_sale_first(),
-        )
+    write_result(
+        top_sale_addresses(cleaned),
+        root,
+        SALES_RESULT,
+        nan_as_null=True,
+        order=largest_sale_first(),
+    )
     return cleaned

@@ -99,3 +99,15 @@ def test_latest_of_a_hot_key_against_brute_force(spark):
         if r.key not in best or (-r.t, r.v) < best[r.key]:
             best[r.key] = (-r.t, r.v)
     assert {r["key"]: (-r["t"], r["v"]) for r in as_dicts(latest)} == best
+
+
+def test_the_row_of_a_full_tie_does_not_depend_on_the_input_order(transactions):
+    rows = [{"purchase_pattern": p, "age_group": a} for p in ("b", "a") for a in ("y", "x")]
+    for order in (rows, rows[::-1]):
+        latest = analytics.latest_sale_per_address(clean_transactions(transactions(*order))).collect()
+        assert [(r.purchase_pattern, r.age_group) for r in latest] == [("a", "x")]
+
+
+def test_columns_without_an_order_do_not_take_part(transactions):
+    df = clean_transactions(transactions({}, {})).withColumn("m", F.expr("map('a', 1)"))
+    assert analytics.latest_sale_per_address(df).count() == 1

@@ -76,6 +76,7 @@ def test_audit_counts_every_drop_once(transactions):
     assert as_dicts(cleaning.clean_audit(df)) == [
         {
             "initial_records": 5,
+            "removed_malformed": 0,
             "removed_null_critical": 2,
             "removed_non_positive_amount": 2,
             "final_records": 1,

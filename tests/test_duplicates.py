@@ -35,19 +35,17 @@ def test_equality_of_special_values(spark, method):
     assert distinct_rows(df).count() == 3
 
 
-@pytest.mark.parametrize("broadcast_hashes", [0, 10])
-def test_rows_that_share_a_hash_stay_apart(spark, broadcast_hashes):
+def test_rows_that_share_a_hash_stay_apart(spark):
     # The hash skips nulls, so these two rows have the same one.
     df = spark.createDataFrame([(None, "a"), ("a", None), ("b", "b"), ("b", "b")], "x string, y string")
     assert df.selectExpr("count(DISTINCT xxhash64(x, y))").first()[0] == 2
-    assert profile(df, "hash", broadcast_hashes=broadcast_hashes) == (4, 3, 1, 25.0)
+    assert profile(df, "hash") == (4, 3, 1, 25.0)
 
 
 def test_one_group_of_copies_holding_a_third(spark):
     df = spark.range(3000).selectExpr("IF(id % 3 = 0, -1L, id) AS k", "IF(id % 3 = 0, 'hot', 'x') AS t")
     for method in METHODS:
         assert profile(df, method) == (3000, 2001, 999, 33.3)
-    assert profile(df, "hash", broadcast_hashes=0) == (3000, 2001, 999, 33.3)
 
 
 @pytest.mark.parametrize("method", METHODS)
@@ -60,15 +58,50 @@ def test_maps_and_nested_columns(spark, method):
     assert profile(df, method) == (3, 2, 1, 33.33)
 
 
-def test_auto_picks_by_row_count(spark, monkeypatch):
+@pytest.mark.parametrize("method", METHODS)
+def test_maps_below_other_columns(spark, method):
+    df = spark.sql(
+        "SELECT named_struct('m', map('a', 1, 'b', 2)) AS s, array(map('k', array(1))) AS l "
+        "UNION ALL SELECT named_struct('m', map('b', 2, 'a', 1)), array(map('k', array(1))) "
+        "UNION ALL SELECT named_struct('m', map('a', 1)), array(map('k', array(2))) "
+        "UNION ALL SELECT NULL, NULL"
+    )
+    assert profile(df, method) == (4, 3, 1, 25.0)
+    assert distinct_rows(df).schema == df.schema and distinct_rows(df).count() == 3
+
+
+def test_collated_text_is_grouped_not_hashed(spark):
+    df = spark.sql("SELECT t COLLATE UTF8_LCASE AS t FROM VALUES ('a'), ('A'), ('b') AS v(t)")
+    for nested in (df, df.selectExpr("named_struct('t', array(t)) AS s")):
+        assert profile(nested, "rows") == profile(nested, "auto") == (3, 2, 1, 33.33)
+        with pytest.raises(ValueError, match="rows"):
+            duplicate_profile(nested, method="hash")
+
+
+@pytest.mark.parametrize("method", METHODS)
+def test_columns_named_like_the_helpers(spark, method):
+    df = spark.sql("SELECT 1 AS hash_of_row, 2 AS copies_of_row UNION ALL SELECT 1, 2 UNION ALL SELECT 1, 3")
+    assert profile(df, method) == (3, 2, 1, 33.33)
+
+
+def test_auto_follows_the_schema_not_the_size(spark, monkeypatch):
     from tallyglass.operators import duplicates
 
     used = []
-    monkeypatch.setattr(duplicates, "_by_hash", lambda df, n: used.append("hash"))
+    monkeypatch.setattr(duplicates, "_by_hash", lambda df, total: used.append("hash"))
     monkeypatch.setattr(duplicates, "_by_rows", lambda df: used.append("rows"))
-    duplicates.duplicate_profile(spark.range(10), method="auto", hash_above_rows=9)
-    duplicates.duplicate_profile(spark.range(10), method="auto", hash_above_rows=10)
-    assert used == ["hash", "rows"]
+    for rows in (0, 10, 10**15):
+        duplicates.duplicate_profile(spark.range(rows))
+    assert used == ["hash"] * 3
+
+
+def test_listing_is_removed_and_total_taken(spark, tmp_path, monkeypatch):
+    from tallyglass.operators import duplicates
+
+    monkeypatch.setattr(duplicates, "shared_folder", lambda spark: str(tmp_path / "listing"))
+    doubled = spark.range(5).union(spark.range(5))
+    assert profile(doubled, "hash", total=10) == (10, 5, 5, 50.0)
+    assert not (tmp_path / "listing").exists()
 
 
 def test_unknown_method(spark):
@@ -76,23 +109,19 @@ def test_unknown_method(spark):
         duplicate_profile(spark.range(1), method="sideways")
 
 
-def test_shuffles_grow_with_the_table_and_settings_come_back(spark):
-    from tallyglass.session import (
-        MOST_SHUFFLE_PARTITIONS,
-        SHUFFLE_PARTITION_BYTES,
-        sized_shuffles,
-    )
+def test_shuffles_are_sized_by_the_input_in_a_session_of_their_own(spark):
+    from tallyglass.session import SHUFFLE_PARTITION_BYTES, input_bytes, own_session
 
-    key = "spark.sql.shuffle.partitions"
-    with pytest.raises(KeyError):
-        with sized_shuffles(spark, 1000, SHUFFLE_PARTITION_BYTES):
-            assert spark.conf.get(key) == "1000"
-            raise KeyError
-    assert spark.conf.get(key) == "8"
-    with sized_shuffles(spark, 10**12, 10**6):
-        assert spark.conf.get(key) == str(MOST_SHUFFLE_PARTITIONS)
-    with sized_shuffles(spark, 10, 10):
-        assert spark.conf.get(key) == "8"
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    large = spark.range(5000 * SHUFFLE_PARTITION_BYTES // 8)
+    assert input_bytes(large) == 5000 * SHUFFLE_PARTITION_BYTES
+    session = own_session(spark, input_bytes(large))
+    assert session.conf.get("spark.sql.shuffle.partitions") == "8"
+    plan = session.range(10).selectExpr("id % 7 AS k").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert "5000" in plan
+    assert own_session(spark, 10).conf.get(key) == "8"
+    assert spark.conf.get(key, None) == before
 
 
 @pytest.mark.parametrize("method", METHODS)

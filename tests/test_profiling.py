@@ -113,6 +113,6 @@ def test_checks_need_their_column(transactions):
 
 def test_types(transactions):
     df = transactions({})
-    assert [tuple(r) for r in profiling.schema_profile(df).collect()] == df.dtypes
+    assert [tuple(r) for r in profiling.schema_profile(df).collect()] == [(*d, 1) for d in df.dtypes]
     counts = {r["data_type"]: r["columns"] for r in as_dicts(profiling.type_distribution(df))}
     assert counts == {"bigint": 1, "string": 8, "double": 2, "int": 2}

@@ -195,4 +195,6 @@ def test_execution_report(report):
     }
     assert quality.execution_report(report(score=69.9), STAMP).first().status == "failed"
     absent = quality.execution_report(report(name="raw_data"), STAMP).first()
-    assert (absent.status, absent.quality_summary.total_records) == ("success", 0)
+    assert (absent.status, absent.quality_summary.total_records) == ("failed", 0)
+    incomplete = quality.execution_report(report(score=95.0), STAMP, results_complete=False).first()
+    assert (incomplete.status, "analyse" in incomplete.tasks_completed) == ("failed", False)

@@ -3,10 +3,12 @@ import os
 import pytest
 from conftest import as_dicts
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
 from tallyglass.__main__ import main
 from tallyglass.operators.quality import Thresholds
-from tallyglass.plans.run import RunOptions, full_run
+from tallyglass.plans.run import RunOptions, full_run, run_history
+from tallyglass.schema import TXN_SCHEMA
 from tallyglass.sources import results
 
 
@@ -21,7 +23,9 @@ def test_everything_is_written_and_agrees(spark, source, tmp_path):
     root = str(tmp_path / "out")
     run = full_run(spark, source, root, RunOptions(report_time="T0"))
     assert sorted(os.listdir(root)) == [
+        "clean_audit_parquet",
         "execution_report.json",
+        "execution_reports",
         "location_risk_analysis.csv",
         "location_risk_analysis.json",
         "location_risk_analysis_parquet",
@@ -29,6 +33,7 @@ def test_everything_is_written_and_agrees(spark, source, tmp_path):
         "quality_report_parquet",
         "quality_summary.txt",
         "raw_data_parquet",
+        "results_present_parquet",
         "top_sale_addresses.csv",
         "top_sale_addresses.json",
         "top_sale_addresses_parquet",
@@ -53,6 +58,49 @@ def test_running_again_replaces_everything(spark, source, tmp_path):
     full_run(spark, source, root)
     again = full_run(spark, source, root)
     assert again.reports.count() == 2 and again.location_risk.count() == 5
+    history = run_history(spark, root).orderBy("run").collect()
+    assert [r.status for r in history] == ["success"] * 2 and history[0].run < history[1].run
+
+
+def test_results_are_exact_whatever_the_formats(spark, source, tmp_path):
+    expected = None
+    for i, formats in enumerate((["parquet"], ["csv"], ["json", "csv"])):
+        run = full_run(spark, source, str(tmp_path / str(i)), RunOptions(formats=formats, quality_checks=False))
+        rows = sorted(map(tuple, run.location_risk.collect())), sorted(map(tuple, run.top_sales.collect()))
+        expected = rows if expected is None else expected
+        assert rows == expected
+        assert ("Africa", 39.125) in rows[0]
+
+
+def test_options_are_checked_first(spark, tmp_path):
+    for formats in ([], ["xlsx"]):
+        with pytest.raises(ValueError):
+            full_run(spark, str(tmp_path / "absent"), str(tmp_path / "out"), RunOptions(formats=formats))
+
+
+def test_cleanup_removes_the_landed_input(spark, source, tmp_path):
+    root = str(tmp_path / "out")
+    before = dict(spark.conf.getAll)
+    run = full_run(spark, source, root, RunOptions(cleanup=True, duplicates="hash"))
+    assert "raw_data_parquet" not in os.listdir(root)
+    assert run.cleaned.count() == 17 and run.audit.first().final_records == 17
+    assert dict(spark.conf.getAll) == before  # the caller's settings stay
+
+
+def test_text_among_numbers(spark, sample, tmp_path):
+    source = str(tmp_path / "dirty")
+    dirty = sample.withColumns(
+        {
+            "amount": F.expr("IF(amount = 110, 'abc', CAST(amount AS STRING))"),
+            "timestamp": F.expr("IF(amount = 112, 'not_a_time', CAST(`timestamp` AS STRING))"),
+        }
+    )
+    results.write_csv(dirty, source)
+    for schema in (None, TXN_SCHEMA):
+        run = full_run(spark, source, str(tmp_path / f"out{schema is None}"), RunOptions(schema=schema))
+        audit = run.audit.first()
+        assert (audit.initial_records, audit.removed_malformed, audit.final_records) == (17, 2, 15)
+        assert run.cleaned.count() == 15
 
 
 def test_without_quality_checks(spark, source, tmp_path):

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from tallyglass import session
 from tallyglass.operators.analytics import highest_risk_first, location_risk, top_sale_addresses
-from tallyglass.operators.cleaning import clean_transactions
+from tallyglass.operators.cleaning import clean_audit, clean_transactions
 from tallyglass.operators.quality import quality_gate
 from tallyglass.plans.report import quality_report
 from tallyglass.plans.run import EXPECTED_RESULTS
+from tallyglass.schema import MALFORMED, TXN_SCHEMA
 from tallyglass.sources import results
 from tallyglass.sources.transactions import land, load_transactions
 
@@ -123,6 +124,39 @@ def test_chosen_formats_only(spark, sample, tmp_path, formats):
         assert sorted(map(str, back.collect())) == sorted(map(str, top.collect()))
 
 
+def test_csv_keeps_text_as_it_is(spark, tmp_path):
+    texts = ['a "q" b', "line\nbreak\r\nmore", " outer ", "", None, '""', '"', "a,b", "\\back\\", '\\"', "\r", "NaN", "#c"]
+    df = spark.createDataFrame([(i, t, texts[-i]) for i, t in enumerate(texts)], "i int, a string, b string")
+    results.write_result(df, str(tmp_path), "t", ["csv"])
+    back = results.read_result(spark, str(tmp_path), "t", "csv", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_exact_copy_stays_where_asked(spark, sample, tmp_path):
+    risk = location_risk(clean_transactions(sample))
+    exact = str(tmp_path / "exact")
+    results.write_result(risk, str(tmp_path), "r", ["csv"], rounded={"avg_risk_score": 2}, exact_path=exact)
+    assert sorted(map(tuple, spark.read.parquet(exact).collect())) == sorted(map(tuple, risk.collect()))
+
+
+def test_no_format(sample, tmp_path):
+    with pytest.raises(ValueError, match="none given"):
+        results.write_result(sample, str(tmp_path), "t", formats=[])
+
+
+def test_malformed_cells_are_kept_and_counted(spark, tmp_path):
+    header = ",".join(f.name for f in TXN_SCHEMA)
+    good = "1,s,r,1.5,sale,Asia,1.0,1,1,p,a,2.0,low"
+    bad = [good.replace("1.5", "abc"), good.replace("1,s", "x,s", 1), good.replace("1.5", "")]
+    (tmp_path / "in.csv").write_text("\n".join([header, good, *bad]) + "\n")
+    read = load_transactions(spark, str(tmp_path / "in.csv"), keep_malformed=True)
+    audit = as_dicts(clean_audit(read))[0]
+    assert list(audit.values()) == [4, 2, 1, 0, 1]
+    assert clean_transactions(read).count() == 1 and MALFORMED not in clean_transactions(read).columns
+    inferred = load_transactions(spark, str(tmp_path / "in.csv"), schema=None)
+    assert list(as_dicts(clean_audit(inferred))[0].values()) == [4, 2, 1, 0, 1]
+
+
 def test_unknown_format(sample, tmp_path):
     with pytest.raises(ValueError, match="xlsx"):
         results.write_result(sample, str(tmp_path), "t", formats=["xlsx"])
