@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyglass.session import prepare, shared_folder
+from tallyglass.session import input_bytes, prepare, shared_folder
 
 # Text that one step of a Python worker handles at once; the lists it makes of that
 # take some thirty times as much.
@@ -16,7 +16,9 @@ BATCH_BYTES = 2 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    ready(spark, df)
+    return df
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,21 +28,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def ready(spark: SparkSession) -> SparkSession:
-    """Settings of the library, and Arrow batches of fewer rows, since one row is a
-    whole text."""
-    prepare(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+def ready(spark: SparkSession, docs: DataFrame) -> SparkSession:
+    """Settings of the library, shuffles sized by the input, and Arrow batches of
+    fewer rows, since one row is a whole text."""
+    prepare(spark, input_bytes(docs))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 
 
-def unused(df: DataFrame, name: str) -> str:
-    """``name``, or a longer one if the table has such a column."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns that an operator is about to add."""
     return df.drop(*names)
@@ -54,12 +49,6 @@ def landed(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of the input by file listing; runs no job. An upper bound far above
-    it is what Spark gives where it does not know."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
-
-
 def by_bytes(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``limit`` bytes of ``column`` each; a
     single longer value is a slice of its own."""

@@ -35,8 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field
-from tallyglass.llm.common import landed, unused
+from tallyglass.functions.columns import field, unused
+from tallyglass.llm.common import landed
 
 WINDOW = 13
 SEGMENT_WORDS = 1_000_000

@@ -21,8 +21,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field
-from tallyglass.llm.common import landed, unused
+from tallyglass.functions.columns import field, unused
+from tallyglass.llm.common import landed
 
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 

@@ -46,16 +46,19 @@ class PieceCache:
         encode: Callable[[list[str]], Sequence],
         encode_first: Callable[[list[str]], Sequence] | None = None,
         tight: bool = True,
-        limit: int = 250_000,
+        limit: int = 150_000,
     ):
         self._encode, self._first = encode, encode_first or encode
         self._tight, self._limit = tight, limit
+        # Pieces of late, and those of the time before that; what is asked for again
+        # moves on, the rest goes.
         self._values: dict[str, object] = {}
+        self._earlier: dict[str, object] = {}
 
     def joined(self, texts: Sequence[str], join: Callable) -> list:
-        values = self._values
-        if len(values) > self._limit:
-            values.clear()
+        if len(self._values) > self._limit:
+            self._earlier, self._values = self._values, {}
+        values, earlier = self._values, self._earlier
         cut, missing, heads = [], set(), {}
         known = values.get
         for text in texts:
@@ -69,7 +72,9 @@ class PieceCache:
                 missing.update([p for p, v in zip(parts, found) if v is None])
                 found = None
             cut.append((head, parts, found))
-        order = list(missing)
+        again = missing.intersection(earlier)
+        values.update([(p, earlier[p]) for p in again])
+        order = list(missing - again)
         long = [p for p in order if len(p) > LONG_PIECE]
         values.update(zip(order, self._encode(order)))
         if self._first is not self._encode:

@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field
-from tallyglass.llm.common import by_bytes, landed, unused
+from tallyglass.functions.columns import field, unused
+from tallyglass.llm.common import by_bytes, landed
 from tallyglass.llm.components import component_of_nodes
 
 SHINGLE_WORDS = 4

@@ -34,11 +34,14 @@ from tallyglass.functions.columns import field
 from tallyglass.llm.common import by_bytes
 from tallyglass.llm.pieces import PieceCache
 from tallyglass.llm.range_coder import decode_ids, encode_ids
+from tallyglass.session import input_bytes, shuffle_partitions
 
 BLOCK_IDS = 1 << 20
 END_ID = 2
 WORD_END = "</w>"
 PIECES_A_LINE = 256
+# Twice as many at most, at some 200 bytes each.
+CACHED_PIECES = 450_000
 # Letters that stay one letter each whatever the tokenizer normalises, then a sign.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]+)?")
 PREFIX = struct.Struct("<III")  # documents, bytes of their table, its crc32
@@ -85,7 +88,7 @@ def _pieces(path: str) -> PieceCache:
                 found[piece] = np.array(one.ids, dtype="<u4").tobytes()
             return [found[p] for p in pieces]
 
-        _tokenizers[path] = PieceCache(encode, tight=False)
+        _tokenizers[path] = PieceCache(encode, tight=False, limit=CACHED_PIECES)
     return _tokenizers[path]
 
 
@@ -157,7 +160,7 @@ def write_tokens(
     rows = docs.select(
         field(id_column).cast("bigint").alias("doc_id"), field(text_column).cast("string").alias("text")
     )
-    files = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = shuffle_partitions(docs.sparkSession, input_bytes(rows))
     ordered = rows.repartitionByRange(files, *place).sortWithinPartitions(*place)
     # Blocks are as small as they get.
     ordered.mapInArrow(work, BLOCKS).write.option("compression", "uncompressed").parquet(folder)
