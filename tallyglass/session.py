@@ -18,6 +18,7 @@ SETTINGS = {
 
 # What one task of a large shuffle should read.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 60
 
 _local_root: str | None = None
 
@@ -44,9 +45,11 @@ def shuffle_partitions(spark: SparkSession, input_bytes: int) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Size of all that ``df`` reads, from file listings; runs no job."""
+    """Size of all that ``df`` reads, from file listings; runs no job. What Spark
+    knows no size of counts nothing."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_BYTES)
 
 
 def own_session(spark: SparkSession, input_bytes: int) -> SparkSession:
