@@ -20,7 +20,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tallyglass.functions.columns import quoted, unused
+from tallyglass.functions.columns import quoted, record, unused
 from tallyglass.functions.rounding import percentage
 from tallyglass.session import remove_folder, shared_folder
 
@@ -108,16 +108,16 @@ def duplicate_profile(
     shuffled. ``total`` is the number of rows where the caller knows it.
     """
     df = df.drop(*derived)
+    return _by_hash(df, total) if uses_hash(df, method) else _by_rows(df)
+
+
+def uses_hash(df: DataFrame, method: str) -> bool:
     hashable = all(hashes_as_it_groups(f.dataType) for f in df.schema)
-    if method == "auto":
-        method = "hash" if hashable else "rows"
-    if method == "rows":
-        return _by_rows(df)
-    if method == "hash":
-        if not hashable:
-            raise ValueError("some column holds values equal that have different hashes; use method='rows'")
-        return _by_hash(df, total)
-    raise ValueError(f"unknown method: {method}")
+    if method not in ("auto", "rows", "hash"):
+        raise ValueError(f"unknown method: {method}")
+    if method == "hash" and not hashable:
+        raise ValueError("some column holds values equal that have different hashes; use method='rows'")
+    return method != "rows" and hashable
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, str]:
@@ -127,10 +127,8 @@ def _counted(df: DataFrame) -> tuple[DataFrame, str]:
 
 def _by_rows(df: DataFrame) -> DataFrame:
     groups, copies = _counted(comparable(df))
-    counted = groups.selectExpr(
-        f"coalesce(sum({quoted(copies)}), 0) AS total_records", "count(1) AS unique_records"
-    )
-    return _with_share(counted)
+    counted = groups.selectExpr(f"coalesce(sum({quoted(copies)}), 0) AS total", "count(1) AS different")
+    return counted.selectExpr(f"inline(array({share('total', 'total - different')}))")
 
 
 def with_hash(df: DataFrame, name: str) -> DataFrame:
@@ -147,12 +145,18 @@ def rows_with(hashed: DataFrame, repeated: DataFrame, name: str) -> DataFrame:
 
 
 def _by_hash(df: DataFrame, total: int | None) -> DataFrame:
+    surplus = surplus_rows(df)
+    total = df.count() if total is None else total
+    return df.sparkSession.range(1).selectExpr(f"inline(array({share(f'{total}L', surplus)}))")
+
+
+def surplus_rows(df: DataFrame) -> int:
+    """How many rows repeat an earlier one, by hash. Runs jobs."""
     spark = df.sparkSession
     # First, because a cluster without a shared folder is refused here.
     folder = shared_folder(spark)
     name = unused(df, "hash_of_row")
     hashed = with_hash(df, name)
-    total = df.count() if total is None else total
 
     # Written, so that the comparison below does not hash and group again.
     groups, copies = _counted(hashed.select(name))
@@ -166,18 +170,15 @@ def _by_hash(df: DataFrame, total: int | None) -> DataFrame:
         compared, copies = _counted(rows_with(hashed, repeated, name))
         surplus = compared.selectExpr(f"coalesce(sum({quoted(copies)} - 1), 0)").first()[0]
     remove_folder(spark, folder)
-    return _with_share(
-        spark.range(1).selectExpr(
-            f"{total}L AS total_records", f"{total - surplus}L AS unique_records"
-        )
-    )
+    return surplus
 
 
-def _with_share(counted: DataFrame) -> DataFrame:
-    surplus = "(total_records - unique_records)"
-    return counted.selectExpr(
-        "total_records",
-        "unique_records",
-        f"{surplus} AS duplicate_count",
-        f"{percentage(surplus, 'total_records')} AS duplicate_percentage",
+def share(total: str, surplus: int | str) -> str:
+    """The four measures as a struct, from expressions of total and surplus."""
+    surplus = f"CAST({surplus} AS BIGINT)"
+    return record(
+        total_records=total,
+        unique_records=f"{total} - {surplus}",
+        duplicate_count=surplus,
+        duplicate_percentage=percentage(surplus, total),
     )

@@ -10,7 +10,12 @@ from pyspark.sql import DataFrame
 from tallyglass.functions.columns import record, text
 from tallyglass.functions.rounding import percentage
 from tallyglass.functions.time import NOW
-from tallyglass.operators.duplicates import duplicate_profile
+from tallyglass.operators.duplicates import (
+    duplicate_profile,
+    share,
+    surplus_rows,
+    uses_hash,
+)
 from tallyglass.operators.profiling import (
     AnomalyRule,
     table_metrics,
@@ -28,24 +33,30 @@ def quality_report(
     statistics: bool = True,
     duplicates: str = "auto",
     derived: Sequence[str] = (),
-    total: int | None = None,
 ) -> DataFrame:
     """All checks of one table as one nested row.
 
     Two scans: one aggregate for everything that needs no shuffle of rows, one
     grouping for identical rows. Reports of several tables go together with
     ``unionByName``. ``report_time`` is the current time unless given;
-    ``duplicates``, ``derived`` and ``total`` go to ``duplicate_profile``, which runs
-    jobs unless ``duplicates`` is "rows".
+    ``duplicates`` and ``derived`` are those of ``duplicate_profile``; counting by
+    hash runs jobs, and the number of rows comes from the first scan.
     """
     rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
     metrics = table_metrics(df, statistics=statistics, anomaly_rules=rules)
-    copies = duplicate_profile(df, method=duplicates, derived=derived, total=total)
-    row = (
-        metrics.selectExpr("struct(*) AS m")
-        .unionByName(copies.selectExpr("struct(*) AS d"), allowMissingColumns=True)
-        .selectExpr("first(m, true) AS m", "first(d, true) AS d")
-    )
+    compared = df.drop(*derived)
+    if uses_hash(compared, duplicates):
+        surplus = surplus_rows(compared)
+        row = metrics.selectExpr("struct(*) AS m").selectExpr(
+            "m", f"{share('m.total_records', surplus)} AS d"
+        )
+    else:
+        copies = duplicate_profile(compared, method="rows")
+        row = (
+            metrics.selectExpr("struct(*) AS m")
+            .unionByName(copies.selectExpr("struct(*) AS d"), allowMissingColumns=True)
+            .selectExpr("first(m, true) AS m", "first(d, true) AS d")
+        )
     measured = row.selectExpr(
         "m",
         "d",

@@ -155,7 +155,7 @@ def full_run(
         "audit": audit,
         "results_complete": complete,
     }
-    checked = _checks(spark, root, raw, cleaned, audit, options, complete) if options.quality_checks else {}
+    checked = _checks(spark, root, raw, cleaned, options, complete) if options.quality_checks else {}
     if options.cleanup and not columnar:
         remove_folder(spark, landed)
     return RunResult(**common, **checked)
@@ -166,13 +166,11 @@ def _checks(
     root: str,
     raw: DataFrame,
     cleaned: DataFrame,
-    audit: DataFrame,
     options: RunOptions,
     complete: bool,
 ) -> dict[str, DataFrame]:
     """Reports on both tables, and what follows from them."""
     rules = transaction_anomaly_rules(options.reference_epoch)
-    counts = audit.first()
     raw_report, cleaned_report = (
         quality_report(
             table,
@@ -181,11 +179,10 @@ def _checks(
             rules,
             duplicates=options.duplicates,
             derived=derived,
-            total=total,
         )
-        for table, name, derived, total in (
-            (raw, RAW_TABLE, (), counts.initial_records),
-            (cleaned, CLEANED_TABLE, ("timestamp_readable",), counts.final_records),
+        for table, name, derived in (
+            (raw, RAW_TABLE, ()),
+            (cleaned, CLEANED_TABLE, ("timestamp_readable",)),
         )
     )
     base = root.rstrip("/")
