@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyglass import fixed_values as fixed
 from tallyglass.fixtures import dirty_transactions
-from tallyglass.functions.columns import is_missing
 from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality
 from tallyglass.plans.report import quality_report, report_details
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, full_run
