@@ -3,28 +3,30 @@
 Three passes, none of which gathers the pages of a host:
 
 1. every page becomes a tree of slots (neighbouring elements of one kind are one
-   slot), and each host takes the tree of its first page as reference;
-2. pages are aligned with their host's reference by simple tree matching; per host
-   and reference slot the least and the greatest hash of the slot's text and the
-   number of different pages are aggregated, before the shuffle too. A slot
-   whose text is the same on all of them, and on enough different pages, is
-   template;
-3. pages are aligned again; text of template slots is left out, text of slots
+   slot). Pages of a host with the same outer boxes are one layout, and each layout
+   takes the tree that most of its different pages have as reference. Layouts of few
+   different pages share the reference of their host's largest layout. Pages
+   without content take no part;
+2. pages are aligned with their reference by simple tree matching; per slot and
+   text of the slot the different pages are counted. A text that is on enough
+   different pages, and on at least half of those with the slot, is template;
+3. pages are aligned again; slots that carry their template text are left out, text of slots
    that vary is content, unless the element says that it is something else:
    menu, header, footer, sidebar, notice, advert, form, script, style or
    reader comment. Where a page marks its article or main part, only that counts.
 
-References and wrappers are one row a host; Spark broadcasts them only below its
-threshold and otherwise joins by host, where a hot host is split.
+Pages are different if their content is: other scripts, attributes or adverts do
+not make another page of a copy. References and wrappers are one row a layout; Spark broadcasts them only below its
+threshold and otherwise joins by host and layout, where a hot one is split.
 
 Character references are decoded, white space inside a block is one space, and
 blocks follow one another in page order with one space between.
 
 Cases: null or empty html has no text; a null URL belongs to the host "".
-Repeated pages each get their row; pages without an id are never a reference
-before others. Broken markup (open tags, cut-off pages, stray signs) is read as
+Repeated pages each get their row. Broken markup (open tags, cut-off pages, stray signs) is read as
 far as it goes. Elements nested deeper than ``DEEPEST`` become siblings. A host
-with few different pages has no template, so copies keep their text. An empty
+with few different pages has no template, so copies keep their text. A page of which
+all text is template keeps it. An empty
 table gives an empty result. Only page_id, url and html are read.
 """
 
@@ -44,6 +46,8 @@ from tallyglass.functions.columns import field
 from tallyglass.llm.common import by_bytes, landed
 
 DIFFERENT_PAGES = 5
+TEMPLATE_SHARE = 0.5
+LAYOUT_DEPTH = 3
 DEEPEST = 200
 
 # Names of the markup language and words that sites name their parts with. Fixed values.
@@ -74,6 +78,10 @@ NO_CONTENT_WORDS = frozenset(
     "social sponsor sponsored subscribe toolbar widget".split()
 )
 
+# Boxes that make a layout, and those of them whose own boxes count too.
+BOXES = frozenset("article aside center div fieldset footer form header main nav section table".split())
+OPEN_BOXES = frozenset("center div form main section".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(>|\Z)",
@@ -187,6 +195,25 @@ def skeleton(slot: Slot) -> list:
     return [slot.kind, [skeleton(c) for c in slot.children]]
 
 
+def layout(page: Slot) -> int:
+    """Hash of the outer boxes; stories differ inside of them."""
+    return xxhash.xxh64_intdigest(json.dumps(_boxes(page, LAYOUT_DEPTH))) >> 1
+
+
+def _boxes(slot: Slot, depth: int) -> list:
+    boxes: list = []
+    for child in slot.children:
+        tag = child.kind.split(".")[0]
+        if tag in ("html", "body"):
+            found = _boxes(child, depth)
+        elif tag in BOXES:
+            found = [[child.kind, _boxes(child, depth - 1) if depth > 1 and tag in OPEN_BOXES else []]]
+        else:
+            continue
+        boxes += [b for i, b in enumerate(found) if b != (found[i - 1] if i else boxes[-1] if boxes else None)]
+    return boxes
+
+
 def from_skeleton(tree: list) -> Slot:
     slot = Slot(tree[0], [])
     slot.children = [from_skeleton(c) for c in tree[1]]
@@ -276,15 +303,26 @@ def _content(elements: list[Element], template: set[int]) -> str:
     return " ".join("".join(parts).split())
 
 
-def main_text(page: str, reference: Slot | None = None, template: frozenset[int] = frozenset()) -> str:
-    """``template`` numbers the constant slots of the reference."""
+def _text_hash(slot: Slot) -> int:
+    return xxhash.xxh64_intdigest(_all_text(slot.members)) >> 1
+
+
+def _page_hash(root: Element) -> int | None:
+    """Of the content; pages without any have none."""
+    content = _content([root], set())
+    return xxhash.xxh64_intdigest(content) >> 1 if content else None
+
+
+def main_text(page: str, reference: Slot | None = None, template: dict[int, int] | None = None) -> str:
+    """``template`` maps slots of the reference to the hash of their template text."""
     root = parse(page)
     constant: set[int] = set()
     if template:
         for slot, aligned in match(Slot("html", [root]), reference)[1]:
-            if aligned.number in template:
+            if aligned.number in template and template[aligned.number] == _text_hash(slot):
                 constant.update(map(id, slot.members))
-    return _content(_main_parts(root), constant)
+    parts = _main_parts(root)
+    return _content(parts, constant) or _content(parts, set())
 
 
 # ---------------------------------------------------------------------- Spark
@@ -295,32 +333,48 @@ def _host(url: str) -> F.Column:
     return F.lower(found)
 
 
+def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in by_bytes(batch, "html"):
+            layouts = [layout(Slot("html", [parse(p or "")])) for p in part.column("html").to_pylist()]
+            yield part.append_column("layout", pa.array(layouts, pa.int64()))
+
+
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of pages with content."""
     for batch in batches:
         for part in by_bytes(batch, "html"):
-            trees = [json.dumps(skeleton(Slot("html", [parse(p or "")]))) for p in part.column("html").to_pylist()]
-            yield pa.record_batch(
-                [part.column("host"), part.column("page_id"), pa.array(trees, pa.string())],
-                ["host", "page_id", "tree"],
-            )
+            found = []
+            for host, page in zip(*(part.column(c).to_pylist() for c in ("host", "html"))):
+                root = parse(page or "")
+                digest = _page_hash(root)
+                if digest is not None:
+                    slots = Slot("html", [root])
+                    found.append((host, layout(slots), digest, json.dumps(skeleton(slots))))
+            columns = zip(*found) if found else [[]] * 4
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "layout", "page", "tree"])
 
 
 def _observations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     trees: dict[str, Slot] = {}
     for batch in batches:
         for part in by_bytes(batch, "html"):
-            hosts, slots, texts, digests = [], [], [], []
-            for host, page, tree in zip(*(part.column(c).to_pylist() for c in ("host", "html", "tree"))):
-                page = page or ""
-                digest = xxhash.xxh64_intdigest(page) >> 1
-                found = match(Slot("html", [parse(page)]), _reference(trees, tree))[1]
-                hosts += [host] * len(found)
+            keys, slots, texts, digests = [], [], [], []
+            for i, (page, tree) in enumerate(zip(*(part.column(c).to_pylist() for c in ("html", "tree")))):
+                root = parse(page or "")
+                digest = _page_hash(root)
+                if digest is None:
+                    continue
+                found = match(Slot("html", [root]), _reference(trees, tree))[1]
+                keys += [i] * len(found)
                 slots += [reference.number for _, reference in found]
-                texts += [xxhash.xxh64_intdigest(_all_text(slot.members)) >> 1 for slot, _ in found]
+                texts += [_text_hash(slot) for slot, _ in found]
                 digests += [digest] * len(found)
-            columns = [pa.array(hosts, pa.string()), pa.array(slots, pa.int32())]
-            columns += [pa.array(texts, pa.int64()), pa.array(digests, pa.int64())]
-            yield pa.record_batch(columns, ["host", "slot", "text", "page"])
+            rows = pa.array(keys, pa.int64())
+            columns = [part.column(c).take(rows) for c in ("host", "reference")]
+            columns += [pa.array(slots, pa.int32()), pa.array(texts, pa.int64()), pa.array(digests, pa.int64())]
+            yield pa.record_batch(columns, ["host", "reference", "slot", "text", "page"])
 
 
 def _reference(trees: dict[str, Slot], tree: str) -> Slot:
@@ -337,7 +391,10 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batch, "html"):
             rows = zip(*(part.column(c).to_pylist() for c in ("html", "tree", "template")))
             texts = [
-                main_text(page or "", _reference(trees, tree), frozenset(template or ())) for page, tree, template in rows
+                main_text(page or "")
+                if template is None
+                else main_text(page or "", _reference(trees, tree), {t["slot"]: t["text"] for t in template})
+                for page, tree, template in rows
             ]
             yield pa.record_batch(
                 [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())],
@@ -345,26 +402,54 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def wrappers(pages: DataFrame, different_pages: int = DIFFERENT_PAGES) -> DataFrame:
-    """Per host: its reference tree and the numbers of its template slots. Runs
-    jobs. ``pages`` has host, page_id and html."""
-    first = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("tree"))
-    trees = pages.select("host", "page_id", "html").mapInArrow(_skeletons, "host string, page_id bigint, tree string")
-    chosen = landed(trees.groupBy("host").agg(F.min(first).alias("first")).select("host", "first.tree"))
+def wrappers(rows: DataFrame, different_pages: int = DIFFERENT_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+    """Per host and layout: its reference tree and the template slots with their
+    texts, null if the different pages are too few to tell. Runs jobs. ``rows``
+    has host and html."""
+    pages = rows.select("host", "html")
+    trees = pages.mapInArrow(_skeletons, "host string, layout bigint, page bigint, tree string")
+    # Copies under other markup are one page; whichever of their trees will do.
+    different = trees.groupBy("host", "layout", "page").agg(F.min("tree").alias("tree"))
+    best = F.max(F.struct("count", "tree")).alias("best")
+    layouts = landed(
+        different.groupBy("host", "layout", "tree").count()
+        .groupBy("host", "layout").agg(best, F.sum("count").alias("pages"))
+        .select("host", "layout", "pages", "best.tree")
+    )
+    largest = layouts.groupBy("host").agg(F.max(F.struct("pages", "layout", "tree")).alias("largest"))
+    enough = F.col("pages") >= different_pages
+    chosen = landed(
+        layouts.join(largest, "host").select(
+            "host",
+            "layout",
+            "pages",
+            F.when(enough, F.col("layout")).otherwise(F.col("largest.layout")).alias("reference"),
+            F.when(enough, F.col("tree")).otherwise(F.col("largest.tree")).alias("tree"),
+        )
+    )
     seen = (
-        pages.join(chosen, "host")
-        .select("host", "html", "tree")
-        .mapInArrow(_observations, "host string, slot int, text bigint, page bigint")
+        pages.mapInArrow(_laid_out, "host string, html string, layout bigint")
+        .join(chosen.drop("pages"), ["host", "layout"])
+        .select("host", "reference", "html", "tree")
+        .mapInArrow(_observations, "host string, reference bigint, slot int, text bigint, page bigint")
     )
+    # The same texts meet in their task first, so a hot host sends few rows a slot that is constant.
+    by_text = seen.distinct().groupBy("host", "reference", "slot", "text").count()
     constant = (
-        seen.groupBy("host", "slot")
-        .agg(F.min("text").alias("low"), F.max("text").alias("high"), F.approx_count_distinct("page").alias("pages"))
-        .filter(f"low = high AND pages >= {different_pages}")
-        # One row a slot of the host's reference.
-        .groupBy("host")
-        .agg(F.collect_list("slot").alias("template"))
+        by_text.groupBy("host", "reference", "slot")
+        .agg(F.max(F.struct("count", "text")).alias("most"), F.sum("count").alias("pages"))
+        .filter((F.col("most.count") >= different_pages) & (F.col("most.count") >= share * F.col("pages")))
+        # One row a slot of the reference.
+        .groupBy("host", "reference")
+        .agg(F.collect_list(F.struct("slot", "most.text")).alias("slots"))
+    )
+    known = chosen.groupBy("host", "reference").agg(F.sum("pages").alias("pages"))
+    known = known.filter(F.col("pages") >= different_pages).join(constant, ["host", "reference"], "left")
+    none = F.expr("CAST(array() AS array<struct<slot:int,text:bigint>>)")
+    known = known.select("host", "reference", F.coalesce("slots", none).alias("template"))
+    return landed(
+        chosen.join(known, ["host", "reference"], "left").select("host", "layout", "tree", "template")
     )
-    return landed(chosen.join(constant, "host", "left"))
 
 
 def extract(pages: DataFrame, different_pages: int = DIFFERENT_PAGES) -> DataFrame:
@@ -375,7 +460,8 @@ def extract(pages: DataFrame, different_pages: int = DIFFERENT_PAGES) -> DataFra
         F.col("html").cast("string").alias("html"),
         _host("url").alias("host"),
     )
-    joined = rows.join(wrappers(rows, different_pages), "host")
+    laid_out = rows.mapInArrow(_laid_out, "page_id bigint, url string, html string, host string, layout bigint")
+    joined = laid_out.join(wrappers(rows, different_pages), ["host", "layout"], "left")
     found = joined.select("page_id", "url", "html", "tree", "template").mapInArrow(
         _texts, "page_id bigint, url string, text string"
     )

@@ -144,6 +144,39 @@ def test_copies_are_no_evidence(spark):
     assert {r.text for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"Same copy"}
 
 
+def texts_by_id(spark, rows):
+    random.Random(1).shuffle(rows)
+    return {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
+
+
+def test_one_odd_page_hides_no_template(spark):
+    """Neither a first page that is null or of another layout, nor one that differs inside a template slot."""
+    rows = [(i + 10, url, page) for i, url, page in host_pages(12)]
+    rows += [(0, "http://h.org/0", None), (1, "http://h.org/1", ""), (2, "http://h.org/2", "<table><tr><td>odd</table>")]
+    rows.append((3, "http://h.org/3", rows[0][2].replace("All rights", "Not all rights")))
+    found = texts_by_id(spark, rows)
+    assert found[15] == "Story 5 of many Body 35"
+    assert found[12] == "Story 2 of many Body 14 only here"
+    assert found[0] == found[1] == "" and found[2] == "odd"
+    assert found[3] == "Story 0 of many Body 0 Not all rights reserved"
+
+
+def test_two_layouts_of_a_host(spark):
+    other = "<section class=x>Shop</section><section><p>Item {0}</p></section><div class=y>Buy now</div>"
+    rows = host_pages(7) + [(i, f"http://h.org/{i}", other.format(i)) for i in range(100, 107)]
+    found = texts_by_id(spark, rows)
+    assert found[4] == "Story 4 of many Body 28" and found[104] == "Item 104"
+
+
+def test_copies_under_other_markup_are_no_evidence(spark):
+    page = "<script>t={0}</script><div data-n={0}>Head</div><p>One story</p><div class=ad>{0}</div>"
+    rows = [(i, f"http://h.org/{i}", page.format(i)) for i in range(9)]
+    assert set(texts_by_id(spark, rows).values()) == {"Head One story"}
+    # A page that is nothing but template keeps its text.
+    rows = host_pages(8) + [(99, "http://h.org/99", "<div class=top>Site name</div><div class=end>All rights reserved</div>")]
+    assert texts_by_id(spark, rows)[99] == "Site name All rights reserved"
+
+
 def plain_matching(a, b):
     """The most pairs of simple tree matching, by its recurrence."""
     if a.kind != b.kind:
