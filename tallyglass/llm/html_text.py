@@ -13,7 +13,11 @@ Three passes, none of which gathers the pages of a host:
 3. pages are aligned again; slots that carry their template text are left out, text of slots
    that vary is content, unless the element says that it is something else:
    menu, header, footer, sidebar, notice, advert, form, script, style or
-   reader comment. Where a page marks its article or main part, only that counts.
+   reader comment.
+
+Where a layout has enough different pages its slots alone choose the content. Tags
+decide only without that evidence: the main part if it has text, else the articles
+if one of them holds at least half of the page's content, else the whole page.
 
 Pages are different if their content is: other scripts, attributes or adverts do
 not make another page of a copy. References and wrappers are one row a layout; Spark broadcasts them only below its
@@ -270,21 +274,32 @@ def _all_text(elements: list[Element]) -> str:
     return " ".join("".join(parts).split())
 
 
+def _topmost(root: Element, wanted: str) -> list[Element]:
+    found, waiting = [], [root]
+    while waiting:
+        now = waiting.pop()
+        if now.tag == wanted and not now.dropped:
+            found.append(now)
+        elif not now.dropped:
+            waiting.extend(c for c in reversed(now.children) if not isinstance(c, str))
+    return found
+
+
 def _main_parts(root: Element) -> list[Element]:
-    """Topmost articles, else topmost main parts, else the page."""
-    for wanted in ("article", "main"):
-        found, waiting = [], [root]
-        while waiting:
-            now = waiting.pop()
-            if now.tag == wanted and not now.dropped:
-                found.append(now)
-            elif not now.dropped:
-                waiting.extend(c for c in reversed(now.children) if not isinstance(c, str))
-        if found:
-            return found
+    """Parts by tags alone. Teasers are articles too, hence the bulk."""
+    main = _topmost(root, "main")
+    if main and _content(main, set()):
+        return main
+    articles = _topmost(root, "article")
+    if articles and 2 * max(map(_letters, articles)) >= _letters(root):
+        return articles
     return [root]
 
 
+def _letters(part: Element) -> int:
+    return len(_content([part], set()).replace(" ", ""))
+
+
 def _content(elements: list[Element], template: set[int]) -> str:
     """``template`` holds the identities of elements to leave out."""
     parts: list[str] = []
@@ -314,15 +329,16 @@ def _page_hash(root: Element) -> int | None:
 
 
 def main_text(page: str, reference: Slot | None = None, template: dict[int, int] | None = None) -> str:
-    """``template`` maps slots of the reference to the hash of their template text."""
+    """``template`` maps slots of the reference to the hash of their template text;
+    without one there are too few pages to tell."""
     root = parse(page)
     constant: set[int] = set()
     if template:
         for slot, aligned in match(Slot("html", [root]), reference)[1]:
             if aligned.number in template and template[aligned.number] == _text_hash(slot):
                 constant.update(map(id, slot.members))
-    parts = _main_parts(root)
-    return _content(parts, constant) or _content(parts, set())
+    chosen = "" if template is None else _content([root], constant)
+    return chosen or _content(_main_parts(root), set())
 
 
 # ---------------------------------------------------------------------- Spark

@@ -177,6 +177,27 @@ def test_copies_under_other_markup_are_no_evidence(spark):
     assert texts_by_id(spark, rows)[99] == "Site name All rights reserved"
 
 
+STORY = "A long story that goes on and on. " * 4
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>{0}</div><article>Teaser</article><article>Teaser two</article>",
+        "<main><p>{0}</p><article>Teaser</article></main>",
+        "<div>{0}</div>" + "<article>Teaser of some forty letters, all told</article>" * 5,
+    ],
+)
+def test_teasers_do_not_hide_the_story(page):
+    assert STORY.strip() in text(page.format(STORY))
+
+
+def test_slots_choose_before_tags(spark):
+    page = "<div>Site</div><div class=story><p>Story {0}</p></div><section><article>Teaser, the same everywhere</article></section>"
+    found = texts_by_id(spark, [(i, f"http://h.org/{i}", page.format(i)) for i in range(8)])
+    assert found[3] == "Story 3"
+
+
 def plain_matching(a, b):
     """The most pairs of simple tree matching, by its recurrence."""
     if a.kind != b.kind:
