@@ -26,6 +26,11 @@ threshold and otherwise joins by host and layout, where a hot one is split.
 Character references are decoded, white space inside a block is one space, and
 blocks follow one another in page order with one space between.
 
+Forms, roles and names (whole tokens of class and id) mark no content only if the
+part does not hold the page's main part or all of its articles, and not over half
+of the page's varying text either. Adverts and reader comments are left out however
+long, as long as the page has a main part or an article elsewhere.
+
 Cases: null or empty html has no text; a null URL belongs to the host "".
 Repeated pages each get their row. Broken markup (open tags, cut-off pages, stray signs) is read as
 far as it goes. Elements nested deeper than ``DEEPEST`` become siblings. A host
@@ -69,7 +74,7 @@ CLOSED_BY_OWN_KIND = {
 }
 SCOPES = frozenset("table ul ol dl article section main body html div nav aside select menu".split())
 NO_CONTENT = frozenset(
-    "head script style noscript textarea title template iframe xmp nav footer aside form button select "
+    "head script style noscript textarea title template iframe xmp nav footer aside button select "
     "svg canvas object menu dialog".split()
 )
 NO_CONTENT_ROLES = frozenset(
@@ -86,6 +91,13 @@ NO_CONTENT_WORDS = frozenset(
 BOXES = frozenset("article aside center div fieldset footer form header main nav section table".split())
 OPEN_BOXES = frozenset("center div form main section".split())
 
+# Never the page's own story, however long.
+FOREIGN_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments consent cookie cookies disqus promo "
+    "promoted promotion replies respond sponsor sponsored".split()
+)
+ALWAYS_CONTENT = frozenset("html body main article".split())
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)(>|\Z)",
@@ -96,22 +108,63 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Element:
-    __slots__ = ("tag", "kind", "dropped", "children")
+    """``named`` parts are dropped or not once the whole page is read."""
+
+    __slots__ = ("tag", "kind", "dropped", "named", "foreign", "children")
 
     def __init__(self, tag: str, attributes: str):
         self.tag = tag
         self.children: list[Element | str] = []
-        self.kind, self.dropped = tag, tag in NO_CONTENT
+        self.kind, self.dropped, self.named, self.foreign = tag, tag in NO_CONTENT, tag == "form", False
         if attributes:
             found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
             if found:
-                words = _NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
-                self.kind = ".".join([tag, *sorted(set(words))])
-                self.dropped = (
-                    self.dropped
-                    or not NO_CONTENT_WORDS.isdisjoint(words)
-                    or found.get("role", "").lower() in NO_CONTENT_ROLES
-                )
+                names = f"{found.get('class', '')} {found.get('id', '')}".lower()
+                self.kind = ".".join([tag, *sorted(set(_NAME.findall(names)))])
+                if tag not in ALWAYS_CONTENT:
+                    for words in map(_NAME.findall, names.split()):
+                        if words and NO_CONTENT_WORDS.issuperset(words):
+                            self.named = True
+                            self.foreign = self.foreign or not FOREIGN_WORDS.isdisjoint(words)
+                    self.named = self.named or found.get("role", "").lower() in NO_CONTENT_ROLES
+
+
+def settle(root: Element, constant: set[int] = frozenset(), forms: bool = False) -> Element:
+    """Decide which named parts are dropped; ``constant`` holds the identities of
+    template elements. With ``forms`` form elements stay."""
+    order: list[tuple[Element, int]] = []
+    waiting = [(root, -1)]
+    while waiting:
+        now, parent = waiting.pop()
+        waiting += [
+            (c, len(order))
+            for c in now.children
+            if not isinstance(c, str) and c.tag not in NO_CONTENT and id(c) not in constant
+        ]
+        order.append((now, parent))
+    if not any(e.named for e, _ in order):
+        return root
+    letters, mains, articles = ([0] * len(order) for _ in range(3))
+    for i in range(len(order) - 1, -1, -1):
+        now, parent = order[i]
+        letters[i] += sum(len("".join(c.split())) for c in now.children if isinstance(c, str))
+        mains[i] += now.tag == "main"
+        articles[i] += now.tag == "article"
+        if parent >= 0:
+            letters[parent] += letters[i]
+            mains[parent] += mains[i]
+            articles[parent] += articles[i]
+    for i, (now, _) in enumerate(order):
+        if now.named:
+            elsewhere = mains[0] > mains[i] or articles[0] > articles[i]
+            holds = mains[i] or articles[i] and articles[i] == articles[0] and not mains[0]
+            if forms and now.tag == "form":
+                now.dropped = False
+            elif now.foreign:
+                now.dropped = elsewhere or 2 * letters[i] <= letters[0]
+            else:
+                now.dropped = not holds and 2 * letters[i] <= letters[0]
+    return root
 
 
 def parse(page: str) -> Element:
@@ -323,8 +376,8 @@ def _text_hash(slot: Slot) -> int:
 
 
 def _page_hash(root: Element) -> int | None:
-    """Of the content; pages without any have none."""
-    content = _content([root], set())
+    """Of the content, forms included since they may hold the story; pages without any have none."""
+    content = _content([settle(root, forms=True)], set())
     return xxhash.xxh64_intdigest(content) >> 1 if content else None
 
 
@@ -337,8 +390,8 @@ def main_text(page: str, reference: Slot | None = None, template: dict[int, int]
         for slot, aligned in match(Slot("html", [root]), reference)[1]:
             if aligned.number in template and template[aligned.number] == _text_hash(slot):
                 constant.update(map(id, slot.members))
-    chosen = "" if template is None else _content([root], constant)
-    return chosen or _content(_main_parts(root), set())
+    chosen = "" if template is None else _content([settle(root, constant)], constant)
+    return chosen or _content(_main_parts(settle(root)), set())
 
 
 # ---------------------------------------------------------------------- Spark

@@ -198,6 +198,34 @@ def test_slots_choose_before_tags(spark):
     assert found[3] == "Story 3"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><p>{0}</p></body>",
+        "<body class='sidebar'><p>{0}</p></body>",
+        "<article class='post comments-open'>{0}</article>",
+        "<article class='post comments'>{0}</article>",
+        "<div id='content' class='with-menu'>{0}</div>",
+        "<form id='aspnetForm'><div class=menu>m</div><div>{0}</div></form>",
+        "<div class=widget><p>x</p><article>{0}</article></div><div class=widget>w</div>",
+        "<div class=notice>{0}</div><div class=share>s</div>",
+        "<article><div class=entry-header><h1>A long</h1></div><p>story</p></article>",
+        "<article>{0}</article><section id=comments><p>" + "c" * 900 + "</p></section>",
+    ],
+)
+def test_names_do_not_hide_the_story(page):
+    found = text(page.format(STORY))
+    assert ("A long story" if "entry-header" in page else STORY.strip()) in found
+    assert "ccc" not in found
+
+
+def test_bulk_is_of_the_varying_text(spark):
+    """A long template does not make the form that holds the story a small part."""
+    page = "<div>" + "Same on all pages. " * 20 + "</div><form><p>Story {0}</p></form><div class=share>s</div>"
+    found = texts_by_id(spark, [(i, f"http://h.org/{i}", page.format(i)) for i in range(8)])
+    assert found[3] == "Story 3"
+
+
 def plain_matching(a, b):
     """The most pairs of simple tree matching, by its recurrence."""
     if a.kind != b.kind:
