@@ -33,7 +33,8 @@ long, as long as the page has a main part or an article elsewhere.
 
 Cases: null or empty html has no text; a null URL belongs to the host "".
 Repeated pages each get their row. Broken markup (open tags, cut-off pages, stray signs) is read as
-far as it goes. Elements nested deeper than ``DEEPEST`` become siblings. A host
+far as it goes. Elements nested deeper than ``DEEPEST`` are closed like others but
+hang on the last one above that depth, or on a dropped one. A host
 with few different pages has no template, so copies keep their text. A page of which
 all text is template keeps it. An empty
 table gives an empty result. Only page_id, url and html are read.
@@ -44,7 +45,7 @@ from __future__ import annotations
 import html as references
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -108,13 +109,15 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Element:
-    """``named`` parts are dropped or not once the whole page is read."""
+    """``named`` parts are dropped or not once the whole page is read. ``home``
+    is where the children of an open element go if not to itself."""
 
-    __slots__ = ("tag", "kind", "dropped", "named", "foreign", "children")
+    __slots__ = ("tag", "kind", "dropped", "named", "foreign", "children", "home")
 
     def __init__(self, tag: str, attributes: str):
         self.tag = tag
         self.children: list[Element | str] = []
+        self.home: Element | None = None
         self.kind, self.dropped, self.named, self.foreign = tag, tag in NO_CONTENT, tag == "form", False
         if attributes:
             found = {m[0].lower(): m[1] or m[2] or m[3] for m in _ATTRIBUTE.findall(attributes)}
@@ -169,12 +172,12 @@ def settle(root: Element, constant: set[int] = frozenset(), forms: bool = False)
 
 def parse(page: str) -> Element:
     root = Element("html", "")
-    stack, place, end = [root], 0, len(page)
+    stack, place, end = _Open(root), 0, len(page)
     while place < end:
         tag = _TAG.search(page, place)
         stop = tag.start() if tag else end
         if stop > place:
-            stack[-1].children.append(page[place:stop])
+            (stack[-1].home or stack[-1]).children.append(page[place:stop])
         if not tag:
             break
         place = tag.end()
@@ -189,38 +192,58 @@ def parse(page: str) -> Element:
     return root
 
 
-def _close(stack: list[Element], name: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == name:
-            del stack[i:]
-            return
+class _Open(list):
+    """Open elements, and where those of a name are, so that no tag searches a deep page."""
 
+    def __init__(self, root: Element):
+        super().__init__([root])
+        self.places: dict[str, list[int]] = {}
 
-def _open(stack: list[Element], name: str, attributes: str, page: str, place: int) -> int:
+    def push(self, element: Element) -> None:
+        self.places.setdefault(element.tag, []).append(len(self))
+        self.append(element)
+
+    def cut(self, place: int) -> None:
+        while len(self) > place:
+            self.places[self.pop().tag].pop()
+
+    def last(self, names: Iterable[str]) -> int:
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+
+def _close(stack: _Open, name: str) -> None:
+    place = stack.last((name,))
+    if place:
+        stack.cut(place)
+
+
+def _open(stack: _Open, name: str, attributes: str, page: str, place: int) -> int:
     """Returns where to go on reading."""
     if name in CLOSES_P:
         _close_within(stack, ("p",))
     if name in CLOSED_BY_OWN_KIND:
         _close_within(stack, CLOSED_BY_OWN_KIND[name])
     element = Element(name, attributes)
-    stack[-1].children.append(element)
+    home = stack[-1].home or stack[-1]
+    home.children.append(element)
     if name in RAW:
         closing = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.IGNORECASE).search(page, place)
         return closing.start() if closing else len(page)
-    if name not in VOID and len(stack) < DEEPEST:
-        stack.append(element)
+    if name not in VOID:
+        # Below the limit only a part that may be dropped keeps its own children.
+        leaves = element.dropped and not home.dropped or element.named and not (home.dropped or home.named)
+        if len(stack) >= DEEPEST and not leaves:
+            element.home = home
+        stack.push(element)
     return place
 
 
-def _close_within(stack: list[Element], names: tuple[str, ...]) -> None:
+def _close_within(stack: _Open, names: tuple[str, ...]) -> None:
     """End the innermost open element of these names, unless one that limits
     its reach is open inside."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in names:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPES:
-            return
+    place = stack.last(names)
+    if place and place > stack.last(SCOPES):
+        stack.cut(place)
 
 
 # ---------------------------------------------------------------------- slots

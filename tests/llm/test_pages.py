@@ -226,6 +226,13 @@ def test_bulk_is_of_the_varying_text(spark):
     assert found[3] == "Story 3"
 
 
+@pytest.mark.parametrize("n", [150, 250, 5000])
+def test_deep_elements_close_themselves(n):
+    deep = "<div>" * n + "in<nav>n<b>n</b></nav><div class=ad>a<nav>n</nav></div>" + "</div>" * n
+    found = text(f"<div><article><p>a</p>{deep}<p>after</p></article>outside</div>")
+    assert found == "a in after"
+
+
 def plain_matching(a, b):
     """The most pairs of simple tree matching, by its recurrence."""
     if a.kind != b.kind:
