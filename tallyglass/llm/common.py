@@ -41,11 +41,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
-def landed(df: DataFrame) -> DataFrame:
+def landed(df: DataFrame, **options: str) -> DataFrame:
     """Write to a fresh shared folder and read back: later stages start from the
     files, so a lost executor costs only the stage that was running."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -426,26 +426,19 @@ def _host(url: str) -> F.Column:
 
 
 def _laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """With layout, hash of the content and tree; the latter two null without content."""
     for batch in batches:
         for part in by_bytes(batch, "html"):
-            layouts = [layout(Slot("html", [parse(p or "")])) for p in part.column("html").to_pylist()]
-            yield part.append_column("layout", pa.array(layouts, pa.int64()))
-
-
-def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of pages with content."""
-    for batch in batches:
-        for part in by_bytes(batch, "html"):
-            found = []
-            for host, page in zip(*(part.column(c).to_pylist() for c in ("host", "html"))):
+            layouts, digests, trees = [], [], []
+            for page in part.column("html").to_pylist():
                 root = parse(page or "")
-                digest = _page_hash(root)
-                if digest is not None:
-                    slots = Slot("html", [root])
-                    found.append((host, layout(slots), digest, json.dumps(skeleton(slots))))
-            columns = zip(*found) if found else [[]] * 4
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "layout", "page", "tree"])
+                slots, digest = Slot("html", [root]), _page_hash(root)
+                layouts.append(layout(slots))
+                digests.append(digest)
+                trees.append(None if digest is None else json.dumps(skeleton(slots)))
+            part = part.append_column("layout", pa.array(layouts, pa.int64()))
+            part = part.append_column("page", pa.array(digests, pa.int64()))
+            yield part.append_column("own_tree", pa.array(trees, pa.string()))
 
 
 def _observations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,18 +446,15 @@ def _observations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in by_bytes(batch, "html"):
             keys, slots, texts, digests = [], [], [], []
-            for i, (page, tree) in enumerate(zip(*(part.column(c).to_pylist() for c in ("html", "tree")))):
-                root = parse(page or "")
-                digest = _page_hash(root)
-                if digest is None:
-                    continue
-                found = match(Slot("html", [root]), _reference(trees, tree))[1]
+            rows = zip(*(part.column(c).to_pylist() for c in ("html", "page", "tree")))
+            for i, (page, digest, tree) in enumerate(rows):
+                found = match(Slot("html", [parse(page)]), _reference(trees, tree))[1]
                 keys += [i] * len(found)
                 slots += [reference.number for _, reference in found]
                 texts += [_text_hash(slot) for slot, _ in found]
                 digests += [digest] * len(found)
-            rows = pa.array(keys, pa.int64())
-            columns = [part.column(c).take(rows) for c in ("host", "reference")]
+            places = pa.array(keys, pa.int64())
+            columns = [part.column(c).take(places) for c in ("host", "reference")]
             columns += [pa.array(slots, pa.int32()), pa.array(texts, pa.int64()), pa.array(digests, pa.int64())]
             yield pa.record_batch(columns, ["host", "reference", "slot", "text", "page"])
 
@@ -494,14 +484,13 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def wrappers(rows: DataFrame, different_pages: int = DIFFERENT_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
+def wrappers(pages: DataFrame, different_pages: int = DIFFERENT_PAGES, share: float = TEMPLATE_SHARE) -> DataFrame:
     """Per host and layout: its reference tree and the template slots with their
-    texts, null if the different pages are too few to tell. Runs jobs. ``rows``
-    has host and html."""
-    pages = rows.select("host", "html")
-    trees = pages.mapInArrow(_skeletons, "host string, layout bigint, page bigint, tree string")
+    texts, null if the different pages are too few to tell. Runs jobs. ``pages``
+    has host, html and what ``_laid_out`` adds."""
+    pages = pages.filter("page IS NOT NULL")
     # Copies under other markup are one page; whichever of their trees will do.
-    different = trees.groupBy("host", "layout", "page").agg(F.min("tree").alias("tree"))
+    different = pages.groupBy("host", "layout", "page").agg(F.min("own_tree").alias("tree"))
     best = F.max(F.struct("count", "tree")).alias("best")
     layouts = landed(
         different.groupBy("host", "layout", "tree").count()
@@ -520,9 +509,9 @@ def wrappers(rows: DataFrame, different_pages: int = DIFFERENT_PAGES, share: flo
         )
     )
     seen = (
-        pages.mapInArrow(_laid_out, "host string, html string, layout bigint")
+        pages.select("host", "layout", "html", "page")
         .join(chosen.drop("pages"), ["host", "layout"])
-        .select("host", "reference", "html", "tree")
+        .select("host", "reference", "html", "page", "tree")
         .mapInArrow(_observations, "host string, reference bigint, slot int, text bigint, page bigint")
     )
     # The same texts meet in their task first, so a hot host sends few rows a slot that is constant.
@@ -552,8 +541,10 @@ def extract(pages: DataFrame, different_pages: int = DIFFERENT_PAGES) -> DataFra
         F.col("html").cast("string").alias("html"),
         _host("url").alias("host"),
     )
-    laid_out = rows.mapInArrow(_laid_out, "page_id bigint, url string, html string, host string, layout bigint")
-    joined = laid_out.join(wrappers(rows, different_pages), ["host", "layout"], "left")
+    made = "page_id bigint, url string, html string, host string, layout bigint, page bigint, own_tree string"
+    # Landed with its pages, since reading every page once more for its layout takes longer.
+    laid_out = landed(rows.mapInArrow(_laid_out, made), compression="zstd")
+    joined = laid_out.join(wrappers(laid_out, different_pages), ["host", "layout"], "left")
     found = joined.select("page_id", "url", "html", "tree", "template").mapInArrow(
         _texts, "page_id bigint, url string, text string"
     )
