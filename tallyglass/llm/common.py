@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyglass.functions.columns import unused
 from tallyglass.session import input_bytes, prepare, shared_folder
 
 # Text that one step of a Python worker handles at once; the lists it makes of that
@@ -49,6 +51,13 @@ def landed(df: DataFrame, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered_rows(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` landed with a number for every row, and the name of that column.
+    Ids may be null or repeat; a number read from files is the same in every job."""
+    number = unused(docs, "row_number")
+    return landed(docs.withColumn(number, F.monotonically_increasing_id()), compression="zstd"), number
+
+
 def by_bytes(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch that hold about ``limit`` bytes of ``column`` each; a
     single longer value is a slice of its own."""

@@ -35,8 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field, unused
-from tallyglass.llm.common import landed
+from tallyglass.functions.columns import field
+from tallyglass.llm.common import landed, numbered_rows
 
 WINDOW = 13
 SEGMENT_WORDS = 1_000_000
@@ -352,9 +352,9 @@ def contamination(
 def without_contaminated(
     docs: DataFrame, tests: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated. Documents that share an
-    id go if one of them is. Runs jobs."""
-    found = contamination(docs, tests, id_column, text_column)
-    bad_id = unused(docs, "bad_id")
-    bad = landed(found.filter("contaminated").select(field(id_column).alias(bad_id)).distinct())
-    return docs.join(bad, field(id_column).eqNullSafe(F.col(bad_id)), "left_anti")
+    """The rows of ``docs`` that are not contaminated, each decided by its own
+    text, whatever its id. Runs jobs."""
+    rows, number = numbered_rows(docs)
+    found = contamination(rows, tests, number, text_column)
+    bad = landed(found.filter("contaminated").select(number))
+    return rows.join(bad, number, "left_anti").select(*map(field, docs.columns))

@@ -35,8 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field, unused
-from tallyglass.llm.common import by_bytes, landed
+from tallyglass.functions.columns import field
+from tallyglass.llm.common import by_bytes, landed, numbered_rows
 from tallyglass.llm.components import component_of_nodes
 
 SHINGLE_WORDS = 4
@@ -174,10 +174,12 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component. Runs jobs. Rows that
-    share that id are one document delivered more than once and all stay."""
-    groups = near_groups(docs, id_column, text_column)
-    first = groups.filter(field(id_column).eqNullSafe(F.col("component_id")))
-    chosen_id = unused(docs, "chosen_id")
-    chosen = landed(first.select(F.col("component_id").alias(chosen_id)).distinct())
-    return docs.join(chosen, field(id_column).eqNullSafe(F.col(chosen_id)), "left_semi")
+    """One row of ``docs`` per component, that of the smallest id, null last; of
+    rows that share it the first. Runs jobs."""
+    rows, number = numbered_rows(docs)
+    groups = near_groups(rows, number, text_column).select(number, "component_id")
+    ids = rows.select(field(number), field(id_column).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col(number).alias("row"))).alias("first")
+    chosen = groups.join(ids, number).groupBy("component_id").agg(first)
+    chosen = landed(chosen.select(F.col("first.row").alias(number)))
+    return rows.join(chosen, number, "left_semi").select(*map(field, docs.columns))
