@@ -17,6 +17,7 @@ from tallyglass.llm import (
     simhash,
     token_counts,
     token_output,
+    vector_codes,
     warc,
 )
 from tallyglass.llm.common import table, tokenizer_path
@@ -149,6 +150,61 @@ FROM first
 """
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("codes", lambda index: F.lower(F.lpad(F.hex(index), 2, "0")))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
+_OP11_FIRST = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), part AS MATERIALIZED (
+  SELECT vec_id, k, list_slice(v, k * len(v) // 4 + 1, (k + 1) * len(v) // 4) AS p
+  FROM kept, unnest(range(0, 4)) AS t(k)
+), book0 AS MATERIALIZED (
+  SELECT k, row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1 AS e, p AS c
+  FROM part WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)
+)"""
+_OP11_NEAREST = """, near{r} AS MATERIALIZED (
+  SELECT vec_id, k, p, min((d, e)) AS best FROM (
+    SELECT vec_id, k, p, e, list_sum(list_transform(list_zip(p, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM part JOIN book{r} USING (k)
+  ) GROUP BY vec_id, k, p
+)"""
+_OP11_MOVED = """, sum{n} AS (
+  SELECT k, best[2] AS e, j, sum(p[j]) AS s, count(*) AS n
+  FROM near{r}, unnest(range(1, len(p) + 1)) AS t(j) GROUP BY k, e, j
+), mean{n} AS (
+  SELECT k, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS c FROM sum{n} GROUP BY k, e
+), book{n} AS MATERIALIZED (
+  SELECT k, e, coalesce(m.c, b.c) AS c FROM book{r} AS b LEFT JOIN mean{n} AS m USING (k, e)
+)"""
+_OP11_LAST = """, coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY k) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+  FROM near4 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY k, e)) AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+OP11_SQL = (
+    _OP11_FIRST
+    + "".join(_OP11_NEAREST.format(r=r) + _OP11_MOVED.format(r=r, n=r + 1) for r in range(4))
+    + _OP11_NEAREST.format(r=4)
+    + _OP11_LAST
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -161,8 +217,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_simhash": op9_simhash,
         "op10_warc": op10_warc,
+        "op11_vector_codes": op11_vector_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op8_decontamination": OP8_SQL, "op10_warc": OP10_SQL}
+    return {
+        "op1_exact_dedup": OP1_SQL,
+        "op8_decontamination": OP8_SQL,
+        "op10_warc": OP10_SQL,
+        "op11_vector_codes": OP11_SQL,
+    }

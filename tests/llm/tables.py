@@ -40,7 +40,7 @@ def documents(spark, texts=HARD_TEXTS, ids=None):
 
 def oracle(sf_dir, sql):
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     found = con.execute(sql)
     columns = [c[0] for c in found.description]
