@@ -14,6 +14,7 @@ from tallyglass.llm import (
     html_text,
     license_scan,
     language_id,
+    sentence_pieces,
     simhash,
     token_counts,
     token_output,
@@ -205,6 +206,18 @@ OP11_SQL = (
 )
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = sentence_pieces.round_trip(docs, tokenizer_path("piece_bpe_32k.model"))
+    return pieces.selectExpr(
+        "doc_id",
+        "n_tokens",
+        "sha2(array_join(ids, ','), 256) AS ids_sha256",
+        "sha2(decoded, 256) AS decoded_sha256",
+        "xxhash64(first_bytes, last_bytes) AS spans_hash",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -218,6 +231,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash": op9_simhash,
         "op10_warc": op10_warc,
         "op11_vector_codes": op11_vector_codes,
+        "op12_sentencepiece": op12_sentencepiece,
     }
 
 
