@@ -16,6 +16,7 @@ from tallyglass.llm import (
     language_id,
     sentence_pieces,
     simhash,
+    source_divergence,
     token_counts,
     token_output,
     vector_codes,
@@ -218,6 +219,52 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), word AS (SELECT lang, source, row, unnest(w) AS term FROM doc
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM word GROUP BY lang, term HAVING count(DISTINCT row) >= 10
+), sized AS (
+  SELECT lang, count(term) AS v, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang FROM doc) LEFT JOIN kept USING (lang) GROUP BY lang
+), found AS (
+  SELECT lang, source, term, count(*) AS n FROM word SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), grp AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM doc) LEFT JOIN found USING (lang, source) GROUP BY lang, source
+), cell AS MATERIALIZED (
+  SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n,
+         1 + 1000000000 * (coalesce(f.n, 0) + 2)::HUGEINT // (g.total + 2 * s.v)::HUGEINT AS p,
+         1 + 1000000000 * (k.n + 2)::HUGEINT // (s.total + 2 * s.v)::HUGEINT AS q
+  FROM grp AS g JOIN sized AS s ON g.lang = s.lang JOIN kept AS k ON k.lang = g.lang
+  LEFT JOIN found AS f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM cell AS a JOIN cell AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), result AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM cell WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM result
+) WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -232,6 +279,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_warc": op10_warc,
         "op11_vector_codes": op11_vector_codes,
         "op12_sentencepiece": op12_sentencepiece,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -241,4 +289,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": OP8_SQL,
         "op10_warc": OP10_SQL,
         "op11_vector_codes": OP11_SQL,
+        "op13_source_divergence": OP13_SQL,
     }
