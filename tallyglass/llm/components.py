@@ -2,7 +2,11 @@
 
 Every round rewires links towards the smallest member and lands the link table
 in the shared folder. Minima are aggregated before the shuffle, so a member
-with very many links sends one row per task.
+with very many links sends one row per task, and landed before links look them
+up, so that the skew join can cut such a member.
+
+Cases: a link of a member with itself says nothing; repeated links and either
+direction are one link; no links give an empty result.
 """
 
 from __future__ import annotations
@@ -15,13 +19,13 @@ from tallyglass.llm.common import landed
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.min("b").alias("low"))
+    lowest = landed(both.groupBy("a").agg(F.min("b").alias("low")))
     low = F.least("a", "low")
     return both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), low.alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    lowest = links.groupBy("a").agg(F.min("b").alias("low"))
+    lowest = landed(links.groupBy("a").agg(F.min("b").alias("low")))
     others = links.join(lowest, "a").filter("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return others.union(lowest.select("a", F.col("low").alias("b")))
 

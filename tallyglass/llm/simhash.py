@@ -71,15 +71,20 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             texts = part.column("text").cast(pa.binary()).to_pylist()
             values = [fingerprint(t) if t else 0 for t in texts]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
-            yield pa.record_batch([part.column("doc_id"), pa.array(signed)], ["doc_id", "fp"])
+            kept = [c for c in part.schema.names if c != "text"]
+            yield pa.record_batch([*map(part.column, kept), pa.array(signed)], [*kept, "fp"])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer."""
+def fingerprints(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carried: F.Column | None = None
+) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer, with the column
+    ``carried`` between them if there is one."""
+    others = [] if carried is None else [carried.alias("carried")]
     rows = docs.select(
-        field(id_column).cast("bigint").alias("doc_id"), field(text_column).cast("string").alias("text")
+        field(id_column).cast("bigint").alias("doc_id"), *others, field(text_column).cast("string").alias("text")
     )
-    return rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint")
+    return rows.mapInArrow(_fingerprints, rows.drop("text").withColumn("fp", F.lit(0).cast("bigint")).schema)
 
 
 def _segments() -> list[tuple[int, int]]:
@@ -158,9 +163,8 @@ def links(fps: DataFrame, members_of_dense_key: int = 256) -> DataFrame:
     return found
 
 
-def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: the id column, fp and component_id. Runs jobs."""
-    prints = landed(fingerprints(docs, id_column, text_column))
+def _components(prints: DataFrame) -> DataFrame:
+    """(fp, component_id) of all fingerprints of the landed table ``prints``. Runs jobs."""
     reps = landed(prints.groupBy("fp").agg(F.min("doc_id").alias("smallest")))
     parts = component_of_nodes(links(reps))
     of_print = landed(
@@ -168,8 +172,15 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             "fp", "smallest", F.coalesce("component", "fp").alias("component")
         )
     )
-    names = of_print.groupBy("component").agg(F.min("smallest").alias("component_id"))
-    named = of_print.join(names, "component").select("fp", "component_id")
+    # From files, so that a component with very many fingerprints can be cut by the skew join.
+    names = landed(of_print.groupBy("component").agg(F.min("smallest").alias("component_id")))
+    return of_print.join(names, "component").select("fp", "component_id")
+
+
+def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row per input row: the id column, fp and component_id. Runs jobs."""
+    prints = landed(fingerprints(docs, id_column, text_column))
+    named = _components(prints)
     return prints.join(named, "fp").select(F.col("doc_id").alias(id_column), "fp", "component_id")
 
 
@@ -177,9 +188,11 @@ def one_of_each_group(docs: DataFrame, id_column: str = "doc_id", text_column: s
     """One row of ``docs`` per component, that of the smallest id, null last; of
     rows that share it the first. Runs jobs."""
     rows, number = numbered_rows(docs)
-    groups = near_groups(rows, number, text_column).select(number, "component_id")
-    ids = rows.select(field(number), field(id_column).alias("id"))
-    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col(number).alias("row"))).alias("first")
-    chosen = groups.join(ids, number).groupBy("component_id").agg(first)
-    chosen = landed(chosen.select(F.col("first.row").alias(number)))
-    return rows.join(chosen, number, "left_semi").select(*map(field, docs.columns))
+    prints = landed(fingerprints(rows, number, text_column, field(id_column)))
+    groups = landed(prints.join(_components(prints), "fp").select("doc_id", "carried", "component_id"))
+    place = F.struct(F.col("carried").isNull(), F.col("carried"), F.col("doc_id").alias("row"))
+    first = groups.groupBy("component_id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("rows"))
+    first = landed(first.filter("rows > 1").select("component_id", "first.row"))
+    # Fewer rows go than stay, so the list of those is the one to look up.
+    going = groups.join(first, "component_id").filter("doc_id != row").select(F.col("doc_id").alias(number))
+    return rows.join(landed(going), number, "left_anti").select(*map(field, docs.columns))

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import re
 
 import numpy as np
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tables import DOCS, HARD_TEXTS, documents, oracle, rows_of
 
-from tallyglass.llm import components, exact_dedup, queries, simhash
+from tallyglass.llm import common, components, exact_dedup, queries, simhash
 
 
 def expected_groups(rows):
@@ -155,3 +156,31 @@ def test_components_of_a_long_path(spark):
     path = spark.createDataFrame([(i, i + 1) for i in range(60)], "a bigint, b bigint")
     found = {r.node: r.component for r in components.component_of_nodes(path).collect()}
     assert found == {i: 0 for i in range(1, 61)}
+
+
+def test_rows_of_files_are_numbered_where_they_lie(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    some = docs.filter("doc_id % 3 = 0").select("text", F.lit(1).alias("_metadata"))
+    rows, number = common.numbered_rows(some)
+    assert rows.columns == ["text", "_metadata", number]
+    assert "spark.checkpoint" not in str(rows.inputFiles()) and set(rows.inputFiles()) == set(docs.inputFiles())
+    numbers = sorted(r[0] for r in rows.select(number).collect())
+    assert len(set(numbers)) == len(numbers) == some.count()
+    assert sorted(r[0] for r in rows.repartition(3).select(number).collect()) == numbers
+
+
+def test_other_rows_are_landed_to_be_numbered(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
+    for other in (docs.union(docs), docs.withColumn("k", F.explode(F.array(F.lit(1), F.lit(2)))), docs.join(docs, "doc_id")):
+        rows, number = common.numbered_rows(other)
+        assert rows.select(number).distinct().count() == other.count()
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    with common.intermediates(spark):
+        inner = common.landed(spark.range(5))
+        folder = inner.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+        inner.write.parquet(str(tmp_path / "kept"))
+    assert not os.path.exists(folder)
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 5
