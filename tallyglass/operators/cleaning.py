@@ -8,6 +8,7 @@ sign predicates reach the Parquet scan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tallyglass.fixed_values import (
     RISK_SENTINEL,
     STANDARD_TEXT_COLUMNS,
 )
-from tallyglass.functions.columns import field, quoted
+from tallyglass.functions.columns import field, quoted, unused
 from tallyglass.functions.time import readable_timestamp
 from tallyglass.schema import MALFORMED, require_columns
 
@@ -96,16 +97,45 @@ def filter_positive_amount(df: DataFrame, column: str = "amount") -> DataFrame:
     return df.filter(f"{number(column, df.schema[column].dataType)} > 0")
 
 
+def _typed(df: DataFrame) -> DataFrame:
+    require_columns(df, (*CRITICAL_COLUMNS, "risk_score"))
+    return add_readable_ts(risk_to_double(numbers_typed(df.drop(MALFORMED))))
+
+
 def clean_transactions(df: DataFrame) -> DataFrame:
     """Typed amount, time and risk score, readable time, rows without critical
     nulls or non-positive amounts, text columns as strings. Adds one column and
     drops that of malformed records."""
-    require_columns(df, (*CRITICAL_COLUMNS, "risk_score"))
-    typed = add_readable_ts(risk_to_double(numbers_typed(df.drop(MALFORMED))))
-    valid = filter_positive_amount(filter_critical_not_null(typed))
+    valid = filter_positive_amount(filter_critical_not_null(_typed(df)))
     return cast_to_string(valid)
 
 
+@dataclass(frozen=True)
+class BothTables:
+    """Every raw row beside what cleaning makes of it. ``raw`` and ``cleaned`` give for
+    each column of these tables its name in ``rows``; ``survives`` names the flag of
+    the rows that cleaning keeps."""
+
+    rows: DataFrame
+    raw: dict[str, str]
+    cleaned: dict[str, str]
+    survives: str
+
+
+def raw_and_cleaned(df: DataFrame, flags: dict[str, str] | None = None) -> BothTables:
+    """Row-wise, so one scan of ``df`` serves both tables. ``flags`` are further columns of
+    the rows, by expressions of raw columns."""
+    df = df.drop(MALFORMED)
+    flags = {name: F.expr(value) for name, value in (flags or {}).items()}
+    raw = {c: unused(df, f"raw {c}") for c in df.columns}
+    typed = _typed(df.withColumns({**{new: field(c) for c, new in raw.items()}, **flags}))
+    cleaned = [c for c in typed.columns if c not in raw.values() and c not in flags]
+    survives = unused(typed, "survives cleaning")
+    kept = f"({all_present(CRITICAL_COLUMNS)} AND {number('amount', typed.schema['amount'].dataType)} > 0)"
+    rows = cast_to_string(typed.withColumn(survives, F.expr(f"coalesce({kept}, false)")))
+    return BothTables(rows, raw, dict(zip(cleaned, cleaned)), survives)
+
+
 def clean_audit(df: DataFrame) -> DataFrame:
     """One row: how many rows the cleaning receives, drops per rule and keeps.
 

@@ -22,7 +22,8 @@ from pyspark.sql.types import (
 
 from tallyglass.functions.columns import quoted, record, unused
 from tallyglass.functions.rounding import percentage
-from tallyglass.session import remove_folder, shared_folder
+from tallyglass.operators.cleaning import BothTables
+from tallyglass.session import is_plain_scan, remove_folder, shared_folder
 
 BINARY_COLLATION = "UTF8_BINARY"
 
@@ -100,8 +101,10 @@ def duplicate_profile(
               rows only where a hash occurs more than once. Far less shuffle
               for a table with few copies. Scans the table twice, so it should
               be a columnar file. Refused for columns that do not hash as they group.
-    ``auto``  by the schema alone: ``hash`` wherever every column hashes as it
-              groups, else ``rows``.
+    ``auto``  by schema and plan: ``hash`` where the table is read from files as it is
+              and every column hashes as it groups, else ``rows``. A table made by
+              joins or generated rows would be made twice, or written once, which
+              moves as much as shuffling its rows.
 
     Both are exact. ``derived`` names columns computed from others of the same
     row: equal rows agree in them anyway, so they need not be hashed, compared or
@@ -117,7 +120,7 @@ def uses_hash(df: DataFrame, method: str) -> bool:
         raise ValueError(f"unknown method: {method}")
     if method == "hash" and not hashable:
         raise ValueError("some column holds values equal that have different hashes; use method='rows'")
-    return method != "rows" and hashable
+    return method == "hash" or (method == "auto" and hashable and is_plain_scan(df))
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, str]:
@@ -138,10 +141,11 @@ def with_hash(df: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(name, F.xxhash64(*map(quoted, rows.columns)))
 
 
-def rows_with(hashed: DataFrame, repeated: DataFrame, name: str) -> DataFrame:
-    """Rows whose hash is listed. The list may be as long as the table, so both
-    sides are sorted by hash; a hot hash is split by the skew join."""
-    return hashed.join(repeated.select(name).hint("merge"), name, "left_semi")
+def rows_with(hashed: DataFrame, repeated: DataFrame, name: str | tuple[str, ...]) -> DataFrame:
+    """Rows whose hash is listed. Spark knows the size of the written list: a short one
+    goes to every task and no row is shuffled; else both sides are sorted by hash,
+    and a hot hash is split by the skew join."""
+    return hashed.join(repeated, list(name) if isinstance(name, tuple) else name, "left_semi")
 
 
 def _by_hash(df: DataFrame, total: int | None) -> DataFrame:
@@ -173,6 +177,44 @@ def surplus_rows(df: DataFrame) -> int:
     return surplus
 
 
+def surplus_of_both(both: BothTables, derived: Sequence[str] = (), method: str = "auto") -> DataFrame:
+    """One row: how many rows of the raw and of the cleaned table repeat an earlier one
+    (raw_surplus, cleaned_surplus). The methods are those of ``duplicate_profile``; either
+    looks at both tables in the same scans."""
+    sides = [
+        [new for c, new in columns.items() if c not in derived]
+        for columns in (both.raw, both.cleaned)
+    ]
+    rows = comparable(both.rows)
+    named = [f"struct({', '.join(map(quoted, side))})" for side in sides]
+    by_hash = uses_hash(both.rows, method)
+    hashes = [f"xxhash64({', '.join(map(quoted, side))})" if by_hash else "0L" for side in sides]
+
+    def versions(whole: bool) -> DataFrame:
+        """A row for each table that has it: side, hash and, if asked for, the row."""
+        parts = []
+        for i, value in enumerate(hashes):
+            own = {"raw": named[0] if i == 0 else "NULL", "cleaned": named[1] if i == 1 else "NULL"}
+            parts.append(record(side=str(i), hash=value, **(own if whole else {})))
+        return rows.selectExpr(f"inline(array_compact(array({parts[0]}, IF({quoted(both.survives)}, {parts[1]}, NULL))))")
+
+    found = versions(whole=True)
+    folder = None
+    if by_hash:
+        spark, folder = rows.sparkSession, shared_folder(rows.sparkSession)
+        listing = versions(whole=False).groupBy("side", "hash").count().filter("count > 1").select("side", "hash")
+        listing.write.parquet(folder)
+        found = rows_with(found, spark.read.schema(listing.schema).parquet(folder), ("side", "hash"))
+    groups = found.groupBy("side", "raw", "cleaned").count()
+    surplus = [f"coalesce(sum(count - 1) FILTER (WHERE side = {i}), 0)" for i in (0, 1)]
+    result = groups.selectExpr(f"{surplus[0]} AS raw_surplus", f"{surplus[1]} AS cleaned_surplus")
+    if folder is None:
+        return result
+    known = result.first()
+    remove_folder(rows.sparkSession, folder)
+    return rows.sparkSession.range(1).selectExpr(f"{known[0]}L AS raw_surplus", f"{known[1]}L AS cleaned_surplus")
+
+
 def share(total: str, surplus: int | str) -> str:
     """The four measures as a struct, from expressions of total and surplus."""
     surplus = f"CAST({surplus} AS BIGINT)"

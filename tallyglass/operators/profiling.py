@@ -2,7 +2,8 @@
 
 ``table_metrics`` computes everything one scan can give in a single aggregate.
 Each task reduces its rows to one partial row, so only as many rows as there
-are tasks are ever shuffled. The other functions ask it for the part they need
+are tasks are ever shuffled, and these are merged in two steps (``profile_state``).
+The other functions ask it for the part they need
 and lay the result out as rows.
 """
 
@@ -14,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, StructField
+from pyspark.sql.types import StructField
 
 from tallyglass.fixed_values import (
     FUTURE_AFTER_YEARS,
@@ -28,9 +29,14 @@ from tallyglass.fixed_values import (
 from tallyglass.functions.columns import is_missing, quoted, record, text
 from tallyglass.functions.rounding import percentage
 from tallyglass.operators.cleaning import number
+from tallyglass.operators.profile_state import (
+    STATISTIC_TYPES,
+    Measured,
+    deviation,
+    table_states,
+)
 from tallyglass.schema import ANOMALY
 
-STATISTIC_TYPES = (DoubleType, FloatType, IntegerType, LongType)
 COLUMNS_PER_AGGREGATE = 100
 
 MISSING_ROWS = "array<struct<ordinal:int,column:string,missing:bigint>>"
@@ -125,7 +131,14 @@ def table_metrics(
     parts = []
     for number, part in enumerate(slices):
         rules = applicable_rules(df, anomaly_rules) if number == 0 else []
-        parts.append(_metrics_of(df, part, missing, statistics, rules, count_rows=number == 0))
+        measured = Measured(
+            [(f.name, f.dataType) for _, f in part],
+            [violation(df, rule) for rule in rules],
+            missing=missing,
+            statistics=statistics,
+        )
+        state = table_states(df, {"state": measured})
+        parts.append(state.selectExpr(*metrics_of_state("state", part, rules, missing, statistics)))
     if len(parts) == 1:
         return parts[0]
     return reduce(DataFrame.unionByName, parts).selectExpr(
@@ -136,60 +149,51 @@ def table_metrics(
     )
 
 
-def _metrics_of(
-    df: DataFrame,
+def metrics_of_state(
+    state: str,
     fields: Sequence[tuple[int, StructField]],
-    missing: bool,
-    statistics: bool,
-    rules: Sequence[AnomalyRule],
-    count_rows: bool,
-) -> DataFrame:
-    aggregates = [f"{'count(1)' if count_rows else 'max(CAST(NULL AS BIGINT))'} AS total_records"]
+    rules: Sequence[AnomalyRule] = (),
+    missing: bool = True,
+    statistics: bool = True,
+) -> list[str]:
+    """The columns of ``table_metrics`` as expressions of a state of these fields, null
+    for a table without rows."""
     missing_rows, statistic_rows, anomaly_rows = [], [], []
-    for i, f in fields:
-        value, label = quoted(f.name), {"ordinal": str(i), "column": text(f.name)}
+    for place, (i, f) in enumerate(fields):
+        column, label = f"{state}.columns[{place}]", {"ordinal": str(i), "column": text(f.name)}
         if missing:
-            aggregates.append(f"count_if({is_missing(f.name, f.dataType)}) AS missing_{i}")
-            missing_rows.append(record(**label, missing=f"missing_{i}"))
+            missing_rows.append(record(**label, missing=f"coalesce({column}.missing, 0)"))
         if statistics and isinstance(f.dataType, STATISTIC_TYPES):
-            aggregates += [
-                f"count({value}) AS count_{i}",
-                f"avg({value}) AS mean_{i}",
-                f"stddev_samp({value}) AS stddev_{i}",
-                f"{_as_double(f'min({value})', f)} AS min_{i}",
-                f"{_as_double(f'max({value})', f)} AS max_{i}",
-            ]
-            measures = ("count", "mean", "stddev", "min", "max")
-            statistic_rows.append(record(**label, **{m: f"{m}_{i}" for m in measures}))
-    for i, rule in enumerate(rules):
-        aggregates.append(f"count_if({violation(df, rule)}) AS anomaly_{i}")
+            measures = {
+                "count": f"coalesce({column}.count, 0)",
+                "mean": f"{column}.mean",
+                "stddev": deviation(column),
+                "min": f"{column}.low",
+                "max": f"{column}.high",
+            }
+            statistic_rows.append(record(**label, **measures))
+    for place, rule in enumerate(rules):
         anomaly_rows.append(
             record(
                 type=text(rule.type),
                 column=text(rule.column),
-                count=f"anomaly_{i}",
+                count=f"{state}.anomalies[{place}]",
                 description=text(rule.description),
             )
         )
     anomalies = f"CAST({_array(anomaly_rows)} AS {ANOMALY_ROWS})"
-    return df.selectExpr(*aggregates).selectExpr(
-        "total_records",
+    return [
+        f"coalesce({state}.total, 0) AS total_records",
         f"CAST({_array(missing_rows)} AS {MISSING_ROWS}) AS missing",
         f"CAST({_array(statistic_rows)} AS {STATISTIC_ROWS}) AS statistics",
         f"filter({anomalies}, a -> a.count > 0) AS anomalies",
-    )
+    ]
 
 
 def _array(rows: Sequence[str]) -> str:
     return f"array({', '.join(rows)})"
 
 
-def _as_double(value: str, f: StructField) -> str:
-    if isinstance(f.dataType, FloatType):
-        value = f"CAST({value} AS STRING)"  # 0.1f stays 0.1
-    return f"CAST({value} AS DOUBLE)"
-
-
 def basic_metrics(df: DataFrame) -> DataFrame:
     """One row: number of rows and of columns. Reads no column."""
     return df.selectExpr(
@@ -235,12 +239,12 @@ def anomaly_checks(
 def schema_profile(df: DataFrame) -> DataFrame:
     """One row per column with its type name and the number of records that
     have it. Reads no column."""
-    return basic_metrics(df).selectExpr(f"inline({type_listing(df)})", "total_records")
+    return basic_metrics(df).selectExpr(f"inline({type_listing(df.dtypes)})", "total_records")
 
 
-def type_listing(df: DataFrame) -> str:
+def type_listing(dtypes: Sequence[tuple[str, str]]) -> str:
     """Array of (column, data_type) as an expression."""
-    rows = [record(column=text(name), data_type=text(dtype)) for name, dtype in df.dtypes]
+    rows = [record(column=text(name), data_type=text(dtype)) for name, dtype in dtypes]
     return f"CAST({_array(rows)} AS array<struct<column:string,data_type:string>>)"
 
 

@@ -6,23 +6,35 @@ from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructField
 
-from tallyglass.functions.columns import record, text
+from tallyglass.fixed_values import CLEANED_TABLE, RAW_TABLE
+from tallyglass.functions.columns import field, quoted, record, text
 from tallyglass.functions.rounding import percentage
 from tallyglass.functions.time import NOW
+from tallyglass.operators.cleaning import raw_and_cleaned
 from tallyglass.operators.duplicates import (
     duplicate_profile,
     share,
+    surplus_of_both,
     surplus_rows,
     uses_hash,
 )
+from tallyglass.operators.profile_state import Measured, table_states
 from tallyglass.operators.profiling import (
     AnomalyRule,
+    applicable_rules,
+    metrics_of_state,
     table_metrics,
     transaction_anomaly_rules,
     type_listing,
+    violation,
 )
 from tallyglass.operators.quality import score
+from tallyglass.schema import MALFORMED
+
+# A function of the time, so equal rows agree in it anyway.
+READABLE = "timestamp_readable"
 
 
 def quality_report(
@@ -43,59 +55,102 @@ def quality_report(
     hash runs jobs, and the number of rows comes from the first scan.
     """
     rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
-    metrics = table_metrics(df, statistics=statistics, anomaly_rules=rules)
+    metrics = table_metrics(df, statistics=statistics, anomaly_rules=rules).selectExpr("struct(*) AS m")
     compared = df.drop(*derived)
     if uses_hash(compared, duplicates):
-        surplus = surplus_rows(compared)
-        row = metrics.selectExpr("struct(*) AS m").selectExpr(
-            "m", f"{share('m.total_records', surplus)} AS d"
-        )
+        row = metrics.selectExpr("m", f"{surplus_rows(compared)}L AS surplus")
     else:
         copies = duplicate_profile(compared, method="rows")
-        row = (
-            metrics.selectExpr("struct(*) AS m")
-            .unionByName(copies.selectExpr("struct(*) AS d"), allowMissingColumns=True)
-            .selectExpr("first(m, true) AS m", "first(d, true) AS d")
+        row = _beside(metrics, copies.selectExpr("duplicate_count AS surplus"))
+    return row.selectExpr(f"inline(array({_report_of('m', 'surplus', df.dtypes, table_name, report_time)}))")
+
+
+def quality_report_pair(
+    raw: DataFrame,
+    names: tuple[str, str] = (RAW_TABLE, CLEANED_TABLE),
+    report_time: str | None = None,
+    anomaly_rules: Sequence[AnomalyRule] | None = None,
+    statistics: bool = True,
+    duplicates: str = "auto",
+) -> DataFrame:
+    """The reports of a raw table and of what cleaning keeps of it, two rows.
+
+    Cleaning is row-wise, so each measure is taken twice in one scan: over all rows,
+    and over the cleaned columns of those that survive. Identical rows of both tables
+    are counted together in the same way.
+    """
+    rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
+    raw = raw.drop(MALFORMED)
+    flags = {f"raw violates {i}": violation(raw, r) for i, r in enumerate(applicable_rules(raw, rules))}
+    both = raw_and_cleaned(raw, flags)
+    schema = both.rows.schema
+    cleaned = both.rows.select(*map(field, both.cleaned))
+    measured, tables = {}, {}
+    for side, columns, table in (("raw", both.raw, raw), ("cleaned", both.cleaned, cleaned)):
+        fields = [StructField(c, schema[new].dataType) for c, new in columns.items()]
+        own = applicable_rules(table, rules)
+        tables[side] = (fields, own, [(f.name, f.dataType.simpleString()) for f in fields])
+        measured[side] = Measured(
+            [(columns[f.name], f.dataType) for f in fields],
+            [quoted(name) for name in flags] if side == "raw" else [violation(cleaned, r) for r in own],
+            where=both.survives if side == "cleaned" else None,
+            statistics=statistics,
         )
-    measured = row.selectExpr(
-        "m",
-        "d",
-        "size(filter(m.missing, x -> x.missing > 0)) AS null_columns",
-        "size(m.anomalies) AS anomaly_types",
+    states = table_states(both.rows, measured)
+    metrics = states.selectExpr(
+        *[
+            f"struct({', '.join(metrics_of_state(side, list(enumerate(fields)), own, statistics=statistics))}) AS m_{side}"
+            for side, (fields, own, _) in tables.items()
+        ]
     )
+    row = _beside(metrics, surplus_of_both(both, (READABLE,), duplicates))
+    reports = [
+        _report_of(f"m_{side}", f"{side}_surplus", dtypes, name, report_time)
+        for (side, (_, _, dtypes)), name in zip(tables.items(), names)
+    ]
+    return row.selectExpr(f"inline(array({', '.join(reports)}))")
+
+
+def _beside(one: DataFrame, other: DataFrame) -> DataFrame:
+    """Two tables of one row as one row, without a join."""
+    names = [*one.columns, *other.columns]
+    rows = one.unionByName(other, allowMissingColumns=True)
+    return rows.selectExpr(*[f"first({quoted(n)}, true) AS {quoted(n)}" for n in names])
+
+
+def _report_of(
+    m: str, surplus: str, dtypes: Sequence[tuple[str, str]], table_name: str, report_time: str | None
+) -> str:
+    """A report as an expression of the metrics ``m`` and the number of surplus rows."""
+    copies = share(f"{m}.total_records", surplus)
+    null_columns = f"size(filter({m}.missing, x -> x.missing > 0))"
     null_detail = record(
         column="x.column",
         null_count="x.missing",
-        null_percentage=percentage("x.missing", "m.total_records"),
-    )
-    statistic = record(**{m: f"x.{m}" for m in ("count", "mean", "stddev", "min", "max")})
-    type_counts = ", ".join(
-        f"{text(t)}, {n}" for t, n in Counter(t for _, t in df.dtypes).items()
+        null_percentage=percentage("x.missing", f"{m}.total_records"),
     )
-    sections = {
-        "table_name": text(table_name),
-        "timestamp": NOW if report_time is None else text(report_time),
-        "basic_metrics": record(
-            total_records="m.total_records", total_columns=str(len(df.columns))
+    statistic = record(**{n: f"x.{n}" for n in ("count", "mean", "stddev", "min", "max")})
+    type_counts = ", ".join(f"{text(t)}, {n}" for t, n in Counter(t for _, t in dtypes).items())
+    return record(
+        table_name=text(table_name),
+        timestamp=NOW if report_time is None else text(report_time),
+        basic_metrics=record(total_records=f"{m}.total_records", total_columns=str(len(dtypes))),
+        null_analysis=record(
+            null_details=f"transform({m}.missing, x -> {null_detail})",
+            columns_with_nulls=null_columns,
         ),
-        "null_analysis": record(
-            null_details=f"transform(m.missing, x -> {null_detail})",
-            columns_with_nulls="null_columns",
-        ),
-        "duplicate_analysis": "d",
-        "data_types_analysis": record(
-            data_types=type_listing(df),
+        duplicate_analysis=copies,
+        data_types_analysis=record(
+            data_types=type_listing(dtypes),
             type_distribution=f"CAST(map({type_counts}) AS map<string,int>)",
         ),
-        "statistical_analysis": record(
-            numeric_columns="transform(m.statistics, x -> x.column)",
-            statistics="map_from_entries(transform(m.statistics, "
-            f"x -> struct(x.column, {statistic})))",
+        statistical_analysis=record(
+            numeric_columns=f"transform({m}.statistics, x -> x.column)",
+            statistics=f"map_from_entries(transform({m}.statistics, x -> struct(x.column, {statistic})))",
         ),
-        "anomalies": "m.anomalies",
-        "quality_score": score("null_columns", "d.duplicate_percentage", "anomaly_types"),
-    }
-    return measured.selectExpr(*[f"{value} AS {name}" for name, value in sections.items()])
+        anomalies=f"{m}.anomalies",
+        quality_score=score(null_columns, f"{copies}.duplicate_percentage", f"size({m}.anomalies)"),
+    )
 
 
 def report_details(reports: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from tallyglass.operators.quality import (
     quality_gate,
     threshold_rules,
 )
-from tallyglass.plans.report import quality_report
+from tallyglass.plans.report import READABLE, quality_report, quality_report_pair
 from tallyglass.schema import MALFORMED, TXN_SCHEMA
 from tallyglass.session import input_bytes, own_session, remove_folder, shared_folder
 from tallyglass.sources.results import (
@@ -171,22 +171,16 @@ def _checks(
 ) -> dict[str, DataFrame]:
     """Reports on both tables, and what follows from them."""
     rules = transaction_anomaly_rules(options.reference_epoch)
-    raw_report, cleaned_report = (
-        quality_report(
-            table,
-            name,
-            options.report_time,
-            rules,
-            duplicates=options.duplicates,
-            derived=derived,
-        )
-        for table, name, derived in (
-            (raw, RAW_TABLE, ()),
-            (cleaned, CLEANED_TABLE, ("timestamp_readable",)),
+    if options.keep_cleaned:
+        pair = quality_report(raw, RAW_TABLE, options.report_time, rules, duplicates=options.duplicates).unionByName(
+            quality_report(
+                cleaned, CLEANED_TABLE, options.report_time, rules, duplicates=options.duplicates, derived=(READABLE,)
+            )
         )
-    )
+    else:
+        pair = quality_report_pair(raw, report_time=options.report_time, anomaly_rules=rules, duplicates=options.duplicates)
     base = root.rstrip("/")
-    reports = land(raw_report.unionByName(cleaned_report), f"{base}/{REPORT}_parquet")
+    reports = land(pair, f"{base}/{REPORT}_parquet")
     write_quality_report(reports, root)
     write_quality_summary(reports, root)
     run_report = land(

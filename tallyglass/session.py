@@ -52,6 +52,15 @@ def input_bytes(df: DataFrame) -> int:
     return sum(s for s in sizes if s < UNKNOWN_BYTES)
 
 
+def is_plain_scan(df: DataFrame) -> bool:
+    """``df`` is files less some rows and columns, so that reading it again costs a
+    pruned scan and no join, grouping or generated row."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def own_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     """A prepared session for one run: same cluster and settings, but what the run
     sets neither stays behind nor meets another run."""

@@ -84,15 +84,19 @@ def test_columns_named_like_the_helpers(spark, method):
     assert profile(df, method) == (3, 2, 1, 33.33)
 
 
-def test_auto_follows_the_schema_not_the_size(spark, monkeypatch):
+def test_auto_follows_schema_and_plan_not_the_size(spark, monkeypatch, tmp_path):
     from tallyglass.operators import duplicates
 
     used = []
     monkeypatch.setattr(duplicates, "_by_hash", lambda df, total: used.append("hash"))
     monkeypatch.setattr(duplicates, "_by_rows", lambda df: used.append("rows"))
-    for rows in (0, 10, 10**15):
-        duplicates.duplicate_profile(spark.range(rows))
-    assert used == ["hash"] * 3
+    for rows in (1, 10, 10**4):
+        spark.range(rows).write.parquet(f"{tmp_path}/{rows}")
+        files = spark.read.parquet(f"{tmp_path}/{rows}")
+        duplicates.duplicate_profile(files.filter("id > 3").selectExpr("id", "id % 3 AS k"))
+        duplicates.duplicate_profile(files.join(files.distinct(), "id"))
+        duplicates.duplicate_profile(files.selectExpr("explode(array(id, id)) AS id"))
+    assert used == ["hash", "rows", "rows"] * 3
 
 
 def test_listing_is_removed_and_total_taken(spark, tmp_path, monkeypatch):

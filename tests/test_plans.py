@@ -5,7 +5,8 @@ import re
 import pytest
 
 from tallyglass.operators import analytics, cleaning, duplicates, profiling
-from tallyglass.plans.report import quality_report
+from tallyglass.operators.profile_state import Measured, table_states
+from tallyglass.plans.report import quality_report, quality_report_pair
 
 import __spark_entry__ as registry
 
@@ -88,12 +89,38 @@ def test_copies_collapse_before_the_shuffle(table):
     assert plan.index("Exchange hashpartitioning") < plan.rindex("HashAggregate")
 
 
-def test_hash_lookup_sorts_both_sides(table):
+def test_hash_lookup_sends_short_lists_and_sorts_long_ones(spark, table, tmp_path):
     hashed = duplicates.with_hash(table, "h")
-    compared = plan_of(duplicates.rows_with(hashed, hashed.select("h").distinct(), "h"))
+    hashed.select("h").distinct().write.parquet(f"{tmp_path}/listing")
+    listing = spark.read.parquet(f"{tmp_path}/listing")
+    compared = plan_of(duplicates.rows_with(hashed, listing, "h"))
+    assert "BroadcastHashJoin" in compared and "hashpartitioning" not in compared
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        compared = plan_of(duplicates.rows_with(hashed, listing, "h"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in compared and "LeftSemi" in compared and "Broadcast" not in compared
 
 
+def test_pair_of_reports_measures_in_one_scan(table, spark):
+    plan = plan_of(quality_report_pair(table, report_time="T0", duplicates="rows"))
+    assert plan.count("FileScan") == 2  # measures of both tables; identical rows of both
+    both = cleaning.raw_and_cleaned(table)
+    measured = {
+        "raw": Measured([(both.raw["amount"], table.schema["amount"].dataType)]),
+        "cleaned": Measured([("amount", table.schema["amount"].dataType)], where=both.survives),
+    }
+    plan = plan_of(table_states(both.rows, measured))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == ["SinglePartition"]
+
+
+def test_measures_of_many_tasks_are_merged_in_two_steps(table):
+    fields = [(f.name, f.dataType) for f in table.schema]
+    plan = plan_of(table_states(table, {"state": Measured(fields)}, most_partial_rows=0))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == ["SinglePartition", "hashpartitioning"]
+
+
 def test_report_is_two_scans(table):
     assert plan_of(quality_report(table, "t", "T0", duplicates="rows")).count("FileScan") == 2
 
