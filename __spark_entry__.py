@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,22 @@ from tallyglass import fixed_values as fixed
 from tallyglass.fixtures import dirty_transactions
 from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality
 from tallyglass.plans.report import quality_report, quality_report_pair, report_details
-from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, full_run
-from tallyglass.schema import TXN_SCHEMA
+from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, RunResult, full_run
+from tallyglass.schema import MALFORMED, TXN_SCHEMA
 from tallyglass.session import input_bytes, prepare, shared_folder
 from tallyglass.sources import results
-from tallyglass.sources.transactions import load_transactions
+from tallyglass.sources.transactions import land, load_transactions
+from tallyglass.streaming.scheduled import INPUT_FILE, RunState, scheduled_run
 
+# The library works without that subpackage; a library that it lacks is no reason to go on.
 try:
+    has_corpus = all(map(importlib.util.find_spec, ("tallyglass.llm.queries", "corpus_pipeline")))
+except ModuleNotFoundError:  # not even the package
+    has_corpus = False
+if has_corpus:
     import corpus_pipeline
     from tallyglass.llm import queries as corpus
-except ImportError:  # the library works without that subpackage
+else:
     corpus = corpus_pipeline = None
 
 REPORT_TIME = "2024-01-01T00:00:00.000000"
@@ -213,7 +220,47 @@ def _full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark)
     source = f"{root}/input"
     results.write_csv(_tx(spark, sf_dir), source)
-    run = full_run(spark, source, f"{root}/results", RunOptions(report_time=REPORT_TIME))
+    return _run_rows(full_run(spark, source, f"{root}/results", RunOptions(report_time=REPORT_TIME)))
+
+
+def _in_three(spark: SparkSession, sf_dir: str, start: Callable[[str, int], None]) -> None:
+    """The records as CSV files that arrive in three steps; ``start`` is called after each."""
+    folder = shared_folder(spark)
+    numbered = land(_tx(spark, sf_dir).withColumn("number", F.monotonically_increasing_id()), f"{folder}/all")
+    for step in range(3):
+        results.write_csv(numbered.filter(f"number % 3 = {step}").drop("number"), f"{folder}/in/part-{step}")
+        start(f"{folder}/in/*", step)
+
+
+def _scheduled_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``_full_run``, from three starts of which each reads new files only."""
+    root, runs = shared_folder(spark), []
+    options = RunOptions(report_time=REPORT_TIME)
+    _in_three(spark, sf_dir, lambda source, _: runs.append(scheduled_run(spark, source, root, options)))
+    return _run_rows(runs[-1])
+
+
+def _from_parts(result: Callable[[RunState, SparkSession], DataFrame]):
+    """A result from the states of three batches, the second of which comes twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = shared_folder(spark)
+        state = RunState(f"{folder}/out", RunOptions(drop_nan=True))
+        numbered = land(_tx(spark, sf_dir).withColumn("number", F.monotonically_increasing_id()), f"{folder}/all")
+        for batch in (0, 1, 1, 2):
+            rows = numbered.filter(f"number % 3 = {batch}").drop("number")
+            state.add(rows.withColumns({c: F.lit(None).cast("string") for c in (MALFORMED, INPUT_FILE)}), batch)
+        return result(state, spark)
+
+    return query
+
+
+def _duplicates_of_state(state: RunState, spark: SparkSession) -> DataFrame:
+    """Those of the raw table."""
+    return state.reports(spark).filter(f"table_name = '{fixed.RAW_TABLE}'").select("duplicate_analysis.*")
+
+
+def _run_rows(run: RunResult) -> DataFrame:
     audit = ("initial_records", "removed_malformed", "removed_null_critical", "removed_non_positive_amount", "final_records")
     parts = [
         (report_details(run.reports), "section", "table_name", "item", {"": ("measure", "value")}),
@@ -332,6 +379,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "execution_report": _execution_report,
         "results_present": _results_present,
         "full_run": _full_run,
+        # scheduled runs
+        "scheduled_run": _scheduled_run,
+        "latest_sale_incremental": _from_parts(lambda state, spark: state.latest_sales(spark)),
+        "location_risk_incremental": _from_parts(lambda state, spark: _six_digits(state.location_risk(spark))),
+        "duplicate_profile_incremental": _from_parts(_duplicates_of_state),
+        "clean_audit_incremental": _from_parts(lambda state, spark: state.clean_audit(spark)),
     }
 
 
@@ -806,5 +859,10 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{fixed.SALES_RESULT}', true, least(3, count(*)), true FROM ({_LATEST})"
         ),
         "full_run": _full_run_sql(present),
+        "scheduled_run": _full_run_sql(present),
+        "latest_sale_incremental": f"{clean} {_LATEST}",
+        "duplicate_profile_incremental": f"{tx} {_duplicates_sql('tx')}",
     }
+    oracle["location_risk_incremental"] = oracle["location_risk_drop_nan"]
+    oracle["clean_audit_incremental"] = oracle["clean_audit"]
     return oracle | (corpus.oracle_sql() if corpus else {})

@@ -14,7 +14,7 @@ from tallyglass.fixed_values import (
     SALES_RESULT_COLUMNS,
     TOP_ADDRESSES,
 )
-from tallyglass.functions.columns import field, quoted
+from tallyglass.functions.columns import field, quoted, unused
 from tallyglass.functions.rounding import round_scaled
 from tallyglass.schema import require_columns
 
@@ -74,8 +74,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     """
     require_columns(df, keys)
     window = Window.partitionBy(*[field(k) for k in keys]).orderBy(*order)
-    numbered = df.withColumn("row_number_in_key", F.row_number().over(window))
-    return numbered.filter(F.col("row_number_in_key") == 1).drop("row_number_in_key")
+    number = unused(df, "row_number_in_key")
+    return df.withColumn(number, F.row_number().over(window)).filter(F.col(number) == 1).drop(number)
 
 
 def latest_sale_per_address(df: DataFrame) -> DataFrame:

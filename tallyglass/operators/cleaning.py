@@ -122,14 +122,17 @@ class BothTables:
     survives: str
 
 
-def raw_and_cleaned(df: DataFrame, flags: dict[str, str] | None = None) -> BothTables:
+def raw_and_cleaned(
+    df: DataFrame, flags: dict[str, str] | None = None, carried: Sequence[str] = ()
+) -> BothTables:
     """Row-wise, so one scan of ``df`` serves both tables. ``flags`` are further columns of
-    the rows, by expressions of raw columns."""
+    the rows, by expressions of raw columns; ``carried`` are columns of neither table."""
     df = df.drop(MALFORMED)
     flags = {name: F.expr(value) for name, value in (flags or {}).items()}
-    raw = {c: unused(df, f"raw {c}") for c in df.columns}
+    raw = {c: unused(df, f"raw {c}") for c in df.columns if c not in carried}
     typed = _typed(df.withColumns({**{new: field(c) for c, new in raw.items()}, **flags}))
-    cleaned = [c for c in typed.columns if c not in raw.values() and c not in flags]
+    others = {*raw.values(), *flags, *carried}
+    cleaned = [c for c in typed.columns if c not in others]
     survives = unused(typed, "survives cleaning")
     kept = f"({all_present(CRITICAL_COLUMNS)} AND {number('amount', typed.schema['amount'].dataType)} > 0)"
     rows = cast_to_string(typed.withColumn(survives, F.expr(f"coalesce({kept}, false)")))

@@ -177,32 +177,32 @@ def surplus_rows(df: DataFrame) -> int:
     return surplus
 
 
+def versions(
+    both: BothTables, derived: Sequence[str] = (), hashed: bool = True, whole: bool = True, carried: Sequence[str] = ()
+) -> DataFrame:
+    """A row for each of the two tables that has it: side (0 raw, 1 cleaned), its hash or 0,
+    the row itself in raw or cleaned if ``whole``, and the columns ``carried``."""
+    rows, parts = comparable(both.rows), []
+    for i, columns in enumerate((both.raw, both.cleaned)):
+        own = ", ".join(quoted(new) for c, new in columns.items() if c not in derived)
+        row = {"raw": f"struct({own})" if i == 0 else "NULL", "cleaned": f"struct({own})" if i == 1 else "NULL"}
+        others = {c: quoted(c) for c in carried}
+        value = f"xxhash64({own})" if hashed else "0L"
+        parts.append(record(side=str(i), hash=value, **(row if whole else {}), **others))
+    return rows.selectExpr(f"inline(array_compact(array({parts[0]}, IF({quoted(both.survives)}, {parts[1]}, NULL))))")
+
+
 def surplus_of_both(both: BothTables, derived: Sequence[str] = (), method: str = "auto") -> DataFrame:
     """One row: how many rows of the raw and of the cleaned table repeat an earlier one
     (raw_surplus, cleaned_surplus). The methods are those of ``duplicate_profile``; either
     looks at both tables in the same scans."""
-    sides = [
-        [new for c, new in columns.items() if c not in derived]
-        for columns in (both.raw, both.cleaned)
-    ]
-    rows = comparable(both.rows)
-    named = [f"struct({', '.join(map(quoted, side))})" for side in sides]
     by_hash = uses_hash(both.rows, method)
-    hashes = [f"xxhash64({', '.join(map(quoted, side))})" if by_hash else "0L" for side in sides]
-
-    def versions(whole: bool) -> DataFrame:
-        """A row for each table that has it: side, hash and, if asked for, the row."""
-        parts = []
-        for i, value in enumerate(hashes):
-            own = {"raw": named[0] if i == 0 else "NULL", "cleaned": named[1] if i == 1 else "NULL"}
-            parts.append(record(side=str(i), hash=value, **(own if whole else {})))
-        return rows.selectExpr(f"inline(array_compact(array({parts[0]}, IF({quoted(both.survives)}, {parts[1]}, NULL))))")
-
-    found = versions(whole=True)
-    folder = None
+    found, folder = versions(both, derived, by_hash), None
+    spark = both.rows.sparkSession
     if by_hash:
-        spark, folder = rows.sparkSession, shared_folder(rows.sparkSession)
-        listing = versions(whole=False).groupBy("side", "hash").count().filter("count > 1").select("side", "hash")
+        folder = shared_folder(spark)
+        hashes = versions(both, derived, whole=False)
+        listing = hashes.groupBy("side", "hash").count().filter("count > 1").select("side", "hash")
         listing.write.parquet(folder)
         found = rows_with(found, spark.read.schema(listing.schema).parquet(folder), ("side", "hash"))
     groups = found.groupBy("side", "raw", "cleaned").count()
@@ -211,8 +211,8 @@ def surplus_of_both(both: BothTables, derived: Sequence[str] = (), method: str =
     if folder is None:
         return result
     known = result.first()
-    remove_folder(rows.sparkSession, folder)
-    return rows.sparkSession.range(1).selectExpr(f"{known[0]}L AS raw_surplus", f"{known[1]}L AS cleaned_surplus")
+    remove_folder(spark, folder)
+    return spark.range(1).selectExpr(f"{known[0]}L AS raw_surplus", f"{known[1]}L AS cleaned_surplus")
 
 
 def share(total: str, surplus: int | str) -> str:

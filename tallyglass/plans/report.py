@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField
@@ -12,7 +13,7 @@ from tallyglass.fixed_values import CLEANED_TABLE, RAW_TABLE
 from tallyglass.functions.columns import field, quoted, record, text
 from tallyglass.functions.rounding import percentage
 from tallyglass.functions.time import NOW
-from tallyglass.operators.cleaning import raw_and_cleaned
+from tallyglass.operators.cleaning import BothTables, raw_and_cleaned
 from tallyglass.operators.duplicates import (
     duplicate_profile,
     share,
@@ -79,36 +80,68 @@ def quality_report_pair(
     and over the cleaned columns of those that survive. Identical rows of both tables
     are counted together in the same way.
     """
-    rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
-    raw = raw.drop(MALFORMED)
-    flags = {f"raw violates {i}": violation(raw, r) for i, r in enumerate(applicable_rules(raw, rules))}
-    both = raw_and_cleaned(raw, flags)
-    schema = both.rows.schema
-    cleaned = both.rows.select(*map(field, both.cleaned))
-    measured, tables = {}, {}
-    for side, columns, table in (("raw", both.raw, raw), ("cleaned", both.cleaned, cleaned)):
-        fields = [StructField(c, schema[new].dataType) for c, new in columns.items()]
-        own = applicable_rules(table, rules)
-        tables[side] = (fields, own, [(f.name, f.dataType.simpleString()) for f in fields])
-        measured[side] = Measured(
-            [(columns[f.name], f.dataType) for f in fields],
-            [quoted(name) for name in flags] if side == "raw" else [violation(cleaned, r) for r in own],
-            where=both.survives if side == "cleaned" else None,
-            statistics=statistics,
+    measures = PairMeasures.of(raw, anomaly_rules, statistics)
+    states = table_states(measures.both.rows, measures.measured)
+    surplus = surplus_of_both(measures.both, (READABLE,), duplicates)
+    return measures.reports(states, surplus, names, report_time)
+
+
+@dataclass(frozen=True)
+class PairMeasures:
+    """What is measured of a raw table and of what cleaning keeps of it."""
+
+    both: BothTables
+    measured: dict[str, Measured]
+    fields: dict[str, list[StructField]]
+    rules: dict[str, list[AnomalyRule]]
+    statistics: bool
+
+    @classmethod
+    def of(
+        cls,
+        raw: DataFrame,
+        anomaly_rules: Sequence[AnomalyRule] | None = None,
+        statistics: bool = True,
+        carried: Sequence[str] = (),
+    ) -> PairMeasures:
+        """``carried`` names columns of ``raw`` that are no part of the tables."""
+        rules = transaction_anomaly_rules() if anomaly_rules is None else anomaly_rules
+        raw = raw.drop(MALFORMED)
+        flags = {f"raw violates {i}": violation(raw, r) for i, r in enumerate(applicable_rules(raw, rules))}
+        both = raw_and_cleaned(raw, flags, carried)
+        schema = both.rows.schema
+        cleaned = both.rows.select(*map(field, both.cleaned))
+        applied = {"raw": applicable_rules(raw, rules), "cleaned": applicable_rules(cleaned, rules)}
+        fields, measured = {}, {}
+        for side, columns in (("raw", both.raw), ("cleaned", both.cleaned)):
+            fields[side] = [StructField(c, schema[new].dataType) for c, new in columns.items()]
+            measured[side] = Measured(
+                [(new, schema[new].dataType) for new in columns.values()],
+                [*map(quoted, flags)] if side == "raw" else [violation(cleaned, r) for r in applied[side]],
+                where=both.survives if side == "cleaned" else None,
+                statistics=statistics,
+            )
+        return cls(both, measured, fields, applied, statistics)
+
+    def reports(
+        self, states: DataFrame, surplus: DataFrame, names: tuple[str, str] = (RAW_TABLE, CLEANED_TABLE), report_time: str | None = None
+    ) -> DataFrame:
+        """The two reports from one row of states (raw, cleaned) and one of surplus rows
+        (raw_surplus, cleaned_surplus)."""
+        metrics = {
+            side: metrics_of_state(side, list(enumerate(fields)), self.rules[side], statistics=self.statistics)
+            for side, fields in self.fields.items()
+        }
+        row = _beside(
+            states.selectExpr(*[f"struct({', '.join(m)}) AS m_{side}" for side, m in metrics.items()]), surplus
         )
-    states = table_states(both.rows, measured)
-    metrics = states.selectExpr(
-        *[
-            f"struct({', '.join(metrics_of_state(side, list(enumerate(fields)), own, statistics=statistics))}) AS m_{side}"
-            for side, (fields, own, _) in tables.items()
+        reports = [
+            _report_of(
+                f"m_{side}", f"{side}_surplus", [(f.name, f.dataType.simpleString()) for f in fields], name, report_time
+            )
+            for (side, fields), name in zip(self.fields.items(), names)
         ]
-    )
-    row = _beside(metrics, surplus_of_both(both, (READABLE,), duplicates))
-    reports = [
-        _report_of(f"m_{side}", f"{side}_surplus", dtypes, name, report_time)
-        for (side, (_, _, dtypes)), name in zip(tables.items(), names)
-    ]
-    return row.selectExpr(f"inline(array({', '.join(reports)}))")
+        return row.selectExpr(f"inline(array({', '.join(reports)}))")
 
 
 def _beside(one: DataFrame, other: DataFrame) -> DataFrame:

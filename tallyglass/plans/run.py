@@ -128,21 +128,8 @@ def full_run(
     audit = land(clean_audit(received), f"{base}/{AUDIT}_parquet")
 
     risk = location_risk(cleaned, drop_nan=options.drop_nan)
-    rounded = {"avg_risk_score": RISK_DIGITS}
     sales = top_sale_addresses(cleaned, options.top)
-    exact = {}
-    for name, result, digits, order in (
-        (RISK_RESULT, risk, rounded, highest_risk_first()),
-        (SALES_RESULT, sales, None, largest_sale_first()),
-    ):
-        folder = result_path(root, name, "parquet") if "parquet" in options.formats else f"{base}/exact/{name}"
-        write_result(
-            result, root, name, options.formats, digits, nan_as_null=True, order=order, exact_path=folder
-        )
-        exact[name] = spark.read.schema(result.schema).parquet(folder)
-    present = land(
-        results_present(spark, root, EXPECTED_RESULTS, options.formats[0]), f"{base}/{PRESENT}_parquet"
-    )
+    exact, present = write_analyses(spark, root, risk, sales, options)
     complete = present.filter("NOT (present AND columns_ok)").isEmpty()
     kept = cleaned
     if options.cleanup and not columnar and not options.keep_cleaned:
@@ -155,32 +142,47 @@ def full_run(
         "audit": audit,
         "results_complete": complete,
     }
-    checked = _checks(spark, root, raw, cleaned, options, complete) if options.quality_checks else {}
+    checked = {}
+    if options.quality_checks:
+        checked = write_reports(spark, root, _pair(raw, cleaned, options), options, complete)
     if options.cleanup and not columnar:
         remove_folder(spark, landed)
     return RunResult(**common, **checked)
 
 
-def _checks(
-    spark: SparkSession,
-    root: str,
-    raw: DataFrame,
-    cleaned: DataFrame,
-    options: RunOptions,
-    complete: bool,
-) -> dict[str, DataFrame]:
-    """Reports on both tables, and what follows from them."""
-    rules = transaction_anomaly_rules(options.reference_epoch)
-    if options.keep_cleaned:
-        pair = quality_report(raw, RAW_TABLE, options.report_time, rules, duplicates=options.duplicates).unionByName(
-            quality_report(
-                cleaned, CLEANED_TABLE, options.report_time, rules, duplicates=options.duplicates, derived=(READABLE,)
-            )
+def write_analyses(
+    spark: SparkSession, root: str, risk: DataFrame, sales: DataFrame, options: RunOptions
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Write both analyses; returns them as written, unrounded, and which are present."""
+    base, exact = root.rstrip("/"), {}
+    for name, result, digits, order in (
+        (RISK_RESULT, risk, {"avg_risk_score": RISK_DIGITS}, highest_risk_first()),
+        (SALES_RESULT, sales, None, largest_sale_first()),
+    ):
+        folder = result_path(root, name, "parquet") if "parquet" in options.formats else f"{base}/exact/{name}"
+        write_result(
+            result, root, name, options.formats, digits, nan_as_null=True, order=order, exact_path=folder
         )
-    else:
-        pair = quality_report_pair(raw, report_time=options.report_time, anomaly_rules=rules, duplicates=options.duplicates)
+        exact[name] = spark.read.schema(result.schema).parquet(folder)
+    present = results_present(spark, root, EXPECTED_RESULTS, options.formats[0])
+    return exact, land(present, f"{base}/{PRESENT}_parquet")
+
+
+def _pair(raw: DataFrame, cleaned: DataFrame, options: RunOptions) -> DataFrame:
+    rules = transaction_anomaly_rules(options.reference_epoch)
+    common = {"report_time": options.report_time, "anomaly_rules": rules, "duplicates": options.duplicates}
+    if not options.keep_cleaned:
+        return quality_report_pair(raw, **common)
+    cleaned_report = quality_report(cleaned, CLEANED_TABLE, derived=(READABLE,), **common)
+    return quality_report(raw, RAW_TABLE, **common).unionByName(cleaned_report)
+
+
+def write_reports(
+    spark: SparkSession, root: str, reports: DataFrame, options: RunOptions, complete: bool
+) -> dict[str, DataFrame]:
+    """Write the reports of both tables, and what follows from them."""
     base = root.rstrip("/")
-    reports = land(pair, f"{base}/{REPORT}_parquet")
+    reports = land(reports, f"{base}/{REPORT}_parquet")
     write_quality_report(reports, root)
     write_quality_summary(reports, root)
     run_report = land(

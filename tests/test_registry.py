@@ -14,7 +14,7 @@ import __spark_entry__ as registry
 OF_CORPUS = re.compile(r"op\d+_|pipeline$")
 QUERIES = {n: q for n, q in registry.queries().items() if not OF_CORPUS.match(n)}
 ORACLES = {n: q for n, q in registry.oracle_sql().items() if not OF_CORPUS.match(n)}
-WITHOUT_SQL = {"quality_report"}  # nested; quality_report_details checks its content
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +34,7 @@ def comparable(value):
     return repr(value)
 
 
-def test_only_nested_results_lack_sql():
+def test_every_query_has_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
     assert set(ORACLES) <= set(QUERIES)
 
@@ -53,7 +53,7 @@ def test_query_matches_sql(spark, engine, sf_dir, name):
 
 
 def test_nested_report_has_both_tables(spark, sf_dir):
-    rows = QUERIES["quality_report"](spark, sf_dir).collect()
+    rows = registry._reports_apart(spark, sf_dir).collect()
     assert [r.table_name for r in rows] == ["raw_data", "cleaned_data"]
 
 
