@@ -114,12 +114,14 @@ def clean_transactions(df: DataFrame) -> DataFrame:
 class BothTables:
     """Every raw row beside what cleaning makes of it. ``raw`` and ``cleaned`` give for
     each column of these tables its name in ``rows``; ``survives`` names the flag of
-    the rows that cleaning keeps."""
+    the rows that cleaning keeps, ``changed`` the cleaned columns with other values
+    than the raw one of that name."""
 
     rows: DataFrame
     raw: dict[str, str]
     cleaned: dict[str, str]
     survives: str
+    changed: frozenset[str]
 
 
 def raw_and_cleaned(
@@ -136,7 +138,9 @@ def raw_and_cleaned(
     survives = unused(typed, "survives cleaning")
     kept = f"({all_present(CRITICAL_COLUMNS)} AND {number('amount', typed.schema['amount'].dataType)} > 0)"
     rows = cast_to_string(typed.withColumn(survives, F.expr(f"coalesce({kept}, false)")))
-    return BothTables(rows, raw, dict(zip(cleaned, cleaned)), survives)
+    texts = {c for c in raw if isinstance(df.schema[c].dataType, StringType)}
+    same = (texts | (set(raw) - {*STANDARD_TEXT_COLUMNS})) - (texts & set(NUMBERS)) - {"risk_score"}
+    return BothTables(rows, raw, dict(zip(cleaned, cleaned)), survives, frozenset(cleaned) - same)
 
 
 def clean_audit(df: DataFrame) -> DataFrame:

@@ -181,15 +181,26 @@ def versions(
     both: BothTables, derived: Sequence[str] = (), hashed: bool = True, whole: bool = True, carried: Sequence[str] = ()
 ) -> DataFrame:
     """A row for each of the two tables that has it: side (0 raw, 1 cleaned), its hash or 0,
-    the row itself in raw or cleaned if ``whole``, and the columns ``carried``."""
-    rows, parts = comparable(both.rows), []
-    for i, columns in enumerate((both.raw, both.cleaned)):
-        own = ", ".join(quoted(new) for c, new in columns.items() if c not in derived)
-        row = {"raw": f"struct({own})" if i == 0 else "NULL", "cleaned": f"struct({own})" if i == 1 else "NULL"}
-        others = {c: quoted(c) for c in carried}
-        value = f"xxhash64({own})" if hashed else "0L"
-        parts.append(record(side=str(i), hash=value, **(row if whole else {}), **others))
-    return rows.selectExpr(f"inline(array_compact(array({parts[0]}, IF({quoted(both.survives)}, {parts[1]}, NULL))))")
+    if ``whole`` the row itself in columns of which those of the other table are null
+    (``compared_columns``), and the columns ``carried``."""
+    rows, sides = comparable(both.rows), []
+    for columns in (both.raw, both.cleaned):
+        sides.append([quoted(new) for c, new in columns.items() if c not in derived])
+    parts = []
+    for i, own in enumerate(sides):
+        cells = {
+            f"{side}_{j}": value if k == i else "NULL"
+            for k, side in enumerate(("raw", "cleaned"))
+            for j, value in enumerate(sides[k])
+        }
+        value = f"xxhash64({', '.join(own)})" if hashed else "0L"
+        parts.append(record(side=str(i), hash=value, **(cells if whole else {}), **{c: quoted(c) for c in carried}))
+    return rows.selectExpr(f"inline(IF({quoted(both.survives)}, array({', '.join(parts)}), array({parts[0]})))")
+
+
+def compared_columns(found: DataFrame) -> list[str]:
+    """Columns of ``versions`` in which equal rows agree."""
+    return [c for c in found.columns if c == "side" or c.startswith(("raw_", "cleaned_"))]
 
 
 def surplus_of_both(both: BothTables, derived: Sequence[str] = (), method: str = "auto") -> DataFrame:
@@ -205,7 +216,7 @@ def surplus_of_both(both: BothTables, derived: Sequence[str] = (), method: str =
         listing = hashes.groupBy("side", "hash").count().filter("count > 1").select("side", "hash")
         listing.write.parquet(folder)
         found = rows_with(found, spark.read.schema(listing.schema).parquet(folder), ("side", "hash"))
-    groups = found.groupBy("side", "raw", "cleaned").count()
+    groups = found.groupBy(*compared_columns(found)).count()
     surplus = [f"coalesce(sum(count - 1) FILTER (WHERE side = {i}), 0)" for i in (0, 1)]
     result = groups.selectExpr(f"{surplus[0]} AS raw_surplus", f"{surplus[1]} AS cleaned_surplus")
     if folder is None:

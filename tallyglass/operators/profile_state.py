@@ -28,9 +28,10 @@ from tallyglass.functions.columns import is_missing, quoted, record
 from tallyglass.session import input_bytes
 
 STATISTIC_TYPES = (DoubleType, FloatType, IntegerType, LongType)
-COLUMN_STATE = (
-    "struct<missing:bigint,count:bigint,mean:double,m2:double,low:double,high:double>"
-)
+MEASURES = {
+    "missing": "bigint", "count": "bigint", "mean": "double", "m2": "double", "low": "double", "high": "double",
+}
+COLUMN_STATE = f"struct<{','.join(f'{m}:{kind}' for m, kind in MEASURES.items())}>"
 STATE = f"struct<total:bigint,columns:array<{COLUMN_STATE}>,anomalies:array<bigint>>"
 
 # Partial rows that one task merges at most, and buckets of tasks beyond that: with N
@@ -41,12 +42,10 @@ BUCKETS = 1024
 
 @dataclass(frozen=True)
 class Measured:
-    """Columns of a table, by the names they have in the scanned one, conditions that
-    violate a rule, and which rows take part (all without ``where``)."""
+    """Columns, by their names in the scanned table, and conditions that violate a rule."""
 
     columns: Sequence[tuple[str, DataType]]
     violations: Sequence[str] = ()
-    where: str | None = None
     missing: bool = True
     statistics: bool = True
 
@@ -54,12 +53,11 @@ class Measured:
 def state_aggregates(measured: Measured, prefix: str) -> tuple[list[str], str]:
     """Aggregate expressions, each with a name that starts with ``prefix``, and the
     state as an expression of these names."""
-    rows = f" FILTER (WHERE {quoted(measured.where)})" if measured.where else ""
-    aggregates, columns = [f"count(1){rows} AS {prefix}total"], []
+    aggregates, columns = [f"count(1) AS {prefix}total"], []
     for i, (name, dtype) in enumerate(measured.columns):
-        value, state = quoted(name), dict.fromkeys(("missing", "count", "mean", "m2", "low", "high"), "NULL")
+        value, state = quoted(name), {m: f"CAST(NULL AS {kind})" for m, kind in MEASURES.items()}
         if measured.missing:
-            aggregates.append(f"count_if({is_missing(name, dtype)}){rows} AS {prefix}missing_{i}")
+            aggregates.append(f"count_if({is_missing(name, dtype)}) AS {prefix}missing_{i}")
             state["missing"] = f"{prefix}missing_{i}"
         if measured.statistics and isinstance(dtype, STATISTIC_TYPES):
             measures = {
@@ -69,7 +67,7 @@ def state_aggregates(measured: Measured, prefix: str) -> tuple[list[str], str]:
                 "low": f"min({value})",
                 "high": f"max({value})",
             }
-            aggregates += [f"{call}{rows} AS {prefix}{m}_{i}" for m, call in measures.items()]
+            aggregates += [f"{call} AS {prefix}{m}_{i}" for m, call in measures.items()]
             state |= {
                 "count": f"{prefix}count_{i}",
                 "mean": f"{prefix}mean_{i}",
@@ -79,10 +77,20 @@ def state_aggregates(measured: Measured, prefix: str) -> tuple[list[str], str]:
             }
         columns.append(record(**state))
     for i, condition in enumerate(measured.violations):
-        aggregates.append(f"count_if({condition}){rows} AS {prefix}anomaly_{i}")
-    anomalies = ", ".join(f"{prefix}anomaly_{i}" for i in range(len(measured.violations)))
-    state = record(total=f"{prefix}total", columns=f"array({', '.join(columns)})", anomalies=f"array({anomalies})")
-    return aggregates, f"CAST({state} AS {STATE})"
+        aggregates.append(f"count_if({condition}) AS {prefix}anomaly_{i}")
+    anomalies = [f"{prefix}anomaly_{i}" for i in range(len(measured.violations))]
+    # No cast of the whole: Spark then sees through the struct, and who reads a field of it
+    # reads one aggregate.
+    state = record(
+        total=f"{prefix}total",
+        columns=state_array(columns, COLUMN_STATE),
+        anomalies=state_array(anomalies, "bigint"),
+    )
+    return aggregates, state
+
+
+def state_array(items: list[str], kind: str) -> str:
+    return f"array({', '.join(items)})" if items else f"CAST(array() AS array<{kind}>)"
 
 
 def _as_double(value: str, dtype: DataType) -> str:
@@ -109,28 +117,31 @@ def scan_tasks(df: DataFrame) -> int:
     return math.ceil(input_bytes(df) / size)
 
 
-def table_states(df: DataFrame, measured: dict[str, Measured], most_partial_rows: int = MOST_PARTIAL_ROWS) -> DataFrame:
-    """One row with a state of the whole table per entry of ``measured``."""
+def table_states(
+    df: DataFrame, measured: dict[str, Measured], *keys: str, most_partial_rows: int = MOST_PARTIAL_ROWS
+) -> DataFrame:
+    """One row with a state of the whole table per entry of ``measured``, or one for each
+    value of the key columns, of which there have to be few."""
     if scan_tasks(df) <= most_partial_rows:
-        return states_by(df, measured)
+        return states_by(df, measured, *keys)
     bucket = "bucket of tasks"
     tasks = df.withColumn(bucket, F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(BUCKETS)))
-    return _merged(states_by(tasks, measured, bucket), list(measured))
+    return merged(states_by(tasks, measured, bucket, *keys), list(measured), *keys)
 
 
-def merge_states(states: DataFrame, names: Sequence[str], rows: int | None = None) -> DataFrame:
-    """One row: the states of all rows of ``states`` merged, column by column. The first
-    merge is spread over as many tasks as the root of the number of rows."""
-    rows = states.count() if rows is None else rows
-    tasks = max(1, math.ceil(math.sqrt(rows)))
+def merge_states(states: DataFrame, names: Sequence[str], *keys: str) -> DataFrame:
+    """The states of all rows of ``states`` merged, column by column, for each value of the
+    key columns. The first merge is spread over as many tasks as the root of the number
+    of rows."""
+    tasks = max(1, math.ceil(math.sqrt(states.count())))
     bucket = "bucket of states"
     dealt = states.withColumn(bucket, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(tasks)))
-    dealt = dealt.repartition(tasks, bucket).groupBy(quoted(bucket))
-    return _merged(dealt.agg(*[_merging(n) for n in names]), names)
+    return merged(merged(dealt.repartition(tasks, bucket), names, bucket, *keys), names, *keys)
 
 
-def _merged(states: DataFrame, names: Sequence[str]) -> DataFrame:
-    return states.agg(*[_merging(n) for n in names])
+def merged(states: DataFrame, names: Sequence[str], *keys: str) -> DataFrame:
+    """As ``merge_states``, for few rows of a key."""
+    return states.groupBy(*map(quoted, keys)).agg(*[_merging(n) for n in names])
 
 
 def _merging(name: str) -> F.Column:

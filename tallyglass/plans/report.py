@@ -21,7 +21,7 @@ from tallyglass.operators.duplicates import (
     surplus_rows,
     uses_hash,
 )
-from tallyglass.operators.profile_state import Measured, table_states
+from tallyglass.operators.profile_state import COLUMN_STATE, Measured, merged, state_array, table_states
 from tallyglass.operators.profiling import (
     AnomalyRule,
     applicable_rules,
@@ -76,24 +76,28 @@ def quality_report_pair(
 ) -> DataFrame:
     """The reports of a raw table and of what cleaning keeps of it, two rows.
 
-    Cleaning is row-wise, so each measure is taken twice in one scan: over all rows,
-    and over the cleaned columns of those that survive. Identical rows of both tables
-    are counted together in the same way.
+    Cleaning is row-wise, so one scan measures both: apart for rows that survive and
+    rows that do not, the raw columns and those that cleaning changes. Both groups
+    together are the raw table, the survivors the cleaned one. Identical rows of both
+    tables are counted together as well.
     """
     measures = PairMeasures.of(raw, anomaly_rules, statistics)
-    states = table_states(measures.both.rows, measures.measured)
+    states = measures.of_tables(table_states(measures.both.rows, measures.measured, measures.both.survives))
     surplus = surplus_of_both(measures.both, (READABLE,), duplicates)
     return measures.reports(states, surplus, names, report_time)
 
 
 @dataclass(frozen=True)
 class PairMeasures:
-    """What is measured of a raw table and of what cleaning keeps of it."""
+    """What is measured of a raw table and of what cleaning keeps of it. ``measured`` is
+    taken per value of ``both.survives``; ``picked`` says for each table which of its
+    columns and rules the table's own are."""
 
     both: BothTables
     measured: dict[str, Measured]
     fields: dict[str, list[StructField]]
     rules: dict[str, list[AnomalyRule]]
+    picked: dict[str, tuple[list[int], list[int]]]
     statistics: bool
 
     @classmethod
@@ -112,16 +116,40 @@ class PairMeasures:
         schema = both.rows.schema
         cleaned = both.rows.select(*map(field, both.cleaned))
         applied = {"raw": applicable_rules(raw, rules), "cleaned": applicable_rules(cleaned, rules)}
-        fields, measured = {}, {}
-        for side, columns in (("raw", both.raw), ("cleaned", both.cleaned)):
-            fields[side] = [StructField(c, schema[new].dataType) for c, new in columns.items()]
-            measured[side] = Measured(
-                [(new, schema[new].dataType) for new in columns.values()],
-                [*map(quoted, flags)] if side == "raw" else [violation(cleaned, r) for r in applied[side]],
-                where=both.survives if side == "cleaned" else None,
-                statistics=statistics,
+        changed = [c for c in both.cleaned if c in both.changed]
+        places = {c: i for i, c in enumerate(both.raw)}
+        places_of_cleaned = {**places, **{c: len(places) + i for i, c in enumerate(changed)}}
+        conditions = [*map(quoted, flags)]
+        picked_rules = []
+        for rule in applied["cleaned"]:
+            if rule.column in changed:
+                picked_rules.append(len(conditions))
+                conditions.append(violation(cleaned, rule))
+            else:
+                picked_rules.append(applied["raw"].index(rule))
+        names = [*both.raw.values(), *(both.cleaned[c] for c in changed)]
+        measured = Measured([(n, schema[n].dataType) for n in names], conditions, statistics=statistics)
+        fields = {
+            side: [StructField(c, schema[new].dataType) for c, new in columns.items()]
+            for side, columns in (("raw", both.raw), ("cleaned", both.cleaned))
+        }
+        picked = {
+            "raw": (list(places.values()), list(range(len(flags)))),
+            "cleaned": ([places_of_cleaned[c] for c in both.cleaned], picked_rules),
+        }
+        return cls(both, {"state": measured}, fields, applied, picked, statistics)
+
+    def of_tables(self, states: DataFrame) -> DataFrame:
+        """One row with the state of either table, from states per value of ``survives``."""
+        sides = {}
+        for side, (columns, rules) in self.picked.items():
+            own = record(
+                total="state.total",
+                columns=state_array([f"state.columns[{i}]" for i in columns], COLUMN_STATE),
+                anomalies=state_array([f"state.anomalies[{i}]" for i in rules], "bigint"),
             )
-        return cls(both, measured, fields, applied, statistics)
+            sides[side] = own if side == "raw" else f"IF({quoted(self.both.survives)}, {own}, NULL)"
+        return merged(states.selectExpr(*[f"{own} AS {side}" for side, own in sides.items()]), list(sides))
 
     def reports(
         self, states: DataFrame, surplus: DataFrame, names: tuple[str, str] = (RAW_TABLE, CLEANED_TABLE), report_time: str | None = None

@@ -15,13 +15,14 @@ sums over batches.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyglass.functions.columns import field
 from tallyglass.operators.cleaning import BothTables
-from tallyglass.operators.duplicates import versions
+from tallyglass.operators.duplicates import compared_columns, versions
 from tallyglass.session import remove_folder, shared_folder
 from tallyglass.streaming.state import PartTable
 
@@ -54,14 +55,11 @@ class RowIndex:
         self.buckets, self.hashed = buckets, hashed
 
     def _versions(self, rows: DataFrame) -> DataFrame:
-        """side, hash, raw, cleaned, file and place of rows that come from Parquet files."""
+        """Both versions of rows that come from Parquet files, with file and place."""
         metadata = rows.metadataColumn("_metadata")
         placed = rows.withColumns({FILE: metadata["file_path"], PLACE: metadata["row_index"]})
         found = versions(self.both(placed), (*self.derived, FILE, PLACE), carried=(FILE, PLACE))
-        return found.select(
-            "side", F.expr(self.hashed).cast("bigint").alias("hash"), "raw", "cleaned",
-            field(FILE).alias("file"), field(PLACE).alias("place"),
-        )
+        return found.withColumn("hash", F.expr(self.hashed).cast("bigint")).withColumnsRenamed({FILE: "file", PLACE: "place"})
 
     def known(self, spark: SparkSession, batch: int, hashes: DataFrame) -> DataFrame:
         """Entries of earlier batches in the buckets of these hashes."""
@@ -74,9 +72,9 @@ class RowIndex:
         spark = rows.sparkSession
         folder = shared_folder(spark)
         pointer = F.min(F.struct("file", "place")).alias("at")
-        counted = self._versions(rows).groupBy("side", "hash", "raw", "cleaned").agg(
-            F.count(F.lit(1)).alias("copies"), pointer
-        )
+        found = self._versions(rows)
+        compared = ["hash", *compared_columns(found)]
+        counted = found.groupBy(*compared).agg(F.count(F.lit(1)).alias("copies"), pointer)
         bucket = F.expr(f"CAST(pmod(hash, {self.buckets}) AS INT)")
         counted = counted.withColumn("bucket", bucket)
         counted.write.parquet(f"{folder}/rows")
@@ -89,8 +87,8 @@ class RowIndex:
         fresh = different
         if not suspects.isEmpty():
             old = self._fetched(rows, suspects)
-            same = [different[c].eqNullSafe(old[c]) for c in ("side", "hash", "raw", "cleaned")]
-            fresh = different.join(old, same[0] & same[1] & same[2] & same[3], "left_anti")
+            same = [different[c].eqNullSafe(old[c]) for c in compared]
+            fresh = different.join(old, reduce(and_, same), "left_anti")
         entries = fresh.select("side", "hash", "at.file", "at.place", "bucket")
         # One file a bucket and batch.
         written = self.entries.write(entries.repartition("bucket"), batch, by="bucket")

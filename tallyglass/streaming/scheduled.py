@@ -36,7 +36,7 @@ from tallyglass.streaming.state import PartTable
 
 INPUT_FILE = "input_file"
 RISK_SUMS = "location_region string, total double, scores bigint, not_numbers bigint"
-FILE_STATES = f"{INPUT_FILE} string, raw {STATE}, cleaned {STATE}"
+FILE_STATES = f"{INPUT_FILE} string, survives boolean, state {STATE}"
 
 
 class RunState:
@@ -63,7 +63,8 @@ class RunState:
         received = landed.drop(INPUT_FILE)
         cleaned = clean_transactions(received)
         measures = self.measures(landed)
-        self.profile.write(states_by(measures.both.rows, measures.measured, INPUT_FILE), batch)
+        states = states_by(measures.both.rows, measures.measured, INPUT_FILE, measures.both.survives)
+        self.profile.write(states.withColumnRenamed(measures.both.survives, "survives"), batch)
         self.audit.write(clean_audit(received), batch)
         self.risk.write(risk_sums(cleaned), batch)
         self.sales.write(latest_sale_per_address(cleaned), batch)
@@ -91,7 +92,8 @@ class RunState:
 
     def reports(self, spark: SparkSession) -> DataFrame:
         measures = self.measures(spark.createDataFrame([], self.schema))
-        states = merge_states(self.profile.read(spark, FILE_STATES), ["raw", "cleaned"])
+        states = merge_states(self.profile.read(spark, FILE_STATES), ["state"], "survives")
+        states = measures.of_tables(states.withColumnRenamed("survives", measures.both.survives))
         return measures.reports(states, self.index.surplus(spark), report_time=self.options.report_time)
 
 

@@ -6,7 +6,7 @@ import pytest
 
 from tallyglass.operators import analytics, cleaning, duplicates, profiling
 from tallyglass.operators.profile_state import Measured, table_states
-from tallyglass.plans.report import quality_report, quality_report_pair
+from tallyglass.plans.report import PairMeasures, quality_report, quality_report_pair
 
 import __spark_entry__ as registry
 
@@ -106,13 +106,10 @@ def test_hash_lookup_sends_short_lists_and_sorts_long_ones(spark, table, tmp_pat
 def test_pair_of_reports_measures_in_one_scan(table, spark):
     plan = plan_of(quality_report_pair(table, report_time="T0", duplicates="rows"))
     assert plan.count("FileScan") == 2  # measures of both tables; identical rows of both
-    both = cleaning.raw_and_cleaned(table)
-    measured = {
-        "raw": Measured([(both.raw["amount"], table.schema["amount"].dataType)]),
-        "cleaned": Measured([("amount", table.schema["amount"].dataType)], where=both.survives),
-    }
-    plan = plan_of(table_states(both.rows, measured))
-    assert plan.count("FileScan") == 1 and exchanges(plan) == ["SinglePartition"]
+    measures = PairMeasures.of(table)
+    states = table_states(measures.both.rows, measures.measured, measures.both.survives)
+    plan = plan_of(measures.of_tables(states))
+    assert plan.count("FileScan") == 1 and exchanges(plan) == ["SinglePartition", "hashpartitioning"]
 
 
 def test_measures_of_many_tasks_are_merged_in_two_steps(table):
