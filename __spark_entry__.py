@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyglass import fixed_values as fixed
 from tallyglass.fixtures import dirty_transactions
-from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality
+from tallyglass.operators import analytics, cleaning, duplicates, profiling, quality, quarantine
 from tallyglass.plans.report import quality_report, quality_report_pair, report_details
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, RunResult, full_run
 from tallyglass.schema import MALFORMED, TXN_SCHEMA
@@ -161,6 +161,19 @@ def _dirty_csv_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean_audit(declared)
 
 
+def _judged(result: Callable[[DataFrame], DataFrame]):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return result(quarantine.judged(quarantine.text_records(spark, _dirty_csv(spark, sf_dir))))
+
+    return query
+
+
+def _with_problems(records: DataFrame) -> DataFrame:
+    """Text columns, and the problems as text."""
+    shown = F.array_join(F.transform("problems", lambda p: F.concat_ws(":", p["column"], p["reason"])), ",")
+    return records.select("sending_address", "transaction_type", "purchase_pattern", "risk_score", shown.alias("problems"))
+
+
 def _csv_roundtrip_of(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df, root = _table(spark, sf_dir, name), shared_folder(spark)
@@ -310,6 +323,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_roundtrip_conversations": _csv_roundtrip_of("conversations"),
         "dirty_csv_cleaned": _dirty_csv_cleaned,
         "dirty_csv_audit": _dirty_csv_audit,
+        "rejected_rows": _judged(lambda records: _with_problems(quarantine.rejected_records(records))),
+        "kept_rows": _judged(lambda records: _with_problems(quarantine.kept_records(records))),
+        "problem_counts": _judged(quarantine.problem_counts),
         "json_roundtrip": _roundtrip("json"),
         "write_results": _write_results,
         "quality_report_json": _quality_report_json,
@@ -593,6 +609,22 @@ dirty AS (
                     CASE WHEN {BAD_TIME} THEN NULL ELSE "timestamp" END AS "timestamp")
   FROM tx
 )"""
+# Every record with the problems of its cells, in the order of the columns.
+_JUDGED = f"""
+judged AS (
+  SELECT *, problems[1] IS NOT NULL AND len(list_filter(problems, lambda p: NOT starts_with(p, 'risk_score'))) > 0 AS rejected
+  FROM (SELECT *, list_filter([
+      CASE WHEN coalesce({BAD_TIME}, false) THEN 'timestamp:malformed' WHEN "timestamp" IS NULL THEN 'timestamp:missing' END,
+      CASE WHEN receiving_address IS NULL THEN 'receiving_address:missing' END,
+      CASE WHEN coalesce({BAD_AMOUNT}, false) THEN 'amount:malformed' WHEN amount IS NULL THEN 'amount:missing'
+           WHEN NOT amount > 0 THEN 'amount:not_positive' END,
+      CASE WHEN transaction_type IS NULL THEN 'transaction_type:missing' END,
+      CASE WHEN location_region IS NULL THEN 'location_region:missing' END,
+      CASE WHEN risk_score = 'bad' THEN 'risk_score:malformed' END], lambda p: p IS NOT NULL) AS problems FROM tx)
+)"""
+_PROBLEM_ROWS = (
+    "SELECT sending_address, transaction_type, purchase_pattern, risk_score, array_to_string(problems, ',') AS problems FROM judged"
+)
 _LATEST = (
     "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY receiving_address "
     'ORDER BY "timestamp" DESC, amount DESC, sending_address, ip_prefix, login_frequency, session_duration, '
@@ -790,6 +822,12 @@ def oracle_sql() -> dict[str, str]:
             f"count(*) FILTER (WHERE ({present}) AND NOT amount > 0) AS removed_non_positive_amount, "
             f"count(*) FILTER (WHERE ({present}) AND amount > 0) AS final_records FROM dirty"
         ),
+        "rejected_rows": f"{_with(_TX, _JUDGED)} {_PROBLEM_ROWS} WHERE rejected",
+        "kept_rows": f"{_with(_TX, _JUDGED)} {_PROBLEM_ROWS} WHERE NOT rejected",
+        "problem_counts": (
+            f"{_with(_TX, _JUDGED)} SELECT split_part(p, ':', 1) AS \"column\", split_part(p, ':', 2) AS reason, "
+            "NOT rejected AS kept, count(*) AS cells FROM (SELECT unnest(problems) AS p, rejected FROM judged) GROUP BY ALL"
+        ),
         "location_risk_rounded": (
             f"{clean} {risk_rounded} ORDER BY avg_risk_score DESC, location_region"
         ),
