@@ -38,7 +38,7 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 DOCS_PER_LANGUAGE = 600
-MOST_LANGUAGES = 200
+MOST_DOCS = 120_000
 WINDOWS_PER_DOC = 3
 EPOCHS = 8
 MINI_BATCH = 64
@@ -200,10 +200,12 @@ def training_sample(
     text_column: str = "text",
     label_column: str = "lang",
     docs_per_language: int = DOCS_PER_LANGUAGE,
-    most_languages: int = MOST_LANGUAGES,
+    most_docs: int = MOST_DOCS,
 ) -> tuple[np.ndarray, list[str]]:
-    """Windows and labels. The driver receives at most ``docs_per_language`` times
-    ``most_languages`` times ``WINDOWS_PER_DOC`` windows, cut out by the executors.
+    """Windows and labels. Every label is learned, however rare. The driver receives at most
+    ``docs_per_language`` documents of each and about ``most_docs`` of all together (one of
+    each if there are more labels), ``WINDOWS_PER_DOC`` windows of a document, cut out by
+    the executors.
 
     Every language is thinned by a hash of the id to about twice the documents
     wanted before the first of them are ranked, so that the shuffle stays as small
@@ -212,9 +214,10 @@ def training_sample(
     usable = docs.filter(
         field(label_column).isNotNull() & (F.octet_length(field(text_column)) > 0) & ~held_out(id_column)
     ).withColumn("label", field(label_column).cast("string"))
-    counts = usable.groupBy("label").count().orderBy(F.desc("count"), "label").limit(most_languages).collect()
+    counts = usable.groupBy("label").count().orderBy(F.desc("count"), "label").collect()
     if not counts:
         return np.zeros((0, WINDOW), np.uint8), []
+    docs_per_language = max(1, min(docs_per_language, most_docs // len(counts)))
     hashed = F.xxhash64(field(id_column).cast("string"), field(text_column))
     shares = {row.label: min(1.0, 2 * docs_per_language / row["count"] + 1e-6) for row in counts}
     share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("label")]

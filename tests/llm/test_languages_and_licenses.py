@@ -148,3 +148,12 @@ def test_templates_are_bounded_and_may_be_empty(spark):
     assert license_scan.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
     with pytest.raises(ValueError):
         license_scan.Index({"big": "x" * (license_scan.MOST_TEMPLATE_BYTES + 1)})
+
+
+def test_every_label_is_learned(spark):
+    rows = [(3 * i, f"wörd{i % 300} text of its own", f"l{i % 300}") for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").filter("crc32(CAST(doc_id AS STRING)) % 3 != 1")
+    labels = {r.lang for r in docs.select("lang").distinct().collect()}
+    windows, found = language_id.training_sample(docs, most_docs=600)
+    assert set(found) == labels and len(labels) > 250
+    assert len(windows) <= 2 * len(labels) * language_id.WINDOWS_PER_DOC
