@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tallyglass.plans.run import RunOptions, full_run
+from tallyglass.plans.run import RunOptions, full_run, published_run
 from tallyglass.schema import TXN_SCHEMA
 from tallyglass.session import prepare
 from tallyglass.sources.results import FORMATS
@@ -25,6 +25,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--drop-nan", action="store_true")
     parser.add_argument("--duplicates", choices=("auto", "rows", "hash"), default="auto")
     parser.add_argument("--cleanup", action="store_true", help="remove the landed input in the end")
+    parser.add_argument("--publish", action="store_true", help="replace all results at once, by manifest")
     return parser.parse_args(argv)
 
 
@@ -43,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
         duplicates=args.duplicates,
         cleanup=args.cleanup,
     )
-    run = full_run(spark, args.input, args.output, options)
+    run = (published_run if args.publish else full_run)(spark, args.input, args.output, options)
     run.present.show(truncate=False)
     run.audit.show(truncate=False)
     if run.gate is None:

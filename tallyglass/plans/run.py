@@ -39,6 +39,7 @@ from tallyglass.operators.quality import (
 from tallyglass.plans.report import READABLE, quality_report, quality_report_pair
 from tallyglass.schema import MALFORMED, TXN_SCHEMA
 from tallyglass.session import input_bytes, own_session, remove_folder, shared_folder
+from tallyglass.sources.publication import publish, remove_superseded, written_tables
 from tallyglass.sources.results import (
     FORMATS,
     REPORT,
@@ -50,7 +51,7 @@ from tallyglass.sources.results import (
     write_quality_summary,
     write_result,
 )
-from tallyglass.sources.transactions import land, load_transactions
+from tallyglass.sources.transactions import land, land_clustered, load_transactions
 
 AUDIT = "clean_audit"
 PRESENT = "results_present"
@@ -79,6 +80,7 @@ class RunOptions:
     thresholds: Thresholds = Thresholds()
     strict_gate: bool = False
     cleanup: bool = False
+    clustered: bool = False
 
 
 @dataclass(frozen=True)
@@ -105,7 +107,8 @@ def full_run(
     The run has a session of its own, with shuffles sized by the input. A CSV
     input is landed as Parquet once; all later scans are columnar and read only
     the columns they need. Cleaning is row-wise and recomputed by each reader,
-    which costs less than a second copy of the table; with ``keep_cleaned`` that
+    which costs less than a second copy of the table; with ``clustered`` the landed
+    files are sorted by type, so that sales are read without the rest. With ``keep_cleaned`` that
     copy is written and read instead. Results and reports are written once and
     everything derived from them starts from the written tables. Results are
     returned unrounded whatever the formats. With ``cleanup`` the landed input is
@@ -120,7 +123,7 @@ def full_run(
     if options.quality_checks and options.duplicates != "rows":
         shared_folder(spark)  # refused now rather than after the work
     landed = f"{base}/{RAW_TABLE}_parquet"
-    received = load(spark) if columnar else land(load(spark), landed)
+    received = load(spark) if columnar else (land_clustered if options.clustered else land)(load(spark), landed)
     raw = received.drop(MALFORMED)
     cleaned = clean_transactions(raw)
     if options.keep_cleaned:
@@ -150,6 +153,24 @@ def full_run(
     return RunResult(**common, **checked)
 
 
+def published_run(
+    spark: SparkSession, path: str, root: str, options: RunOptions = RunOptions(), keep: int = 2
+) -> RunResult:
+    """``full_run`` into a folder of its own below ``root``, published by manifest when all of
+    it is written. A run that dies leaves the former results current; one that succeeds
+    replaces all of them at once and removes those before the last ``keep`` runs. The
+    landed input, which is no result, is not in the manifest."""
+    outcome = {}
+
+    def write(folder: str) -> list[str]:
+        outcome["run"] = full_run(spark, path, folder, options)
+        return [t for t in written_tables(spark, folder) if t != f"{RAW_TABLE}_parquet"]
+
+    publish(spark, root, write)
+    remove_superseded(spark, root, keep)
+    return outcome["run"]
+
+
 def write_analyses(
     spark: SparkSession, root: str, risk: DataFrame, sales: DataFrame, options: RunOptions
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -208,7 +229,8 @@ def write_reports(
 
 
 def run_history(spark: SparkSession, root: str) -> DataFrame:
-    """The report of every run below ``root``; the column ``run`` orders them."""
+    """The report of every run below ``root``; the column ``run`` orders them. Published
+    runs that were kept are below ``<root>/runs/*``."""
     reports = spark.read.parquet(f"{root.rstrip('/')}/{RUNS}/*_parquet")
     run = F.regexp_extract(F.input_file_name(), r"([0-9T]+)_parquet", 1)
     return reports.withColumn("run", run)
