@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import importlib.util
 from collections.abc import Callable
 
@@ -15,8 +16,8 @@ from tallyglass.plans.report import quality_report, quality_report_pair, report_
 from tallyglass.plans.run import EXPECTED_RESULTS, RunOptions, RunResult, full_run
 from tallyglass.schema import MALFORMED, TXN_SCHEMA
 from tallyglass.session import input_bytes, prepare, shared_folder
-from tallyglass.sources import results
-from tallyglass.sources.transactions import land, load_transactions
+from tallyglass.sources import publication, results
+from tallyglass.sources.transactions import land, land_clustered, load_transactions
 from tallyglass.streaming.scheduled import INPUT_FILE, RunState, scheduled_run
 
 # The library works without that subpackage; a library that it lacks is no reason to go on.
@@ -236,6 +237,39 @@ def _full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_rows(full_run(spark, source, f"{root}/results", RunOptions(report_time=REPORT_TIME)))
 
 
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two published runs, of all records and of those of one type, and a third that dies: what the
+    manifest tells of the second, read back and verified (result, rows, intact, value)."""
+    root = shared_folder(spark)
+    cleaned = land(_cleaned(spark, sf_dir), f"{root}/cleaned_parquet")
+
+    def write(folder: str, rows: DataFrame, whole: bool = True) -> None:
+        results.write_result(analytics.location_risk(rows, drop_nan=True), folder, fixed.RISK_RESULT)
+        if not whole:
+            raise InterruptedError
+        results.write_result(analytics.top_sale_addresses(rows), folder, fixed.SALES_RESULT)
+
+    publication.publish(spark, root, lambda folder: write(folder, cleaned))
+    publication.publish(spark, root, lambda folder: write(folder, analytics.filter_sales(cleaned)))
+    with contextlib.suppress(InterruptedError):
+        publication.publish(spark, root, lambda folder: write(folder, cleaned, whole=False))
+    publication.remove_superseded(spark, root, keep=1)
+    sums = None
+    for name, value in ((fixed.RISK_RESULT, "avg_risk_score"), (fixed.SALES_RESULT, "amount")):
+        read = publication.read_published(spark, root, name)
+        part = read.agg(F.round(F.sum(value), 4).alias("value")).withColumn("result", F.lit(name))
+        sums = part if sums is None else sums.unionByName(part)
+    tables = publication.published_tables(spark, root).join(publication.verified(spark, root), "table_name")
+    parquet = tables.filter("table_name LIKE '%_parquet'").withColumn("result", F.expr("replace(table_name, '_parquet')"))
+    return parquet.join(sums, "result").select("result", "rows", "intact", "value")
+
+
+def _top_sales_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a landed table of which scans for sales read little else."""
+    landed = land_clustered(_tx(spark, sf_dir), f"{shared_folder(spark)}/clustered")
+    return analytics.top_sale_addresses(cleaning.clean_transactions(landed))
+
+
 def _in_three(spark: SparkSession, sf_dir: str, start: Callable[[str, int], None]) -> None:
     """The records as CSV files that arrive in three steps; ``start`` is called after each."""
     folder = shared_folder(spark)
@@ -395,6 +429,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "execution_report": _execution_report,
         "results_present": _results_present,
         "full_run": _full_run,
+        "published_results": _published,
+        "top_sale_addresses_clustered": _top_sales_clustered,
         # scheduled runs
         "scheduled_run": _scheduled_run,
         "latest_sale_incremental": _from_parts(lambda state, spark: state.latest_sales(spark)),
@@ -602,6 +638,7 @@ _RISK_NAN = (
     "SELECT location_region, avg(risk_score) AS avg_risk_score FROM clean "
     "WHERE risk_score IS NOT NULL GROUP BY location_region"
 )
+_SALES_AND = "WHERE transaction_type = 'sale' AND"
 _BAD = f"coalesce({BAD_AMOUNT}, false) OR coalesce({BAD_TIME}, false)"
 _DIRTY = f"""
 dirty AS (
@@ -897,10 +934,17 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{fixed.SALES_RESULT}', true, least(3, count(*)), true FROM ({_LATEST})"
         ),
         "full_run": _full_run_sql(present),
+        "published_results": (
+            f"{clean} SELECT '{fixed.RISK_RESULT}' AS result, count(*) AS \"rows\", true AS intact, "
+            f"round(sum(avg_risk_score), 4) AS value FROM ({_RISK.replace('WHERE', _SALES_AND)}) UNION ALL "
+            f"SELECT '{fixed.SALES_RESULT}', count(*), true, round(sum(amount), 4) FROM "
+            f"(SELECT amount FROM ({_LATEST}) ORDER BY amount DESC, receiving_address LIMIT 3)"
+        ),
         "scheduled_run": _full_run_sql(present),
         "latest_sale_incremental": f"{clean} {_LATEST}",
         "duplicate_profile_incremental": f"{tx} {_duplicates_sql('tx')}",
     }
+    oracle["top_sale_addresses_clustered"] = oracle["top_sale_addresses"]
     oracle["location_risk_incremental"] = oracle["location_risk_drop_nan"]
     oracle["clean_audit_incremental"] = oracle["clean_audit"]
     return oracle | (corpus.oracle_sql() if corpus else {})
