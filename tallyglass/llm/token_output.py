@@ -39,11 +39,13 @@ from tallyglass.session import input_bytes, shuffle_partitions
 BLOCK_IDS = 1 << 20
 END_ID = 2
 WORD_END = "</w>"
-PIECES_A_LINE = 256
-# Twice as many at most, at some 200 bytes each.
-CACHED_PIECES = 450_000
-# Letters that stay one letter each whatever the tokenizer normalises, then a sign.
-_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]+)?")
+WORDS_A_LINE = 256
+# Twice as many of each at most, at some 200 bytes each.
+CACHED_PIECES = 150_000
+CACHED_WORDS = 300_000
+# Letters that stay one letter each whatever the tokenizer normalises, but for their case,
+# then signs. The tokenizer makes one word of each.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]+)?")
 PREFIX = struct.Struct("<III")  # documents, bytes of their table, its crc32
 
 BLOCKS = "file int, block int, ids_before bigint, n_docs int, n_ids bigint, payload binary"
@@ -54,7 +56,7 @@ _tokenizers: dict[str, PieceCache] = {}
 
 def _pieces(path: str) -> PieceCache:
     """The tokenizer drops white space and lets no token cross it, so that texts
-    may be cut at every space. One per worker process."""
+    may be cut at every space, and a line feed is as good as one. One per worker process."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -66,27 +68,40 @@ def _pieces(path: str) -> PieceCache:
         ends_word = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
         ends_word[[i for t, i in tokenizer.get_vocab().items() if t.endswith(WORD_END)]] = True
 
-        def encode(pieces: list[str]) -> list[bytes]:
-            """Plain letters are one word, a sign after them is another. Many such
-            pieces go to the library as one text and are told apart by the
-            tokens that end a word."""
-            plain = list(map(_PLAIN.fullmatch, pieces))
-            found = dict.fromkeys(pieces, b"")
-            known = [m for m in plain if m]
-            parts = [known[i : i + PIECES_A_LINE] for i in range(0, len(known), PIECES_A_LINE)]
-            lines = [" ".join([m[0] for m in part]) for part in parts]
-            for part, line in zip(parts, tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
-                ids = np.array(line.ids, dtype="<u4")
-                ends = 4 * np.nonzero(ends_word[ids])[0] + 4
-                words = np.cumsum([m.lastindex for m in part])
-                if words[-1] != len(ends):
+        def ids_of(texts: list[str]) -> list[bytes]:
+            found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+
+        words: dict[str, bytes] = {}
+        words_earlier: dict[str, bytes] = {}
+
+        def add_words(missing: list[str]) -> None:
+            """Many words go to the library as one text and are told apart by the tokens
+            that end a word."""
+            parts = [missing[i : i + WORDS_A_LINE] for i in range(0, len(missing), WORDS_A_LINE)]
+            for part, flat in zip(parts, ids_of([" ".join(part) for part in parts])):
+                ends = 4 * np.nonzero(ends_word[np.frombuffer(flat, dtype="<u4")])[0] + 4
+                if len(part) != len(ends):
                     raise ValueError(f"{path}: words do not end where expected")
-                cuts, flat = ends[words - 1].tolist(), ids.tobytes()
-                found.update(zip([m[0] for m in part], [flat[a:b] for a, b in zip([0, *cuts], cuts)]))
-            others = [p for p, m in zip(pieces, plain) if not m]
-            for piece, one in zip(others, tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-                found[piece] = np.array(one.ids, dtype="<u4").tobytes()
-            return [found[p] for p in pieces]
+                cuts = ends.tolist()
+                words.update(zip(part, [flat[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+        def encode(pieces: list[str]) -> list[bytes]:
+            """Plain pieces are a word or a word and signs. The tokenizer lowers their case, so
+            that forms of a word which differ in case or in signs are encoded once."""
+            nonlocal words, words_earlier
+            if len(words) > CACHED_WORDS:
+                words_earlier, words = words, {}
+            plain = [m and (m[1].lower(), m[2]) for m in map(_PLAIN.fullmatch, pieces)]
+            wanted = dict.fromkeys(w for pair in plain if pair for w in pair if w and w not in words)
+            again = [w for w in wanted if w in words_earlier]
+            words.update([(w, words_earlier[w]) for w in again])
+            add_words([w for w in wanted if w not in words])
+            others = iter(ids_of([p for p, pair in zip(pieces, plain) if not pair]))
+            return [
+                next(others) if not pair else words[pair[0]] + words[pair[1]] if pair[1] else words[pair[0]]
+                for pair in plain
+            ]
 
         _tokenizers[path] = PieceCache(encode, tight=False, limit=CACHED_PIECES)
     return _tokenizers[path]
@@ -144,7 +159,7 @@ def write_tokens(
 
         for batch in batches:
             for part in by_bytes(batch, "text"):
-                texts = cache.joined([t or "" for t in part.column("text").to_pylist()], b"".join)
+                texts = cache.joined([(t or "").replace("\n", " ") for t in part.column("text").to_pylist()], b"".join)
                 for doc_id, ids in zip(part.column("doc_id").to_pylist(), texts):
                     doc_ids.append(doc_id)
                     found.append(ids + ending)

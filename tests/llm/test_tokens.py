@@ -219,3 +219,15 @@ def test_output_query_against_the_library(spark, sf_dir):
         ids = np.array([*by_library(text, tokenizer), 2], "<u4")
         assert tuple(rows[doc_id]) == (doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_pieces_that_share_words_are_encoded_as_the_library_does():
+    """Forms in other case or with other signs, contractions, special strings, line feeds."""
+    tokenizer = Tokenizer.from_file(WORD_BPE)
+    stems = ["Straße", "STRASSE", "don't", "don'", "'s", "İstanbul", "ΟΔΟΣ", "naïve", "naïve", "x≠y", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    signs = ["", "!", "...", "'", "***", "<|", "=", "\u0338", "_", "\t", "\r"]
+    texts = [f"{a}{s} {a.upper()}{s}\n{a.lower()}{s}{b}" for a in stems for s in signs for b in ("", "S", " 's", "\n")]
+    texts += ["\n", "", " \n ", "a\n\nb", "A\nB!\nc"]
+    cut = token_output._pieces(WORD_BPE).joined([t.replace("\n", " ") for t in texts], b"".join)
+    for text, ids in zip(texts, cut):
+        assert np.frombuffer(ids, "<u4").tolist() == by_library(text, tokenizer), text
